@@ -1,0 +1,20 @@
+"""Input layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+SMALL_TABLE_BYTES = 256 * 1024 * 1024
+
+
+def spread_small(df: DataFrame, limit: int = SMALL_TABLE_BYTES) -> DataFrame:
+    """Deal a small table over all cores.
+
+    A table of a few files, or of one row group, is read by as many tasks as it has row groups,
+    and a text scan would then run on one core. Tables above the limit have more splits than
+    that anyway and are returned untouched, so no large table is ever shuffled for this.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if size > limit:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
