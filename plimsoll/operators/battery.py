@@ -64,28 +64,47 @@ def written_cases(suites: DataFrame) -> DataFrame:
     return rows.withColumn("asserts_specific", _asserts()).select(*CASE_FIELDS)
 
 
-def table_cases(rows: DataFrame) -> DataFrame:
-    """Cases kept in a table: suite fields, ``pos``, ``text``, ``note`` and an ``expected`` map."""
+def table_cases(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Cases kept in a table: suite fields, ``pos``, ``text``, ``note`` and an ``expected`` map.
+
+    ``carry`` names further columns, such as flags already taken from the text, so that a plan
+    that no longer needs the text can drop it before any shuffle.
+    """
     return rows.select(
-        *SUITE_FIELDS, F.lit(0).alias("block"), F.col("pos").cast("long").alias("pos"), "text", "note", "expected"
-    ).withColumn("asserts_specific", _asserts()).select(*CASE_FIELDS)
+        *SUITE_FIELDS, F.lit(0).alias("block"), F.col("pos").cast("long").alias("pos"), "text", "note", "expected",
+        *carry).withColumn("asserts_specific", _asserts()).select(*CASE_FIELDS, *carry)
 
 
-def battery_cases(suites: DataFrame, labels: Sequence[str], identities: DataFrame | None = None,
-                  extra: DataFrame | None = None, prefix: str = "RT") -> DataFrame:
-    """The flat, numbered case table with one ``expected_<label>`` column per label (absent means 0)."""
+def case_rows(suites: DataFrame, identities: DataFrame | None = None, extra: DataFrame | None = None) -> DataFrame:
+    """All cases with their position (suite, block, pos), not yet numbered."""
     parts = [expand_templates(suites, identities).select(*CASE_FIELDS), written_cases(suites)]
     if extra is not None:
         parts.append(table_cases(extra))
-    cases = reduce(DataFrame.unionByName, parts)
-    # number on the keys alone, then bring the number to the text: the text shuffles once
+    return reduce(DataFrame.unionByName, parts)
+
+
+def expected_columns(labels: Sequence[str]) -> list[Column]:
+    """One 0/1 column per label from the partial map; absent means 0."""
+    return [F.coalesce(F.try_element_at("expected", F.lit(x)), F.lit(0)).alias(f"expected_{x}") for x in labels]
+
+
+def number_cases(rows: DataFrame, labels: Sequence[str], prefix: str = "RT") -> DataFrame:
+    """The flat case table with running ids in suite, block and position order.
+
+    The numbers are found on the three position columns alone and then joined to the text,
+    which therefore shuffles once and by a unique key.
+    """
     keys = ["suite_ord", "block", "pos"]
-    numbers = numbered(cases.select(*keys), ["suite_ord", "block"], "pos")
-    rows = cases.join(numbers, keys)
-    return rows.select(
+    numbers = numbered(rows.select(*keys), ["suite_ord", "block"], "pos")
+    return rows.join(numbers, keys).select(
         F.format_string(f"{prefix}%03d", F.col("seq")).alias("case_id"),
         "suite", "failure_mode", "regulation_ref", "should_flag", "text", "note", "asserts_specific",
-        *[F.coalesce(F.try_element_at("expected", F.lit(x)), F.lit(0)).alias(f"expected_{x}") for x in labels])
+        *expected_columns(labels))
+
+
+def battery_cases(suites: DataFrame, labels: Sequence[str], identities: DataFrame | None = None,
+                  extra: DataFrame | None = None, prefix: str = "RT") -> DataFrame:
+    return number_cases(case_rows(suites, identities, extra), labels, prefix)
 
 
 def battery_census(cases: DataFrame) -> DataFrame:
@@ -101,25 +120,35 @@ def alignment(cases: DataFrame, predictions: DataFrame) -> DataFrame:
         right.withColumn("missing_from", F.lit("cases")))
 
 
+def score_rows(rows: DataFrame, labels: Sequence[str], flags: str = "pred_{}") -> DataFrame:
+    """Outcome per case for rows that carry both ``expected_<label>`` and the control's flags.
+
+    ``exact_match`` stays NULL where the case only asserts that something is flagged.
+    """
+    preds = [F.col(flags.format(x)) for x in labels]
+    exact = reduce(lambda a, b: a & b, [p == F.col(f"expected_{x}") for p, x in zip(preds, labels)])
+    rows = rows.withColumn("any_flagged", sum(preds[1:], preds[0]) > 0)
+    correct = F.col("any_flagged") == F.col("should_flag")
+    return rows.withColumns({
+        "outcome_correct": correct,
+        "exact_match": F.when(F.col("asserts_specific"), exact),
+        "result": F.when(correct, "PASS").otherwise("FAIL")})
+
+
 def score_predictions(cases: DataFrame, predictions: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Outcome per case. ``predictions`` has ``case_id`` and ``pred_<label>``.
+    """Outcome per case with predictions from a table of ``case_id`` and ``pred_<label>``.
 
     The join is full outer and a case without a prediction, or the reverse, fails the job, so
     the check costs no pass of its own.
     """
-    preds = predictions.select("case_id", *[f"pred_{x}" for x in labels], F.lit(True).alias("__scored"))
+    names = [f"pred_{x}" for x in labels]
+    preds = predictions.select("case_id", *names, F.lit(True).alias("__scored"))
     both = cases.withColumn("__case", F.lit(True)).join(preds, "case_id", "full_outer")
-    whole = F.col("__case") & F.col("__scored")
+    whole = F.coalesce(F.col("__case") & F.col("__scored"), F.lit(False))
     mismatch = F.raise_error(F.concat(F.lit("cases and predictions do not align at "), F.col("case_id")))
-    flagged = F.when(whole, sum((F.col(f"pred_{x}") for x in labels[1:]), F.col(f"pred_{labels[0]}")) > 0)
-    flagged = F.when(F.coalesce(whole, F.lit(False)), flagged).otherwise(mismatch.cast("boolean"))
-    exact = reduce(lambda a, b: a & b, [F.col(f"pred_{x}") == F.col(f"expected_{x}") for x in labels])
-    rows = both.withColumn("any_flagged", flagged)
-    rows = rows.withColumn("outcome_correct", F.col("any_flagged") == F.col("should_flag"))
-    return rows.select(
-        *cases.columns, "any_flagged", "outcome_correct",
-        F.when(F.col("asserts_specific"), exact).alias("exact_match"),
-        F.when(F.col("outcome_correct"), "PASS").otherwise("FAIL").alias("result"))
+    first = F.when(whole, F.col(names[0])).otherwise(mismatch.cast("int"))
+    scored = score_rows(both.withColumn(names[0], first), labels)
+    return scored.select(*cases.columns, "any_flagged", "outcome_correct", "exact_match", "result")
 
 
 def suite_summary(scored: DataFrame) -> DataFrame:

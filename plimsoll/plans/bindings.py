@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from .. import dimensions as D
 from ..functions import text as T
+from ..operators import battery as B
 from ..operators import kri
-from ..operators.battery import GATE_COLUMNS, GATES, battery_cases
 from ..operators.lexical import Lexicon
 from ..operators.profile import group_flags
 from ..operators.shape import to_long
@@ -81,7 +81,7 @@ def dimension(spark: SparkSession) -> DataFrame:
 
 
 def gates(spark: SparkSession) -> DataFrame:
-    return D.declared(spark, GATES, GATE_COLUMNS)
+    return D.declared(spark, B.GATES, B.GATE_COLUMNS)
 
 
 def escalation_rules(spark: SparkSession) -> DataFrame:
@@ -139,31 +139,55 @@ def lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(truth(spark, sf_dir), "doc_id")
 
 
-def battery(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The built-in suites, the templates filled with every customer name, and two suites of
-    labelled documents: all toxic ones must flag (which head is left open), all clean ones must not."""
-    names = table(spark, sf_dir, "customer").select(
+def _identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
         F.lit("benign_names").alias("suite"), F.col("c_custkey").cast("long").alias("pos"),
         F.col("c_name").alias("identity"))
-    docs = documents(spark, sf_dir).select("doc_id", "text").join(truth(spark, sf_dir), "doc_id")
-    extra = docs.select(
+
+
+def _document_cases(spark: SparkSession, sf_dir: str, flags: dict[str, Column]) -> DataFrame:
+    """Labelled documents as two suites: toxic ones must flag (which head is left open), clean
+    ones must not. The flags are taken in the scan, ahead of the join with the labels."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", *[c.alias(n) for n, c in flags.items()])
+    toxic = F.col("y_toxic") == 1
+    return docs.join(truth(spark, sf_dir), "doc_id").select(
         (F.lit(100) + F.col("y_toxic")).alias("suite_ord"),
-        F.when(F.col("y_toxic") == 1, "labelled_toxic").otherwise("labelled_clean").alias("suite"),
-        F.when(F.col("y_toxic") == 1, "A document labelled toxic is missed.")
+        F.when(toxic, "labelled_toxic").otherwise("labelled_clean").alias("suite"),
+        F.when(toxic, "A document labelled toxic is missed.")
         .otherwise("A document labelled clean is flagged.").alias("failure_mode"),
-        F.lit("robustness").alias("regulation_ref"), (F.col("y_toxic") == 1).alias("should_flag"),
+        F.lit("robustness").alias("regulation_ref"), toxic.alias("should_flag"),
         F.col("doc_id").alias("pos"), "text",
         F.concat(F.lit("doc="), F.col("doc_id").cast("string")).alias("note"),
-        F.create_map().cast("map<string,int>").alias("expected"))
-    return battery_cases(parse_suites(spark, builtin_battery_text()), HEADS, names, extra)
+        F.create_map().cast("map<string,int>").alias("expected"), *flags)
+
+
+def battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The built-in suites, the templates filled with every customer name, and the labelled documents."""
+    suites = parse_suites(spark, builtin_battery_text())
+    return B.battery_cases(suites, HEADS, _identities(spark, sf_dir), _document_cases(spark, sf_dir, {}))
+
+
+def control_flags(text: Column) -> dict[str, Column]:
+    """0/1 flags of the champion (the lexical control) and of a challenger without the profane head."""
+    reduced = Lexicon({k: v for k, v in LEXICON.heads.items() if k != "profane"}, LEXICON.whole_words, "toxic")
+    other = {**reduced.flags(text), "profane": F.lit(False)}
+    return {**{f"champion_{x}": c.cast("int") for x, c in LEXICON.flags(text).items()},
+            **{f"challenger_{x}": c.cast("int") for x, c in other.items()}}
+
+
+def judged_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Battery rows with both controls' flags, unnumbered and without text: what rates are made of."""
+    flags = control_flags(F.col("text"))
+    suites = parse_suites(spark, builtin_battery_text())
+    listed = B.case_rows(suites, _identities(spark, sf_dir)).select("*", *[c.alias(n) for n, c in flags.items()])
+    tabled = B.table_cases(_document_cases(spark, sf_dir, flags), list(flags))
+    return listed.unionByName(tabled).select(
+        "suite", "should_flag", "asserts_specific", *B.expected_columns(HEADS), *flags)
 
 
-def battery_predictions(cases: DataFrame, control: str = "champion") -> DataFrame:
-    """The lexical control; the challenger ignores the text's case-insensitive profane head."""
+def battery_predictions(cases: DataFrame) -> DataFrame:
+    """The champion's flags as a prediction table keyed by case id."""
     flags = head_flags(F.col("text"))
-    if control == "challenger":
-        reduced = Lexicon({k: v for k, v in LEXICON.heads.items() if k != "profane"}, LEXICON.whole_words, "toxic")
-        flags = {**reduced.flags(F.col("text")), "profane": F.lit(False)}
     return cases.select("case_id", *[flags[x].cast("int").alias(f"pred_{x}") for x in HEADS])
 
 

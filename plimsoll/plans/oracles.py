@@ -398,8 +398,8 @@ ORACLES: dict[str, str] = {
     "taxonomy": f"""WITH {SCORED}, {DIM}, {_taxonomy_rows()}
       SELECT category, definition, clause, harm_family, regulation_ref, severity_tier, occurrences
       FROM dim JOIN occ USING (category)""",
-    "text_lengths": f"""SELECT doc_id, length(text) AS char_len,
-      len(list_filter(regexp_split_to_array(text, '[{SP}]+'), lambda w: w <> '')) AS word_len FROM documents""",
+    "text_lengths": f"""SELECT doc_id, length(text)::INT AS char_len,
+      len(list_filter(regexp_split_to_array(text, '[{SP}]+'), lambda w: w <> ''))::INT AS word_len FROM documents""",
     "flag_totals": f"""WITH {TRUTH}, t AS (SELECT count(*) AS n, count(*) FILTER (y_toxic = 1 OR y_low_quality = 1) AS f
       FROM truth) SELECT n, f AS flagged, n - f AS clean, 100 * f / n AS flagged_pct,
       100 * (n - f) / n AS all_clean_accuracy_pct FROM t""",
@@ -445,7 +445,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT doc_id, 'low_quality', CASE WHEN y_toxic = 1 THEN 'toxic' ELSE '-' END
         FROM truth WHERE y_low_quality = 1),
       r AS (SELECT *, row_number() OVER (PARTITION BY category ORDER BY {_SAMPLE_DRAW})::INT AS pick FROM l)
-      SELECT category, pick, doc_id, other_labels, length(text) AS chars, {redact_sql('text')} AS t
+      SELECT category, pick, doc_id, other_labels, length(text)::INT AS chars, {redact_sql('text')} AS t
       FROM r JOIN documents USING (doc_id) WHERE pick <= 2""",
         "category, pick, doc_id, other_labels, chars", "redacted_excerpt"),
     "redact": redacted(

@@ -326,18 +326,18 @@ def battery_cases(spark, d):
 @query
 def battery_census(spark, d):
     """A17"""
-    return B.battery_census(X.battery(spark, d))
+    return B.battery_census(X.judged_battery(spark, d))
 
 
 def _scored_battery(spark, d, control="champion"):
-    cases = X.battery(spark, d)
-    return B.score_predictions(cases, X.battery_predictions(cases, control), X.HEADS)
+    return B.score_rows(X.judged_battery(spark, d), X.HEADS, control + "_{}")
 
 
 @query
 def battery_scored(spark, d):
     """J3, G2"""
-    return _scored_battery(spark, d).select(
+    cases = X.battery(spark, d)
+    return B.score_predictions(cases, X.battery_predictions(cases), X.HEADS).select(
         "case_id", "suite", "should_flag", "asserts_specific", "any_flagged", "outcome_correct", "exact_match", "result")
 
 
