@@ -120,17 +120,19 @@ def tokens(lowered: Column) -> Column:
     return F.filter(F.split(lowered, NOT_WORD + "+"), lambda piece: piece != "")
 
 
-def grams(words: Column, stop_words: Iterable[str] = (), longest: int = 2) -> Column:
-    """Stop words out first, then 1- to n-grams over what is left (so they may span removed words)."""
+def without(words: Column, stop_words: Iterable[str]) -> Column:
     stop = sorted(set(stop_words))
-    kept = F.filter(words, lambda w: ~w.isin(stop)) if stop else words
+    return F.filter(words, lambda w: ~w.isin(stop)) if stop else words
+
+
+def grams(kept: Column, longest: int = 2) -> Column:
+    """1- to n-grams over a word array. Pass a plain column: it is referred to several times."""
     parts = [kept]
     for n in range(2, longest + 1):
         count = F.greatest(F.size(kept) - (n - 1), F.lit(0))
-        shifted = [F.slice(kept, F.lit(i + 1), count) for i in range(n)]
-        joined = shifted[0]
-        for nxt in shifted[1:]:
-            joined = F.zip_with(joined, nxt, lambda a, b: F.concat_ws(" ", a, b))
+        joined = F.slice(kept, F.lit(1), count)
+        for i in range(1, n):
+            joined = F.zip_with(joined, F.slice(kept, F.lit(i + 1), count), lambda a, b: F.concat_ws(" ", a, b))
         parts.append(joined)
     return F.concat(*parts)
 

@@ -20,7 +20,7 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .features import text_grams, token_statistics, vocabulary
+from .features import token_statistics, vocabulary, with_grams
 from .sampling import with_split
 
 
@@ -49,17 +49,16 @@ class Champion:
     longest: int = 2
 
     def features(self, df: DataFrame, text: str = "text") -> DataFrame:
-        """Adds the unit-length ``features`` vector; a map-only step."""
+        """Replaces the text by the unit-length ``features`` vector; a map-only step."""
         counted = CountVectorizerModel.from_vocabulary(
             self.tokens, inputCol="__grams", outputCol="__counts").setMinTF(1.0)
-        rows = df.withColumn("__grams", text_grams(F.col(text), self.stop_words, self.longest))
-        rows = counted.transform(rows).drop("__grams")
+        rows = counted.transform(with_grams(df, text, self.stop_words, self.longest, "__grams")).drop("__grams")
         rows = rows.withColumn("__raw", _reweighting(self.idf)("__counts")).drop("__counts")
         return Normalizer(inputCol="__raw", outputCol="features", p=2.0).transform(rows).drop("__raw")
 
     def predict(self, df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
-        """Adds ``score_<label>`` and ``pred_<label>``; drops the text so it goes no further."""
-        rows = self.features(df, text).drop(text)
+        """Adds ``score_<label>`` and ``pred_<label>`` in place of the text."""
+        rows = self.features(df, text)
         for label, head in self.heads.items():
             head = head.copy().setPredictionCol("").setRawPredictionCol("").setProbabilityCol("__p")
             rows = head.transform(rows).withColumn(f"score_{label}", vector_to_array("__p")[1]).drop("__p")
@@ -102,7 +101,7 @@ def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[s
     regParam = 1 / (c * total weight). The intercept is not penalised.
     """
     stop_words = list(stop_words)
-    stats = token_statistics(train, text_grams(F.col(text), stop_words, longest))
+    stats = token_statistics(with_grams(train.select(text), text, stop_words, longest))
     counts = train.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"y_{x}").alias(x) for x in labels]).first()
     vocab = vocabulary(stats, min_df, max_features).toPandas()
     if vocab.empty:
@@ -111,7 +110,7 @@ def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[s
     idf = np.log((1.0 + n) / (1.0 + vocab["df"].to_numpy(dtype=float))) + 1.0
     model = Champion(list(labels), vocab["token"].tolist(), idf, {}, stop_words, longest)
 
-    rows = model.features(train.select(text, *[f"y_{x}" for x in labels]), text).drop(text).persist()
+    rows = model.features(train.select(text, *[f"y_{x}" for x in labels]), text).persist()
     try:
         for x in labels:
             pos = counts[x]

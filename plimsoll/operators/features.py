@@ -8,37 +8,47 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .shape import exploded, to_long
 
 
 def normalised(text: Column) -> Column:
     return T.fold_accents(F.lower(T.or_empty(text)))
 
 
-def text_grams(text: Column, stop_words: Sequence[str] = (), longest: int = 2) -> Column:
-    return T.grams(T.tokens(normalised(text)), stop_words, longest)
+def with_grams(df: DataFrame, text: str = "text", stop_words: Sequence[str] = (), longest: int = 2,
+               name: str = "terms") -> DataFrame:
+    """Replaces the text by the array ``name``: stop words go first, so a gram may span them.
 
-
-def _first_marks(terms: Column) -> Column:
-    """Array of (token, first): after sorting, an element differing from its predecessor is the
-    text's first use of that token. Lets one shuffle count both uses and documents."""
-    ordered = F.array_sort(terms)
-    shifted = F.slice(F.concat(F.array(F.lit(None).cast("string")), ordered), F.lit(1), F.size(ordered))
-    return F.zip_with(ordered, shifted, lambda a, b: F.struct(
-        a.alias("token"), F.when(a.eqNullSafe(b), 0).otherwise(1).alias("first")))
+    The word array is a column of its own because the gram expressions read it several times.
+    """
+    words = df.withColumn("__words", T.without(T.tokens(normalised(F.col(text))), stop_words)).drop(text)
+    return words.withColumn(name, T.grams(F.col("__words"), longest)).drop("__words")
 
 
-def token_statistics(df: DataFrame, terms: Column) -> DataFrame:
-    """(token, n uses, df documents) with map-side sums, so a token in every text is no hot key."""
-    marked = df.select(F.inline(_first_marks(terms)))
-    return marked.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("df"))
+def with_tokens(df: DataFrame, text: str = "text", name: str = "terms") -> DataFrame:
+    return df.withColumn(name, T.tokens(F.lower(T.or_empty(F.col(text))))).drop(text)
 
 
-def term_frequencies(df: DataFrame, terms: Column, key: str = "id") -> DataFrame:
+def term_frequencies(df: DataFrame, terms: str = "terms", key: str = "id") -> DataFrame:
     """(key, token, tf)."""
-    return df.select(key, F.explode(terms).alias("token")).groupBy(key, "token").agg(
+    return exploded(df, [key], F.col(terms), "token").groupBy(key, "token").agg(
         F.count(F.lit(1)).alias("tf"))
 
 
+def token_statistics(df: DataFrame, terms: str = "terms") -> DataFrame:
+    """(token, n uses, df documents).
+
+    In a sorted array an element that differs from its predecessor is the text's first use of
+    that token, so one pass counts uses and texts together. Both are summed before the shuffle:
+    a token that occurs in every text is no hot key.
+    """
+    ordered = df.select(F.array_sort(terms).alias("s"))
+    shifted = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col("s")), F.lit(1), F.size("s"))
+    marked = ordered.select(F.inline(F.zip_with("s", shifted, lambda a, b: F.struct(
+        a.alias("token"), F.when(a.eqNullSafe(b), 0).otherwise(1).alias("first")))))
+    return marked.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("df"))
+
+
 def vocabulary(statistics: DataFrame, min_df: int = 3, max_features: int = 30_000) -> DataFrame:
     """Tokens in at least ``min_df`` texts, cut to the most used; ties go to the smaller token."""
     return statistics.where(F.col("df") >= min_df).orderBy(F.desc("n"), "token").limit(max_features)
@@ -64,8 +74,6 @@ def tfidf_weights(frequencies: DataFrame, idf: DataFrame, key: str = "id") -> Da
 
 def class_weights(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Balanced weights n / (2 * class size) per label; NULL for an absent class."""
-    from .shape import to_long
-
     totals = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"y_{x}").alias(f"p_{x}") for x in labels])
     rows = to_long(totals, labels, ["n"], {"positives": "p_{}"})
     return rows.select(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..dimensions import annotate
 from ..functions import measures as M
-from .running import running_totals
+from .running import running_totals, value_range
 from .shape import to_long
 
 
@@ -98,10 +98,10 @@ def auc(points: DataFrame) -> DataFrame:
     with very many distinct scores is spread over many tasks. Pair counts are kept as exact
     integers. Both values are NULL unless the category has positives and negatives.
     """
-    z = _log_odds(F.col("score"))
-    ranged = points.withColumn("z", -z).select(
-        "*", F.floor(F.col("z") * 16).alias("block"), F.floor(F.col("z") * 65536).alias("cell")).drop("z")
-    ranged = ranged.withColumn("down", -F.col("score"))
+    z = -_log_odds(F.col("score"))
+    ranged = points.where(F.col("score").isNotNull()).select(
+        "category", "pos", "neg", (-F.col("score")).alias("down"),
+        value_range(z * 16).alias("block"), value_range(z * 65536).alias("cell"))
     run = running_totals(ranged, ["category"], ["block"], ["cell"], ["down"], ["pos", "neg"])
     tp = F.col("before_pos") + F.col("pos")
     fp = F.col("before_neg") + F.col("neg")

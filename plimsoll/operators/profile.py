@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..dimensions import annotate
 from ..functions import measures as M
 from ..functions import text as T
-from .shape import to_long
+from .shape import exploded, to_long
 
 CLEAN = "(clean)"
 
@@ -82,8 +82,8 @@ def length_median(df: DataFrame, labels: Sequence[str], length: str = "char_len"
     """
     bands = [F.when(F.col(f"y_{x}") == 1, F.lit(x)) for x in labels]
     bands.append(F.when(~any_label(labels), F.lit(CLEAN)))
-    long = df.select(F.explode(F.array_compact(F.array(*bands))).alias("category"), F.col(length).alias("len"))
-    counts = long.groupBy("category", "len").agg(F.count(F.lit(1)).alias("n"))
+    long = exploded(df, [length], F.array_compact(F.array(*bands)), "category")
+    counts = long.groupBy("category", F.col(length).alias("len")).agg(F.count(F.lit(1)).alias("n"))
     return counts.groupBy("category").agg(
         F.percentile("len", 0.5, F.col("n")).alias("median_chars")
     ).orderBy("median_chars", "category")
@@ -145,6 +145,6 @@ def term_mentions(df: DataFrame, terms: DataFrame, key: str = "id", text: str =
     otherwise shuffles, where a frequent word is split by the adaptive skew rule.
     """
     words = F.array_distinct(T.tokens(F.lower(T.or_empty(F.col(text)))))
-    exploded = df.select(key, F.explode(words).alias("term"))
-    return exploded.join(terms.select("group_name", "term").distinct(), "term").select(
+    used = exploded(df, [key], words, "term")
+    return used.join(terms.select("group_name", "term").distinct(), "term").select(
         key, "group_name").distinct()

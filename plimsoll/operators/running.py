@@ -10,10 +10,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def value_range(scaled: Column) -> Column:
+    """Whole-number range of a scaled key. Declared never NULL, so that joins on it add no filter
+    and the readers of the input keep identical plans, which lets Spark run their shuffle once."""
+    return F.coalesce(F.floor(scaled).cast("long"), F.lit(0).cast("long"))
+
+
 def running_totals(df: DataFrame, by: Sequence[str], coarse: Sequence[str], fine: Sequence[str],
                    order: Sequence[str], sums: Sequence[str]) -> DataFrame:
     """Adds ``before_<s>`` for each summed column: the total of all rows earlier in the order.
@@ -46,6 +52,6 @@ def running_totals(df: DataFrame, by: Sequence[str], coarse: Sequence[str], fine
 def numbered(df: DataFrame, coarse: Sequence[str], position: str, name: str = "seq",
              span: int = 100_000) -> DataFrame:
     """Gap-free 1..n numbers in the order (coarse..., position) for a table of any size."""
-    prepared = df.withColumns({"__range": F.floor(F.col(position) / span), "__one": F.lit(1).cast("long")})
+    prepared = df.withColumns({"__range": value_range(F.col(position) / span), "__one": F.lit(1).cast("long")})
     counted = running_totals(prepared, [], coarse, ["__range"], [position], ["__one"])
     return counted.select(*df.columns, (F.col("before___one") + 1).alias(name))

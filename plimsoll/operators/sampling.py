@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import measures as M
 from ..functions import text as T
 from .profile import any_label
+from .shape import exploded
 
 
 def with_split(df: DataFrame, key: str = "id", seed: int = 42, test_size: float = 0.2) -> DataFrame:
@@ -55,9 +56,9 @@ def label_samples(df: DataFrame, texts: DataFrame, labels: Sequence[str], stems:
     The draw runs on keys alone; the text is fetched afterwards for the chosen rows only.
     """
     strata = [F.when(F.col(f"y_{x}") == 1, F.lit(x)) for x in labels]
-    present = F.array_compact(F.array(*strata))
-    long = df.select(key, present.alias("present"), M.hash_order(F.col(key), seed).alias("draw"),
-                     F.explode(present).alias("category"))
+    marked = df.select(key, F.array_compact(F.array(*strata)).alias("present"),
+                       M.hash_order(F.col(key), seed).alias("draw"))
+    long = exploded(marked, [key, "present", "draw"], F.col("present"), "category")
     chosen = top_per_stratum(long, "category", "draw", k)
     others = F.concat_ws(", ", F.array_remove("present", F.col("category")))
     chosen = chosen.select(key, "category", "pick",

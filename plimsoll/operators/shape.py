@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,3 +20,12 @@ def to_long(df: DataFrame, labels: Sequence[str], keep: Sequence[str], measures:
         for label in labels
     ]
     return df.select(*keep, F.inline(F.array(*structs)))
+
+
+def exploded(df: DataFrame, keep: Sequence[str], array: Column, name: str) -> DataFrame:
+    """One row per array element; empty arrays give none.
+
+    The outer form is used because the plain one makes the optimizer add a "size > 0" filter,
+    which computes a derived array a second time, next to the scan.
+    """
+    return df.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())

@@ -41,9 +41,11 @@ def parse_verdicts(raw: DataFrame, labels: Sequence[str], payload: str = "payloa
 
     'malformed' is text that is not JSON of the right types, 'incomplete' lacks a required flag.
     """
-    parsed = raw.withColumn(
-        "v", F.from_json(F.col(payload), verdict_schema(labels),
-                         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    parse = F.from_json(F.col(payload), verdict_schema(labels),
+                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    # exploding the one-element array makes each answer parse once: a plain column would be
+    # copied into every filter and field access that the optimizer moves below it
+    parsed = raw.select("*", F.explode(F.array(parse)).alias("v"))
     lacking = F.lit(False)
     for x in labels:
         lacking = lacking | F.col(f"v.{x}").isNull()

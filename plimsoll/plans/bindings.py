@@ -130,8 +130,9 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored_from(text_facts(spark, sf_dir)).join(truth(spark, sf_dir), "doc_id")
 
 
-def scored_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_long(scored(spark, sf_dir), LABELS, ["doc_id"], {"y": "y_{}", "pred": "pred_{}", "score": "score_{}"})
+def scored_long(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    rows = scored(spark, sf_dir) if rows is None else rows
+    return to_long(rows, LABELS, ["doc_id"], {"y": "y_{}", "pred": "pred_{}", "score": "score_{}"})
 
 
 def lengths(spark: SparkSession, sf_dir: str) -> DataFrame:

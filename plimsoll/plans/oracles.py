@@ -427,8 +427,10 @@ ORACLES: dict[str, str] = {
       FROM (SELECT flagged, total, unnest(range(1, 61))::INT AS bin FROM totals) LEFT JOIN c USING (flagged, bin)""",
     "group_mentions": _group_mentions(),
     "group_mentions_joined": f"""WITH t AS (
-        SELECT DISTINCT 'item_' || item_id AS group_name, unnest({TOKENS.replace("TEXT", "lower(text)")}) AS term
-        FROM benchmark),
+        SELECT DISTINCT 'benchmark' AS group_name, unnest({TOKENS.replace("TEXT", "lower(text)")}) AS term
+        FROM benchmark
+        UNION ALL SELECT DISTINCT 'users', unnest({TOKENS.replace("TEXT", "lower(text)")})
+        FROM conversations WHERE role = 'user'),
       w AS (SELECT DISTINCT doc_id, unnest({TOKENS.replace("TEXT", "lower(text)")}) AS term FROM documents)
       SELECT group_name, count(DISTINCT doc_id) AS mentions FROM w JOIN t USING (term) GROUP BY 1""",
     "split_census": f"""SELECT CASE WHEN {SPLIT} THEN 'train' ELSE 'test' END AS split, lang, count(*) AS n

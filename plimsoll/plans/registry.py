@@ -14,8 +14,9 @@ from ..operators import champion as C
 from ..operators import fairness, features, kri, metrics, profile, sampling
 from ..operators import verdicts as V
 from ..operators.lexical import Lexicon
-from ..operators.shape import to_long
+from ..operators.shape import exploded, to_long
 from ..sources import corpus
+from ..sources.stage import staged
 from ..streaming import cycles
 from . import bindings as X
 
@@ -115,11 +116,13 @@ def group_mentions(spark, d):
 
 @query
 def group_mentions_joined(spark, d):
-    """J8 for a lexicon held in a table: the distinct words of every benchmark item, per item."""
-    words = T.tokens(F.lower(F.col("text")))
-    terms = X.table(spark, d, "benchmark").select(
-        F.concat(F.lit("item_"), F.col("item_id").cast("string")).alias("group_name"),
-        F.explode(F.array_distinct(words)).alias("term"))
+    """J8 for lexicons held in a table: documents using any word of the benchmark, or of the users' turns."""
+    words = F.array_distinct(T.tokens(F.lower(F.col("text"))))
+    sources = {"benchmark": X.table(spark, d, "benchmark"),
+               "users": X.table(spark, d, "conversations").where(F.col("role") == "user")}
+    parts = [exploded(df.withColumn("group_name", F.lit(name)), ["group_name"], words, "term")
+             for name, df in sources.items()]
+    terms = parts[0].unionByName(parts[1])
     mentions = profile.term_mentions(X.documents(spark, d), terms, "doc_id")
     return mentions.groupBy("group_name").agg(F.count(F.lit(1)).alias("mentions"))
 
@@ -174,7 +177,7 @@ def confusion(spark, d):
 @query
 def scorecard(spark, d):
     """A10, A11, A12, O2, M12"""
-    return _rounded(metrics.per_category_metrics(X.scored_long(spark, d), X.dimension(spark).where(
+    return _rounded(metrics.per_category_metrics(X.scored_long(spark, d, staged(X.scored(spark, d))), X.dimension(spark).where(
         F.col("category").isin(X.LABELS))), ["roc_auc", "pr_auc"], 9)
 
 
@@ -208,7 +211,7 @@ def flat_vs_tiered(spark, d):
 @query
 def group_fpr(spark, d):
     """A14, A15, O3"""
-    return fairness.group_false_positives(X.scored(spark, d), list(X.GROUPS), "toxic")
+    return _gaps(X.scored(spark, d))
 
 
 # -- lexical control and verdict tables -------------------------------------------------------
@@ -350,16 +353,17 @@ def battery_summary(spark, d):
 @query
 def battery_board(spark, d):
     """J5"""
-    return B.control_board(B.suite_summary(_scored_battery(spark, d)),
-                           B.suite_summary(_scored_battery(spark, d, "challenger")))
+    rows = staged(X.judged_battery(spark, d))
+    return B.control_board(B.suite_summary(B.score_rows(rows, X.HEADS, "champion_{}")),
+                           B.suite_summary(B.score_rows(rows, X.HEADS, "challenger_{}")))
 
 
 @query
 def battery_gates(spark, d):
     """G3, A18, U1"""
-    gates = X.gates(spark)
-    return B.gate_report(_scored_battery(spark, d), gates, "champion").unionByName(
-        B.gate_report(_scored_battery(spark, d, "challenger"), gates, "challenger"))
+    gates, rows = X.gates(spark), staged(X.judged_battery(spark, d))
+    return B.gate_report(B.score_rows(rows, X.HEADS, "champion_{}"), gates, "champion").unionByName(
+        B.gate_report(B.score_rows(rows, X.HEADS, "challenger_{}"), gates, "challenger"))
 
 
 @query
@@ -385,11 +389,12 @@ def kri_clause_fabrication(spark, d):
     return V.fabricated_clauses(parsed.where(F.col("parse_status") == "ok"), X.taxonomy(spark), "doc_id")
 
 
-def _reliability(spark, d):
+def _reliability(spark, d, scored=None, battery=None):
     parsed = V.parse_verdicts(X.answers(spark, d), X.HEADS)
     rows = kri.reliability(parsed, X.HEADS, list(X.CLAUSES.values()), X.rationale_speaks_of_harm())
-    return rows.unionByName(kri.overconfidence(_scored_battery(spark, d))).unionByName(
-        kri.low_confidence(X.scored_long(spark, d), X.dimension(spark)))
+    battery = _scored_battery(spark, d) if battery is None else battery
+    return rows.unionByName(kri.overconfidence(battery)).unionByName(
+        kri.low_confidence(X.scored_long(spark, d, scored), X.dimension(spark)))
 
 
 @query
@@ -408,8 +413,8 @@ def kri_instability(spark, d):
     return kri.instability(rows, "base", list(variants))
 
 
-def _drift(spark, d):
-    rows = sampling.with_split(X.scored(spark, d), "doc_id")
+def _drift(spark, d, scored=None):
+    rows = sampling.with_split(X.scored(spark, d) if scored is None else scored, "doc_id")
     counts = metrics.confusion_wide(rows, X.LABELS, ["split"])
     card = lambda side: metrics.scorecard(counts.where(F.col("split") == side), X.dimension(spark))
     return kri.drift_kri(card("train"), card("test"), X.dimension(spark))
@@ -441,23 +446,34 @@ def drift_cycles(spark, d):
     return kri.drift_cycles(cards, X.event_dimension(spark))
 
 
+def _staged_inputs(spark, d):
+    """The two narrow tables every indicator reads, each taken from its text scan once."""
+    return staged(X.scored(spark, d)), staged(_scored_battery(spark, d))
+
+
+def _gaps(scored: DataFrame) -> DataFrame:
+    return fairness.group_false_positives(scored, list(X.GROUPS), "toxic")
+
+
 @query
 def dashboard(spark, d):
     """G7, A19, F13, U3"""
-    return kri.dashboard(_drift(spark, d), group_fpr(spark, d), gate_k3(spark, d), _reliability(spark, d))
+    scored, battery = _staged_inputs(spark, d)
+    gate = B.gate_status(B.gate_report(battery, X.gates(spark), "champion"))
+    return kri.dashboard(_drift(spark, d, scored), _gaps(scored), gate, _reliability(spark, d, scored, battery))
 
 
 @query
 def escalations(spark, d):
     """G9"""
+    scored, battery = _staged_inputs(spark, d)
     tier = F.lit(None).cast("string")
-    findings = _drift(spark, d).select(
+    findings = _drift(spark, d, scored).select(
         F.lit("drift").alias("source"), F.col("category").alias("subject"), "severity_tier",
         F.col("kri_status").alias("status"))
-    gaps = group_fpr(spark, d).select(F.lit("gap"), "group_name", tier, "status")
-    gates = B.gate_report(_scored_battery(spark, d), X.gates(spark), "champion").select(
-        F.lit("gate"), "gate", tier, "status")
-    reliability = _reliability(spark, d).select(F.lit("reliability"), "kri", tier, "status")
+    gaps = _gaps(scored).select(F.lit("gap"), "group_name", tier, "status")
+    gates = B.gate_report(battery, X.gates(spark), "champion").select(F.lit("gate"), "gate", tier, "status")
+    reliability = _reliability(spark, d, scored, battery).select(F.lit("reliability"), "kri", tier, "status")
     return kri.escalations(findings.union(gaps).union(gates).union(reliability), X.escalation_rules(spark))
 
 
@@ -466,7 +482,7 @@ def escalations(spark, d):
 @query
 def token_counts(spark, d):
     """F6"""
-    return features.token_statistics(X.documents(spark, d), T.tokens(F.lower(F.col("text"))))
+    return features.token_statistics(features.with_tokens(X.documents(spark, d).select("text")))
 
 
 @query
@@ -475,30 +491,30 @@ def fold_accents(spark, d):
     return X.documents(spark, d).select("doc_id", T.fold_accents(F.lower(F.col("text"))).alias("folded"))
 
 
-def _grams():
-    return features.text_grams(F.col("text"), X.STOP_WORDS)
+def _grams(spark, d):
+    return features.with_grams(X.documents(spark, d).select("doc_id", "text"), "text", X.STOP_WORDS)
 
 
 @query
 def ngram_counts(spark, d):
     """F8"""
-    return features.token_statistics(X.documents(spark, d), _grams())
+    return features.token_statistics(_grams(spark, d))
 
 
 @query
 def vocabulary(spark, d):
     """L2"""
-    return features.vocabulary(features.token_statistics(X.documents(spark, d), _grams()))
+    return features.vocabulary(features.token_statistics(_grams(spark, d)))
 
 
 @query
 def tfidf_weights(spark, d):
     """L3"""
-    docs = X.documents(spark, d)
-    vocab = features.vocabulary(features.token_statistics(docs, _grams()))
+    grams = _grams(spark, d)
+    vocab = features.vocabulary(features.token_statistics(grams))
     total = X.table(spark, d, "documents").agg(F.count(F.lit(1)).alias("n_texts"))
     weights = features.tfidf_weights(
-        features.term_frequencies(docs, _grams(), "doc_id"), features.with_idf(vocab, total), "doc_id")
+        features.term_frequencies(grams, key="doc_id"), features.with_idf(vocab, total), "doc_id")
     return _rounded(weights, ["weight"], 9)
 
 
