@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .features import token_statistics, vocabulary, with_grams
 from .sampling import with_split
 
+ROWS_PER_TASK = 20_000
+
 
 def _reweighting(idf: np.ndarray):
     """Arrow-batched rewrite of sparse counts to (1 + ln tf) * idf; Spark's own IDF stage has
@@ -94,7 +96,7 @@ class Champion:
 
 def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[str] = (), text: str = "text",
                  max_features: int = 30_000, longest: int = 2, c: float = 4.0, min_df: int = 3,
-                 balanced: bool = True, max_iter: int = 1000) -> Champion:
+                 balanced: bool = True, max_iter: int = 1000, tol: float = 1e-5) -> Champion:
     """Fit vocabulary, idf and one independent L2 head per label on ``y_<label>``.
 
     The loss is the sum over weighted rows plus ||b||^2 / (2c), so Spark's mean loss takes
@@ -112,6 +114,8 @@ def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[s
 
     rows = model.features(train.select(text, *[f"y_{x}" for x in labels]), text).persist()
     try:
+        # each solver step is one job over the cached rows; few rows do not deserve many tasks
+        packed = rows.coalesce(n // ROWS_PER_TASK + 1)
         for x in labels:
             pos = counts[x]
             if not 0 < pos < n:
@@ -120,8 +124,8 @@ def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[s
             weight = F.when(y == 1, n / (2.0 * pos)).otherwise(n / (2.0 * (n - pos))) if balanced else F.lit(1.0)
             head = LogisticRegression(
                 featuresCol="features", labelCol="y", weightCol="w", maxIter=max_iter, regParam=1.0 / (c * n),
-                elasticNetParam=0.0, standardization=False, tol=1e-6)
-            model.heads[x] = head.fit(rows.select("features", y.cast("double").alias("y"), weight.alias("w")))
+                elasticNetParam=0.0, standardization=False, tol=tol)
+            model.heads[x] = head.fit(packed.select("features", y.cast("double").alias("y"), weight.alias("w")))
     finally:
         rows.unpersist()
     return model

@@ -524,9 +524,17 @@ def class_weights(spark, d):
     return features.class_weights(X.truth(spark, d), X.LABELS)
 
 
+_TRAINED: dict[tuple[str, str], C.Champion] = {}
+
+
 def _champion(spark, d):
+    """The trained control and the split rows; fitted once per application and data folder."""
     docs = X.documents(spark, d).select("doc_id", "text").join(X.truth(spark, d), "doc_id")
-    return C.train_baseline(docs, X.LABELS, "doc_id", stop_words=X.STOP_WORDS)
+    key = (spark.sparkContext.applicationId, d)
+    if key in _TRAINED:
+        return _TRAINED[key], sampling.with_split(docs, "doc_id")
+    _TRAINED[key], rows = C.train_baseline(docs, X.LABELS, "doc_id", stop_words=X.STOP_WORDS)
+    return _TRAINED[key], rows
 
 
 @query
@@ -541,7 +549,7 @@ def train_scores(spark, d):
 def train_scorecard(spark, d):
     """L7 into A10-A12: the hold-out scorecard of the trained control"""
     return metrics.per_category_metrics(
-        train_scores(spark, d), X.dimension(spark).where(F.col("category").isin(X.LABELS)))
+        staged(train_scores(spark, d)), X.dimension(spark).where(F.col("category").isin(X.LABELS)))
 
 
 @query
