@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,23 +30,23 @@ def _asserts() -> Column:
     return ~F.col("should_flag") | (F.size("expected") > 0)
 
 
-def expand_templates(suites: DataFrame, identities: DataFrame | None = None) -> DataFrame:
+def expand_templates(suites: DataFrame, identities: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Every template filled with every identity, templates outermost.
 
-    Identities come from the suite itself and, when given, from a table
-    ``(suite, pos, identity)`` of any size: the few suite rows are sent to the identity rows,
-    which are matched by suite name and exploded by template in place.
+    Identities come from the suite itself and, per suite name, from a table ``(pos, identity)``
+    of any size. A table's rows take the suite as one looked-up value and are exploded by its
+    templates in place: no join, no shuffle.
     """
     spec = suites.where(F.col("type") == "template")
-    inline = spec.select(
-        "*", F.posexplode("identities").alias("pos", "identity")).withColumn("pos", F.col("pos").cast("long"))
-    filled = inline
-    if identities is not None:
-        listed = F.size("identities").cast("long")
-        given = identities.select("suite", F.col("pos").alias("ident_pos"), "identity")
-        tabled = given.join(F.broadcast(spec), "suite").withColumn(
-            "pos", listed + F.col("ident_pos")).drop("ident_pos")
-        filled = inline.unionByName(tabled)
+    fields = [*SUITE_FIELDS, "expected", "templates"]
+    filled = spec.select(*fields, F.posexplode("identities").alias("pos", "identity")).withColumn(
+        "pos", F.col("pos").cast("long"))
+    for name, table in (identities or {}).items():
+        one = suites.where(F.col("suite") == name).select(
+            F.struct(*fields, F.size("identities").alias("listed")).alias("s")).scalar()
+        rows = table.select("pos", "identity", one.alias("s")).select(
+            *[F.col(f"s.{x}") for x in fields], (F.col("s.listed") + F.col("pos")).alias("pos"), "identity")
+        filled = filled.unionByName(rows)
     rows = filled.select("*", F.posexplode("templates").alias("block", "template"))
     return rows.select(
         "suite_ord", "block", "pos", "suite", "failure_mode", "regulation_ref", "should_flag",
@@ -75,7 +75,7 @@ def table_cases(rows: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         *carry).withColumn("asserts_specific", _asserts()).select(*CASE_FIELDS, *carry)
 
 
-def case_rows(suites: DataFrame, identities: DataFrame | None = None, extra: DataFrame | None = None) -> DataFrame:
+def case_rows(suites: DataFrame, identities: Mapping[str, DataFrame] | None = None, extra: DataFrame | None = None) -> DataFrame:
     """All cases with their position (suite, block, pos), not yet numbered."""
     parts = [expand_templates(suites, identities).select(*CASE_FIELDS), written_cases(suites)]
     if extra is not None:
@@ -102,7 +102,7 @@ def number_cases(rows: DataFrame, labels: Sequence[str], prefix: str = "RT") ->
         *expected_columns(labels))
 
 
-def battery_cases(suites: DataFrame, labels: Sequence[str], identities: DataFrame | None = None,
+def battery_cases(suites: DataFrame, labels: Sequence[str], identities: Mapping[str, DataFrame] | None = None,
                   extra: DataFrame | None = None, prefix: str = "RT") -> DataFrame:
     return number_cases(case_rows(suites, identities, extra), labels, prefix)
 

@@ -55,10 +55,9 @@ def vocabulary(statistics: DataFrame, min_df: int = 3, max_features: int = 30_00
 
 
 def with_idf(vocab: DataFrame, n_texts: DataFrame) -> DataFrame:
-    """Adds idf = ln((1 + n) / (1 + df)) + 1; ``n_texts`` is a one-row count."""
-    total = n_texts.select(F.col("n_texts"), F.lit(1).alias("__k"))
-    return vocab.withColumn("__k", F.lit(1)).join(F.broadcast(total), "__k").select(
-        "token", "n", "df", (F.log((1 + F.col("n_texts")) / (1 + F.col("df"))) + 1).alias("idf"))
+    """Adds idf = ln((1 + n) / (1 + df)) + 1; ``n_texts`` is a one-row, one-column count."""
+    idf = F.log((1 + n_texts.scalar()) / (1 + F.col("df"))) + 1
+    return vocab.select("token", "n", "df", idf.alias("idf"))
 
 
 def tfidf_weights(frequencies: DataFrame, idf: DataFrame, key: str = "id") -> DataFrame:

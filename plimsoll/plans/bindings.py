@@ -140,10 +140,9 @@ def lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(truth(spark, sf_dir), "doc_id")
 
 
-def _identities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
-        F.lit("benign_names").alias("suite"), F.col("c_custkey").cast("long").alias("pos"),
-        F.col("c_name").alias("identity"))
+def _identities(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {"benign_names": table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("long").alias("pos"), F.col("c_name").alias("identity"))}
 
 
 def _document_cases(spark: SparkSession, sf_dir: str, flags: dict[str, Column]) -> DataFrame:
