@@ -7,6 +7,7 @@ document counts, and one coefficient vector per label. Texts and features stay i
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,12 +15,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel, Normalizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
+from ..sources.stage import staged
 from .features import token_statistics, vocabulary, with_grams
 from .sampling import with_split
 
@@ -44,17 +47,20 @@ def _reweighting(idf: np.ndarray):
 @dataclass
 class Champion:
     labels: list[str]
-    tokens: list[str]
+    counter: CountVectorizerModel
     idf: np.ndarray
     heads: dict[str, LogisticRegressionModel]
     stop_words: list[str]
     longest: int = 2
 
+    @property
+    def tokens(self) -> list[str]:
+        return list(self.counter.vocabulary)
+
     def features(self, df: DataFrame, text: str = "text") -> DataFrame:
         """Replaces the text by the unit-length ``features`` vector; a map-only step."""
-        counted = CountVectorizerModel.from_vocabulary(
-            self.tokens, inputCol="__grams", outputCol="__counts").setMinTF(1.0)
-        rows = counted.transform(with_grams(df, text, self.stop_words, self.longest, "__grams")).drop("__grams")
+        rows = with_grams(df, text, self.stop_words, self.longest, "__grams")
+        rows = self.counter.transform(rows).drop("__grams")
         rows = rows.withColumn("__raw", _reweighting(self.idf)("__counts")).drop("__counts")
         return Normalizer(inputCol="__raw", outputCol="features", p=2.0).transform(rows).drop("__raw")
 
@@ -70,33 +76,40 @@ class Champion:
 
     def weights(self, spark: SparkSession) -> DataFrame:
         """(category, token, weight), vocabulary by labels."""
+        tokens = self.tokens
         parts = [
-            pa.table({"category": [x] * len(self.tokens), "token": self.tokens,
+            pa.table({"category": [x] * len(tokens), "token": tokens,
                       "weight": self.heads[x].coefficients.toArray()})
             for x in self.labels]
         return spark.createDataFrame(pa.concat_tables(parts))
 
     def save(self, spark: SparkSession, path: str) -> None:
-        vocab = pa.table({"position": np.arange(len(self.tokens)), "token": self.tokens, "idf": self.idf})
-        spark.createDataFrame(vocab).write.mode("overwrite").parquet(f"{path}/vocabulary")
-        meta = pa.table({"labels": [self.labels], "stop_words": [self.stop_words], "longest": [self.longest]})
-        spark.createDataFrame(meta).coalesce(1).write.mode("overwrite").json(f"{path}/settings")
+        self.counter.write().overwrite().save(f"{path}/counter")
         for label, head in self.heads.items():
             head.write().overwrite().save(f"{path}/heads/{label}")
+        meta = pa.table({"labels": [self.labels], "stop_words": [self.stop_words], "longest": [self.longest],
+                         "idf": [self.idf]})
+        spark.createDataFrame(meta).coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Champion:
-        vocab = spark.read.parquet(f"{path}/vocabulary").orderBy("position").toPandas()
-        meta = spark.read.json(f"{path}/settings").first()
+        meta = spark.read.parquet(f"{path}/settings").first()
         labels = list(meta["labels"])
-        return cls(labels, vocab["token"].tolist(), vocab["idf"].to_numpy(),
+        return cls(labels, CountVectorizerModel.load(f"{path}/counter"), np.array(meta["idf"]),
                    {x: LogisticRegressionModel.load(f"{path}/heads/{x}") for x in labels},
                    list(meta["stop_words"]), int(meta["longest"]))
 
 
+def fit_counter(vocab: DataFrame, size: int) -> CountVectorizerModel:
+    """A count stage over exactly the tokens of a vocabulary table; positions are the stage's own."""
+    single = vocab.select(F.array("token").alias("__grams"))
+    return CountVectorizer(inputCol="__grams", outputCol="__counts", vocabSize=size, minDF=1.0, minTF=1.0).fit(single)
+
+
 def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[str] = (), text: str = "text",
                  max_features: int = 30_000, longest: int = 2, c: float = 4.0, min_df: int = 3,
-                 balanced: bool = True, max_iter: int = 1000, tol: float = 1e-5) -> Champion:
+                 balanced: bool = True, max_iter: int = 1000, tol: float = 1e-5,
+                 parallelism: int = 4) -> Champion:
     """Fit vocabulary, idf and one independent L2 head per label on ``y_<label>``.
 
     The loss is the sum over weighted rows plus ||b||^2 / (2c), so Spark's mean loss takes
@@ -105,27 +118,35 @@ def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[s
     stop_words = list(stop_words)
     stats = token_statistics(with_grams(train.select(text), text, stop_words, longest))
     counts = train.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"y_{x}").alias(x) for x in labels]).first()
-    vocab = vocabulary(stats, min_df, max_features).toPandas()
-    if vocab.empty:
+    vocab = staged(vocabulary(stats, min_df, max_features))
+    frequencies = {r["token"]: r["df"] for r in vocab.select("token", "df").toLocalIterator()}
+    if not frequencies:
         raise ValueError("empty vocabulary: no token reaches min_df")
     n = counts["n"]
-    idf = np.log((1.0 + n) / (1.0 + vocab["df"].to_numpy(dtype=float))) + 1.0
-    model = Champion(list(labels), vocab["token"].tolist(), idf, {}, stop_words, longest)
+    for x in labels:
+        if not counts[x] or counts[x] == n:
+            raise ValueError(f"label {x!r} needs both classes in the training rows")
+    counter = fit_counter(vocab, max_features)
+    df = np.array([frequencies[t] for t in counter.vocabulary], dtype=float)
+    model = Champion(list(labels), counter, np.log((1.0 + n) / (1.0 + df)) + 1.0, {}, stop_words, longest)
 
     rows = model.features(train.select(text, *[f"y_{x}" for x in labels]), text).persist()
+    # each solver step is one job over the cached rows; few rows do not deserve many tasks
+    packed = rows.coalesce(n // ROWS_PER_TASK + 1)
+
+    def fit_head(x: str) -> LogisticRegressionModel:
+        pos = counts[x]
+        y = F.col(f"y_{x}")
+        weight = F.when(y == 1, n / (2.0 * pos)).otherwise(n / (2.0 * (n - pos))) if balanced else F.lit(1.0)
+        head = LogisticRegression(
+            featuresCol="features", labelCol="y", weightCol="w", maxIter=max_iter, regParam=1.0 / (c * n),
+            elasticNetParam=0.0, standardization=False, tol=tol)
+        return head.fit(packed.select("features", y.cast("double").alias("y"), weight.alias("w")))
+
     try:
-        # each solver step is one job over the cached rows; few rows do not deserve many tasks
-        packed = rows.coalesce(n // ROWS_PER_TASK + 1)
-        for x in labels:
-            pos = counts[x]
-            if not 0 < pos < n:
-                raise ValueError(f"label {x!r} needs both classes in the training rows")
-            y = F.col(f"y_{x}")
-            weight = F.when(y == 1, n / (2.0 * pos)).otherwise(n / (2.0 * (n - pos))) if balanced else F.lit(1.0)
-            head = LogisticRegression(
-                featuresCol="features", labelCol="y", weightCol="w", maxIter=max_iter, regParam=1.0 / (c * n),
-                elasticNetParam=0.0, standardization=False, tol=tol)
-            model.heads[x] = head.fit(packed.select("features", y.cast("double").alias("y"), weight.alias("w")))
+        # the heads are independent; a few at a time keep the cluster busy between solver steps
+        with ThreadPoolExecutor(min(parallelism, len(labels))) as pool:
+            model.heads.update(zip(labels, pool.map(inheritable_thread_target(train.sparkSession)(fit_head), labels)))
     finally:
         rows.unpersist()
     return model

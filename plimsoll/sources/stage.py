@@ -8,15 +8,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_TEMPORARY: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names for checkpoints; a temporary one only where none is set."""
-    folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="plimsoll-")
-        spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    application = spark.sparkContext.applicationId
+    if application not in _TEMPORARY:
+        _TEMPORARY[application] = tempfile.mkdtemp(prefix="plimsoll-")
+    return _TEMPORARY[application]
 
 
 def staged(df: DataFrame) -> DataFrame:
@@ -26,7 +29,6 @@ def staged(df: DataFrame) -> DataFrame:
     so writing them costs far less than scanning again, and a lost executor later on re-reads
     files instead of re-running the scan. Columnar, so each reader takes only what it needs.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/plimsoll/{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/plimsoll/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -56,7 +57,8 @@ def test_model_features_equal_the_long_form(spark, docs):
     vocab, want = brute_tfidf(2, 5)
     df = Counter(t for text in TEXTS for t in set(py_grams(text)))
     idf = np.array([math.log((1 + len(TEXTS)) / (1 + df[t])) + 1 for t in vocab])
-    model = C.Champion([], vocab, idf, {}, STOP)
+    counter = CountVectorizerModel.from_vocabulary(vocab, inputCol="__grams", outputCol="__counts")
+    model = C.Champion([], counter, idf, {}, STOP)
     rows = model.features(docs).select("id", vector_to_array("features").alias("v")).collect()
     got = {(r["id"], vocab[j]): v for r in rows for j, v in enumerate(r["v"]) if v}
     assert got == pytest.approx(want)
