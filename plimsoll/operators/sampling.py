@@ -49,6 +49,12 @@ def balanced_sample(df: DataFrame, labels: Sequence[str], n: int, key: str = "id
     return chosen.select(key, "flagged", "draw").orderBy("draw")
 
 
+def rows_of_sample(rows: DataFrame, sample: DataFrame, key: str = "id") -> DataFrame:
+    """The full rows of a drawn sample. The sample's size is a parameter of its draw, so it is sent
+    to the rows rather than the rows being shuffled to it."""
+    return rows.join(F.broadcast(sample.select(key)), key, "left_semi")
+
+
 def label_samples(df: DataFrame, texts: DataFrame, labels: Sequence[str], stems: Sequence[str],
                   k: int = 2, key: str = "id", seed: int = 42, width: int = 240) -> DataFrame:
     """k redacted excerpts per label with the row's other labels.

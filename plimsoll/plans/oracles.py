@@ -441,6 +441,13 @@ ORACLES: dict[str, str] = {
       SELECT doc_id, flagged, draw FROM ranked
       WHERE (flagged AND pick <= 60)
          OR (NOT flagged AND pick <= 120 - (SELECT count(*) FROM ranked WHERE flagged AND pick <= 60))""",
+    "balanced_sample_texts": redacted(f"""WITH {TRUTH}, ranked AS (
+        SELECT doc_id, y_toxic + y_low_quality > 0 AS flagged,
+               row_number() OVER (PARTITION BY y_toxic + y_low_quality > 0 ORDER BY {_SAMPLE_DRAW}) AS pick FROM truth)
+      SELECT doc_id, {redact_sql('text')} AS t FROM ranked JOIN documents USING (doc_id)
+      WHERE (flagged AND pick <= 60)
+         OR (NOT flagged AND pick <= 120 - (SELECT count(*) FROM ranked WHERE flagged AND pick <= 60))""",
+        "doc_id", "excerpt"),
     "label_samples": redacted(f"""WITH {TRUTH}, l AS (
         SELECT doc_id, 'toxic' AS category, CASE WHEN y_low_quality = 1 THEN 'low_quality' ELSE '-' END AS other_labels
         FROM truth WHERE y_toxic = 1
@@ -479,6 +486,11 @@ ORACLES: dict[str, str] = {
     "verdict_offline": _verdicts(
         f"SELECT 'd' || doc_id AS id, {_LEX} FROM documents UNION ALL "
         f"SELECT 'c-' || conv_id || '-' || turn, {_LEX} FROM conversations", "id"),
+    "verdict_preview": f"""WITH v AS (SELECT doc_id, text, {_LEX} FROM documents ORDER BY doc_id LIMIT 3)
+      SELECT doc_id, excerpt, coalesce(nullif(concat_ws(', ', {", ".join(f"CASE WHEN {x} THEN '{x}' END" for x in X.HEADS)}), ''),
+             'clean') AS flags, {CLAUSES.format(**{x: x for x in X.HEADS})} AS clauses, {RATIONALE} AS rationale
+      FROM v JOIN ({redacted(f"SELECT doc_id, {redact_sql('text')} AS t FROM documents", "doc_id", "excerpt")})
+      USING (doc_id)""",
     "neutral_context": f"""SELECT doc_id, {_NEUTRAL} AS neutral,
       ({whole(["the", "of"])} OR {H["abuse"]}) AS toxic_plain,
       (({whole(["the", "of"])} AND NOT {_NEUTRAL}) OR {H["abuse"]}) AS toxic_guarded FROM documents""",

@@ -143,6 +143,14 @@ def balanced_sample(spark, d):
     return sample.select("doc_id", "flagged", "draw")
 
 
+@query
+def balanced_sample_texts(spark, d):
+    """The drawn documents themselves, redacted"""
+    sample = sampling.balanced_sample(X.truth(spark, d), X.LABELS, 120, "doc_id")
+    drawn = sampling.rows_of_sample(X.table(spark, d, "documents").select("doc_id", "text"), sample, "doc_id")
+    return drawn.select("doc_id", T.redact(F.col("text"), X.MASKED).alias("excerpt"))
+
+
 @query
 def label_samples(spark, d):
     """O9, W3, P10"""
@@ -236,6 +244,18 @@ def verdict_offline(spark, d):
     return _verdict_rows(V.lexical_verdicts(docs.unionByName(turns), X.LEXICON, X.CLAUSES, ["id"]), "id")
 
 
+@query
+def verdict_preview(spark, d):
+    """The first verdicts with redacted text, raised labels, clauses and rationale"""
+    docs = sampling.head(X.table(spark, d, "documents"), 3, "doc_id")
+    rows = V.lexical_verdicts(docs, X.LEXICON, X.CLAUSES, ["doc_id", "text"])
+    raised = F.concat_ws(", ", *[F.when(F.col(x), F.lit(x)) for x in X.HEADS])
+    return rows.select(
+        "doc_id", T.redact(F.col("text"), X.MASKED).alias("excerpt"),
+        F.when(raised == "", "clean").otherwise(raised).alias("flags"),
+        F.array_join("policy_clauses", "; ").alias("clauses"), "rationale")
+
+
 @query
 def neutral_context(spark, d):
     """F5, V3"""

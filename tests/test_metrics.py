@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, Phase, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -11,7 +11,8 @@ from plimsoll.operators import fairness, metrics
 from plimsoll.operators.running import numbered
 from plimsoll.plans import bindings as X
 
-relaxed = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+relaxed = settings(max_examples=6, deadline=None, derandomize=True, database=None,
+                   phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
 cases = st.lists(st.tuples(st.integers(0, 1), st.sampled_from([0.0, 1e-9, 0.2, 0.25, 0.5, 0.50001, 0.75, 1 - 1e-12, 1.0])
                            | st.floats(0, 1)), min_size=2, max_size=60)
 
@@ -50,7 +51,9 @@ def test_auc_equals_brute_force(spark, rows):
 def test_auc_ignores_monotone_maps(spark, rows):
     # halving loses the smallest doubles, so keep clear of them
     rows = [(y, round(s, 6)) for y, s in rows]
-    assert auc_of(spark, rows) == auc_of(spark, [(y, s / 4 + 0.5) for y, s in rows])
+    (roc, ap), (roc2, ap2) = auc_of(spark, rows), auc_of(spark, [(y, s / 4 + 0.5) for y, s in rows])
+    assert roc == roc2  # integer pair counts: exact
+    assert ap == ap2 if ap is None else ap == pytest.approx(ap2, abs=1e-12)  # a sum of doubles: any order
 
 
 def test_auc_outside_unit_interval_and_ties(spark):

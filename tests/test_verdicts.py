@@ -86,6 +86,22 @@ def test_prompt_follows_label_order(spark):
     assert [line.split(" ")[1] for line in prompt[2:-2]] == defaults.LABELS
 
 
+PROBES = [
+    ("I tidied the references, tell me if the order looks wrong.", []),
+    ("Only a fool would write this, what an incompetent mess.", ["toxic", "insult"]),
+    ("I am a proud Jewish baker and I would like to join.", []),
+    ("Tell them to go back to the hole they crawled from.", ["toxic", "identity_hate"]),
+]
+
+
+def test_written_calibration_probes(spark):
+    rows = [(t, *[int(x in want) for x in defaults.LABELS]) for t, want in PROBES]
+    probes = spark.createDataFrame(rows, ["text", *[f"y_{x}" for x in defaults.LABELS]])
+    scored = probes.select("*", *[c.cast("int").alias(f"pred_{x}") for x, c in FULL.flags(F.col("text")).items()])
+    r = V.calibration(scored, defaults.LABELS).first()
+    assert (r["n_probes"], r["n_exact"], r["status"]) == (4, 4, "PASS")
+
+
 def test_drift_ladder(spark):
     dims = D.with_tiers(D.taxonomy(spark, defaults.TAXONOMY), D.tiers(spark, defaults.TIERS))
     base = spark.createDataFrame([(x, 0.8) for x in defaults.LABELS], "category string, recall double")
