@@ -8,18 +8,25 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
-_TEMPORARY: dict[str, str] = {}
+_LOCAL: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a temporary one only where none is set."""
+    """The folder that the cluster names for checkpoints.
+
+    Where none is named, a session whose driver and tasks are one process gets a folder of its own;
+    on a cluster that is an error, since executors would write to their own disks.
+    """
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
     application = spark.sparkContext.applicationId
-    if application not in _TEMPORARY:
-        _TEMPORARY[application] = tempfile.mkdtemp(prefix="plimsoll-")
-    return _TEMPORARY[application]
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="plimsoll-")
+    return _LOCAL[application]
 
 
 def staged(df: DataFrame) -> DataFrame:
