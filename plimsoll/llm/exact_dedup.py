@@ -67,6 +67,10 @@ def exact_groups(docs: DataFrame, **options: int) -> DataFrame:
     listed = recipes(docs, **options)
     key = F.struct("recipe", F.coalesce("spelled", F.array().cast(listed.schema["spelled"].dataType)))
     rows = listed.select("doc_id", "text_sha256", key.alias("list"))
-    groups = rows.groupBy("list").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    return rows.join(groups, "list").select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    groups = rows.groupBy("list").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"))
+    # stored, so that the join exchanges both sides itself and can split the rows of a large group
+    several = staged(groups.where("size > 1"))
+    found = rows.join(several, "list", "left")
+    keep = F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    return found.select("doc_id", keep.alias("keep_id"), F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
+                        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256")
