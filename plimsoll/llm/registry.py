@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plimsoll.llm import decontaminate, exact_dedup, language_id, license_scan, mixing
+from plimsoll.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,15 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
-
-
 def held_out() -> Column:
     """Rows that no model may learn from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    marks = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic")
+    columns, machine = toxicity.fit(docs.select("doc_id", "text").join(marks, "doc_id"))
+    found = toxicity.toxicity(docs, columns, machine, keep=["doc_id"])
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language_id.language_id(docs, docs.where(~held_out()), keep=["doc_id"])
@@ -44,7 +52,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_exact_dedup, op4_language_id, op5_license_scan, op7_source_mix, op8_decontaminate)}
+    op2_toxicity, op3_exact_dedup, op4_language_id, op5_license_scan, op7_source_mix, op8_decontaminate)}
 
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
