@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plimsoll.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, toxicity
+from plimsoll.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +44,14 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -52,7 +61,8 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_toxicity, op3_exact_dedup, op4_language_id, op5_license_scan, op7_source_mix, op8_decontaminate)}
+    op2_toxicity, op3_exact_dedup, op4_language_id, op5_license_scan, op6_token_files,
+    op7_source_mix, op8_decontaminate)}
 
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
