@@ -10,8 +10,10 @@ and rules are ordered so that of equal intervals the earlier rule's stays.
 from __future__ import annotations
 
 import re
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plimsoll.llm.columns import plain_words, row_hash, word_count
@@ -60,11 +62,14 @@ def detections(docs: DataFrame) -> DataFrame:
     one = [o for o in starts if " " not in o]
     two = [o for o in starts if " " in o]
     heads = sorted({o.split(" ")[0] for o in two})
-    texts = docs.select("doc_id", row_hash(F.col("text")).alias("row"), plain_words(F.col("text")).alias("joined"))
-    gate = F.lit(False)
-    for keyword in KEYWORDS:
-        gate = gate | F.contains("joined", F.lit(keyword))
-    words = texts.where(gate).select("doc_id", "row", F.split("joined", " ").alias("w"))
+
+    def gate(joined: Column) -> Column:
+        return reduce(or_, [F.contains(joined, F.lit(keyword)) for keyword in KEYWORDS])
+
+    # a plain filter would be evaluated on the text, with its words taken anew for each keyword
+    held = docs.select("doc_id", row_hash(F.col("text")).alias("row"),
+                       F.explode(F.filter(F.array(plain_words(F.col("text"))), gate)).alias("joined"))
+    words = held.select("doc_id", "row", F.split("joined", " ").alias("w"))
     indexed = F.transform("w", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
     opened = F.filter(indexed, lambda x: x["w"].isin(one) | (x["w"].isin(heads) & F.concat_ws(
         " ", x["w"], F.get(F.col("w"), x["i"] + 1)).isin(two)))
