@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plimsoll.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, token_files, toxicity
+from plimsoll.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, substring_dedup, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.substring_dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     marks = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic")
@@ -61,13 +65,29 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_toxicity, op3_exact_dedup, op4_language_id, op5_license_scan, op6_token_files,
+    op1_substring_dedup, op2_toxicity, op3_exact_dedup, op4_language_id, op5_license_scan, op6_token_files,
     op7_source_mix, op8_decontaminate)}
 
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                      lambda x: x <> '') AS w FROM documents),
+r AS (SELECT doc_id, s, md5(array_to_string(w[s:s + 19], ' ')) AS run
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)),
+f AS (SELECT doc_id, s, row_number() OVER (PARTITION BY run ORDER BY doc_id, s) > 1 AS later FROM r),
+p AS (SELECT doc_id, s, later AND NOT (coalesce(lag(later) OVER o, false) AND lag(s) OVER o = s - 1) AS begins
+      FROM f WINDOW o AS (PARTITION BY doc_id ORDER BY s)),
+n AS (SELECT doc_id, count(*) FILTER (begins) AS n_paths FROM p GROUP BY 1),
+g AS (SELECT doc_id, list_distinct(flatten(list(range(s, s + 20)))) AS gone FROM f WHERE later GROUP BY 1),
+k AS (SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+             CASE WHEN gone IS NULL THEN w
+                  ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END AS kept
+      FROM d LEFT JOIN g USING (doc_id))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256, coalesce(n_paths, 0) AS n_paths
+FROM k LEFT JOIN n USING (doc_id)""",
     "op3_exact_dedup": r"""
 WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
