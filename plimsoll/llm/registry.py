@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plimsoll.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, substring_dedup, token_files, toxicity
+from plimsoll.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, ngram_join, substring_dedup, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,9 +64,13 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_substring_dedup, op2_toxicity, op3_exact_dedup, op4_language_id, op5_license_scan, op6_token_files,
-    op7_source_mix, op8_decontaminate)}
+    op7_source_mix, op8_decontaminate, op10_ngram_join)}
 
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
@@ -93,6 +97,22 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
 FROM n WINDOW same AS (PARTITION BY norm)""",
+    "op10_ngram_join": r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                                lambda x: x <> '') AS w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_sort(list_distinct(list_transform(
+        range(1, greatest(len(w) - 4, 1) + 1), lambda s: array_to_string(w[s:s + 4], ' ')))) END AS grams FROM d),
+c AS (SELECT md5(array_to_string(grams, chr(10))) AS cls, any_value(grams) AS grams, min(doc_id) AS lead,
+             count(*) AS copies FROM g GROUP BY 1),
+x AS (SELECT cls, len(grams) AS n, unnest(grams) AS gram FROM c),
+s AS (SELECT a.cls AS a, b.cls AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS shared
+      FROM x a JOIN x b ON a.gram = b.gram AND a.cls <> b.cls GROUP BY 1, 2),
+e AS (SELECT a, b FROM s WHERE shared * 5 >= (na + nb - shared) * 4),
+r AS (SELECT cls AS v, cls AS seen FROM c UNION SELECT r.v, e.b FROM r JOIN e ON e.a = r.seen),
+m AS (SELECT v, min(lead) AS class_id, sum(copies)::BIGINT AS class_size FROM r JOIN c ON c.cls = r.seen GROUP BY 1),
+l AS (SELECT a, count(*) AS n_links FROM e GROUP BY 1)
+SELECT doc_id, class_id, coalesce(n_links, 0) AS n_links, class_size, doc_id = class_id AS kept
+FROM g JOIN m ON m.v = md5(array_to_string(grams, chr(10))) LEFT JOIN l ON l.a = m.v""",
     "op8_decontaminate": rf"""
 WITH b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 wins AS (SELECT DISTINCT item_id, least(len(w), 10) AS n,
