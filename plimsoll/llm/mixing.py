@@ -27,7 +27,7 @@ BUDGET = 1.5
 MOST = 2
 ROUNDS = 16
 #: Rows of one source that share a running total, on average.
-RUN = 20_000
+RUN = 2_000
 
 
 def permuted(index: Column, size: Column, key: Column, rounds: int = ROUNDS, inverse: bool = False) -> Column:
@@ -122,6 +122,8 @@ def slots(plan: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, s
     dealt = counts.withColumn("first", F.coalesce(F.sum("n").over(run), F.lit(0)))
     dealt = dealt.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
     dealt = dealt.withColumn("last", F.least(F.col("first") + F.col("n"), F.col("need")) - 1).where("last >= first")
+    # a few numbers each make thousands of slots, so they are dealt out by number, not by size
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "shard", "source")
     each = dealt.withColumn("slot", F.explode(F.expr("sequence(first, last)"))).withColumns({
         "pass": F.floor(F.col("slot") / F.col("n_blocks")), "at": F.col("slot") % F.col("n_blocks")})
     each = each.withColumn("block_no", permuted(F.col("at"), F.col("n_blocks"), F.col("key")))
