@@ -5,26 +5,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plimsoll.llm import decontaminate, mixing, registry
+from plimsoll.llm import decontaminate, language_id, mixing, ngram_join, registry, token_files
 from plimsoll.sources.stage import staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the language model doesn't reject."""
+    rows = docs.select(F.struct(*docs.columns).alias("whole"), "doc_id", "text", "lang")
+    found = language_id.language_id(rows, docs.where(~registry.held_out()), keep=["whole"])
+    return found.where("not rejected").select("whole.*")
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return ngram_join.distinct_documents(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of the benchmark."""
     return decontaminate.clean_documents(docs, registry.table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix of sources, as documents."""
+    """The mix of sources, as documents: a row for each pass that takes words of a document."""
     return mixing.mixed_documents(docs)
 
 
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix written as token files and read back: doc_id, start, n_tokens, ids_crc32."""
+    return token_files.token_files(docs, registry.tokenizer_path()).drop("ids")
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", known_language),
+    ("ngram_jaccard_join", one_of_near_copies),
     ("benchmark_decontamination", decontaminated),
     ("source_mix", mixed),
+    ("token_files", tokens),
 ]
 
 #: Not expressible in SQL: learned classification, hashed draws and tokenisation.

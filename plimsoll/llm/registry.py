@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plimsoll.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, ngram_join, substring_dedup, token_files, toxicity
+from plimsoll.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, ngram_join, revisits, substring_dedup, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,13 +64,19 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = revisits.resolve_revisits(revisits.page_captures(table(spark, sf_dir, "pages")))
+    return found.select("record_id", "kind", "at", "canonical_url", "status", "refers_to",
+                        revisits.header_lines(F.col("headers")).alias("headers"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_groups(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_substring_dedup, op2_toxicity, op3_exact_dedup, op4_language_id, op5_license_scan, op6_token_files,
-    op7_source_mix, op8_decontaminate, op10_ngram_join)}
+    op7_source_mix, op8_decontaminate, op9_warc_revisits, op10_ngram_join)}
 
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
@@ -97,6 +103,35 @@ WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = min(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
 FROM n WINDOW same AS (PARTITION BY norm)""",
+    "op9_warc_revisits": r"""
+WITH p AS (SELECT page_id AS p, url, '"' || md5(coalesce(html, '')) || '"' AS tag, length(coalesce(html, '')) AS size
+           FROM pages),
+c AS (SELECT p * 4 AS record_id, 'response' AS kind, p AS at_s, url, tag AS etag, NULL AS size, NULL AS age,
+             'cache-control: max-age=' || (p % 7 * 600) AS control, 'content-length: ' || size AS length_line FROM p
+      UNION ALL SELECT p * 4 + 1, 'revisit', p + 5000, url, CASE WHEN p % 5 = 0 THEN '"changed"' ELSE tag END,
+                       0, 60, NULL, NULL FROM p
+      UNION ALL SELECT p * 4 + 2, 'revisit', p + 9000, url, NULL, NULL, NULL, NULL, NULL FROM p WHERE p % 2 = 0
+      UNION ALL SELECT p * 4 + 3, 'revisit', p - 100000000, url, tag, NULL, NULL, NULL, NULL FROM p WHERE p % 3 = 0),
+u AS (SELECT *, regexp_extract(url, '^[a-z]+://([^/?#]*)([^?#]*)(?:\?([^#]*))?', ['h', 'p', 'q']) AS x FROM c),
+n AS (SELECT *, regexp_replace(lower(x.h), '^www\.', '') || regexp_replace(x.p, '/+$', '') || coalesce('?' || nullif(
+        array_to_string(list_sort(list_filter(string_split(x.q, '&'), lambda a: a <> '' AND NOT regexp_matches(
+          lower(a), '^(utm_[a-z_]*|ref|sid|sessionid|phpsessid|fbclid|gclid)(=.*)?$'))), '&'), ''), '') AS page FROM u),
+f AS (SELECT n.*, r.record_id AS full_id, r.etag AS full_etag, r.length_line AS full_length
+      FROM n ASOF LEFT JOIN (SELECT * FROM n WHERE kind = 'response') r
+      ON n.page = r.page AND n.at_s::HUGEINT * 1000000000 + n.record_id > r.at_s::HUGEINT * 1000000000 + r.record_id),
+s AS (SELECT *, CASE WHEN kind = 'response' THEN 'full' WHEN full_id IS NULL THEN 'no_response'
+                     WHEN etag IS NULL THEN 'no_validator' WHEN etag = full_etag THEN 'resolved'
+                     ELSE 'changed' END AS status FROM f)
+SELECT record_id, kind, at_s AS "at", page AS canonical_url, status,
+       CASE WHEN status = 'resolved' THEN full_id END AS refers_to,
+       CASE WHEN kind = 'response' THEN control || chr(10) || length_line || chr(10) || 'content-type: text/html' || chr(10)
+                 || 'date: ' || at_s || chr(10) || 'etag: ' || etag
+            WHEN status = 'resolved' AND age IS NOT NULL THEN 'cache-control: max-age=60' || chr(10) || full_length || chr(10)
+                 || 'content-type: text/html' || chr(10) || 'date: ' || at_s || chr(10) || 'etag: ' || etag
+            WHEN age IS NOT NULL THEN 'cache-control: max-age=60' || chr(10) || 'content-length: 0' || chr(10)
+                 || 'date: ' || at_s || chr(10) || 'etag: ' || etag || chr(10) || 'server: cache'
+            WHEN etag IS NULL THEN 'date: ' || at_s ELSE 'etag: ' || etag END AS headers
+FROM s""",
     "op10_ngram_join": r"""
 WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
                                                 lambda x: x <> '') AS w FROM documents),
