@@ -23,7 +23,7 @@ from plimsoll.llm.license_rules import signatures
 SPAN = 28
 #: Every rule's pattern holds one of these.
 KEYWORDS = ["licen", "gpl", "asl", "public domain", "permission", "redistribution", "this program", "this library",
-            "wtfpl", "cc0", "cc by", "creative commons", "open data commons", "mpl ", "epl ", "cddl", "eupl", "odbl",
+            "wtfpl", "fdl", "cc0", "cc zero", "cc by", "creative commons", "open data commons", "mpl ", "epl ", "cddl", "eupl", "odbl",
             "sspl", "cecill", "copyleft", "all rights reserved", "unauthorized ", "contributors", "copyright",
             "confidential and proprietary", "apache"]
 #: What a match of each tier says about a document.
