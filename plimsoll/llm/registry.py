@@ -29,7 +29,7 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     marks = table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic")
-    columns, machine = toxicity.fit(docs.select("doc_id", "text").join(marks, "doc_id"))
+    columns, machine = toxicity.fit(docs, marks)
     found = toxicity.toxicity(docs, columns, machine, keep=["doc_id"])
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 

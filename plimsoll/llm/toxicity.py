@@ -160,16 +160,20 @@ def _fitted(table: pa.Table) -> pa.Table:
                      "factors": [machine.factors.tobytes()], "bias": [machine.bias]})
 
 
-def fit(labelled: DataFrame, label: str = "toxic", sample: int = SAMPLE) -> tuple[np.ndarray, Machine]:
-    """Chosen columns and machine from rows with doc_id, text and a 0/1 label.
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic",
+        sample: int = SAMPLE) -> tuple[np.ndarray, Machine]:
+    """Chosen columns and machine from `docs` (doc_id, text) and `labels` (doc_id and a 0/1 label).
 
-    At most `sample` rows, drawn by a hash, are used; without any, all texts score alike.
+    At most `sample` labels, drawn by a hash, are used; without any, all texts score alike. The draw
+    is made on the labels alone, so only the texts drawn are moved, by a join that sends the drawn
+    labels (at most `sample` rows) to every task.
     """
-    rows = labelled.where(F.col(label).isNotNull()).select(
-        F.lower(F.coalesce("text", F.lit(""))).alias("text"), F.col(label).cast("int").alias("y"),
-        F.xxhash64("doc_id", "text").alias("draw"))
-    # the limit is applied in each map task, then once over what those keep
-    drawn = rows.orderBy("draw").limit(sample).withColumn("all", F.lit(0))
+    marks = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(
+        "doc_id", F.col(label).cast("int").alias("y"), F.xxhash64("doc_id").alias("draw"))
+    marks = marks.orderBy("draw", "doc_id", "y").limit(sample)
+    rows = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text")).join(
+        F.broadcast(marks), "doc_id")
+    drawn = rows.select("text", "y", "draw", F.lit(0).alias("all"))
     for r in drawn.groupBy("all").applyInArrow(
             _fitted, "columns binary, weights binary, factors binary, bias double").collect():
         return np.frombuffer(r["columns"], np.int32), Machine(
