@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Separators of the letter-and-digit words: every ASCII character but a-z, A-Z and 0-9.
@@ -33,3 +33,11 @@ def word_count(joined: Column) -> Column:
 def row_hash(text: Column) -> Column:
     """Tells rows apart that carry the same doc_id; equal rows stay equal."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id is not in the one column of `gone`; nulls match each other."""
+    name = "_gone_doc_id"
+    while name in docs.columns:
+        name = f"_{name}"
+    return docs.join(gone.toDF(name).distinct(), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plimsoll.llm.columns import plain_words, row_hash, word_count
+from plimsoll.llm.columns import plain_words, row_hash, without, word_count
 from plimsoll.sources.stage import staged
 
 WINDOW = 10
@@ -128,5 +128,4 @@ def _hits(found: DataFrame, grams: DataFrame, items: DataFrame, sized) -> DataFr
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options: int) -> DataFrame:
     """The rows of `docs` in which no benchmark window occurs, unchanged."""
-    marked = decontaminate(docs, benchmark, **options).where("contaminated").select(F.col("doc_id").alias("of"))
-    return docs.join(marked.distinct(), F.col("doc_id").eqNullSafe(F.col("of")), "left_anti")
+    return without(docs, decontaminate(docs, benchmark, **options).where("contaminated").select("doc_id"))

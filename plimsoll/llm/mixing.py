@@ -137,8 +137,8 @@ def slots(plan: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, s
 def pieces(docs: DataFrame, seed: int = 7, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The packed documents, the sources' targets, and what the mix takes of each document.
 
-    The third has a row for each block that a pass takes of a document: doc_id, row, pass, lo, hi
-    (words of the document from 0).
+    The third has a row for each block that a pass takes of a document: doc_id, row, source, begin,
+    pass, lo, hi (words of the document from 0). `begin` tells equal rows apart.
     """
     rows = staged(packed(docs))
     plan = staged(targets(rows))
@@ -151,23 +151,23 @@ def pieces(docs: DataFrame, seed: int = 7, block: int = BLOCK) -> tuple[DataFram
     lo = F.greatest(F.col("begin"), F.col("part") * block)
     hi = F.least(F.col("begin") + F.col("size"), F.col("part") * block + F.col("words"))
     cut = parts.join(taken, same).select(
-        "doc_id", "row", "pass", (lo - F.col("begin")).alias("lo"), (hi - F.col("begin")).alias("hi"))
+        "doc_id", "row", "source", "begin", "pass", (lo - F.col("begin")).alias("lo"), (hi - F.col("begin")).alias("hi"))
     return rows, plan, cut.where("hi > lo")
 
 
 def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     """One row per document: doc_id, size, source_size, target (its source's) and taken words.
 
-    A null text has no words, a null source is a source of its own, ranked last. Rows that repeat a
-    doc_id are told apart by their text; equal rows are packed side by side and share the mean of
-    what is taken of them. Other columns are ignored.
+    A null text has no words, a null source is a source of its own, ranked last. Every row is packed
+    apart, also if it repeats another. Other columns are ignored.
     """
     rows, plan, cut = pieces(docs, seed)
-    sums = cut.groupBy(F.col("doc_id").alias("id"), F.col("row").alias("of_row")).agg(
+    sums = cut.groupBy(F.col("doc_id").alias("id"), F.col("row").alias("of_row"), F.col("begin").alias("at")).agg(
         F.sum(F.col("hi") - F.col("lo")).alias("taken"))
-    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("of_row"))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("of_row")) & (F.col("begin") == F.col("at"))
     found = rows.join(sums, same, "left").select(
-        "doc_id", "source", "size", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        "doc_id", "source", "size", F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast(
+            "long").alias("taken"))
     named = plan.withColumnRenamed("source", "of")
     return found.join(named, F.col("source").eqNullSafe(F.col("of"))).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -180,14 +180,17 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
     taken words remain, in order, joined by single spaces.
     """
     _, _, cut = pieces(docs, seed)
-    ranges = cut.groupBy("doc_id", "row", "pass").agg(
+    key = ["doc_id", "row", "source"]
+    ranges = cut.groupBy(*key, "begin", "pass").agg(
         F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("ranges"),
         F.sum(F.col("hi") - F.col("lo")).alias("words"))
-    ranges = ranges.select(F.col("doc_id").alias("of"), F.col("row").alias("of_row"), "ranges", "words")
-    texts = docs.withColumn("own_row", row_hash(F.col("text")))
-    both = texts.join(ranges, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("own_row") == F.col("of_row")))
-    held = F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0))
-    part = both.withColumn("held", held)
+    ranges = ranges.select(*[F.col(k).alias(f"of_{k}") for k in key], "ranges", "words")
+    texts = docs.select(F.struct(*docs.columns).alias("whole"), "doc_id", "source", "text",
+                        row_hash(F.col("text")).alias("row")).dropDuplicates(key)
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
+    part = texts.join(ranges, same).withColumn("held", F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)))
     text = F.when(F.size("held") <= F.col("words"), F.col("text")).otherwise(F.array_join(F.flatten(F.transform(
         "ranges", lambda r: F.slice("held", (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")))), " "))
-    return part.withColumn("text", text).select(*docs.columns)
+    return part.select(F.col("whole").withField("text", text).alias("whole")).select("whole.*")

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plimsoll.llm.columns import without
 from plimsoll.llm.components import components
 from plimsoll.llm.textbytes import groups, mixed, text_bytes, window_hashes, word_hashes, words
 from plimsoll.sources.stage import staged
@@ -223,5 +224,4 @@ def near_groups(docs: DataFrame, n: int = WORDS, limit: tuple[int, int] = LIMIT,
 
 def distinct_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs` that stay when one document of each group does: the one of least doc_id."""
-    gone = near_groups(docs, **options).where("not kept").select(F.col("doc_id").alias("of")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("of")), "left_anti")
+    return without(docs, near_groups(docs, **options).where("not kept").select("doc_id"))
