@@ -37,7 +37,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix written as token files and read back: doc_id, start, n_tokens, ids_crc32."""
-    return token_files.token_files(docs, registry.tokenizer_path()).drop("ids")
+    return token_files.token_files(docs, registry.tokenizer_path(), with_ids=False)
 
 
 STAGES: list[tuple[str, Stage]] = [

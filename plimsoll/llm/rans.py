@@ -10,8 +10,8 @@ from __future__ import annotations
 import numpy as np
 
 BITS = 20
-LANES = 256
-CHECKPOINT = 1 << 16
+LANES = 1024
+CHECKPOINT = 1 << 18
 _LOW = np.uint64(1 << 31)
 _WORD = np.uint64(32)
 _SHIFT = np.uint64(BITS)

@@ -53,7 +53,7 @@ def tokenizer_path() -> str:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files.token_files(table(spark, sf_dir, "documents"), tokenizer_path()).drop("ids")
+    return token_files.token_files(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

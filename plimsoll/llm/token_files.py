@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,9 +28,9 @@ from plimsoll.llm.textbytes import groups
 from plimsoll.sources.stage import shared_folder, staged
 
 END = 0
-BLOCK_TOKENS = 1 << 18
-#: Pieces of text whose ids a worker remembers.
-REMEMBERED = 200_000
+BLOCK_TOKENS = 1 << 19
+#: Pieces, and pre-tokens, whose ids a worker remembers: about 150 MB of each.
+REMEMBERED = 700_000
 #: Pieces that are tokenised in one call.
 TOGETHER = 2000
 BLOCK_SCHEMA = ("shard int, block int, doc_ids binary, nulls binary, lengths binary, states binary, reads binary, "
@@ -38,15 +39,19 @@ _KEPT: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """A tokenizer that remembers the ids of pieces of text.
+    """A byte-level tokenizer that remembers the ids of pieces of text and of pre-tokens.
 
-    A text may be cut before a space with other characters on both sides: byte-level pre-tokens
-    start there anyway and do not depend on what is left of it. Ids are kept as bytes, so a text's
-    ids are its pieces' bytes in a row; new pieces are tokenised together and told apart by length.
+    A text may be cut before a space with other characters on both sides: pre-tokens start there
+    anyway and do not depend on what is left of it. Ids are kept as bytes, so a text's ids are its
+    pieces' bytes in a row. A piece of Latin characters is in turn a row of pre-tokens; other pieces
+    go to the tokenizer whole. New pre-tokens are tokenised together and told apart by length.
     """
 
     DOUBLE = re.compile(r"\s\s|^ | $")
     SINGLE = re.compile(r"(?<=\S) (?=\S)")
+    LATIN = re.compile(r"[\t\n\r -~\u00c0-\u024f]*")
+    #: The pre-tokens of byte-level tokenizers; a fixed value.
+    PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -57,37 +62,64 @@ class Encoder:
         self.length = np.zeros(size, np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             self.length[number] = len(token)
-        self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def learn(self, pieces: list[str]) -> None:
+    def teach(self, parts: list[str], before: str = "") -> None:
+        """Learn pre-tokens that can stand after each other, with `before` (one byte and token) ahead of each."""
         width = int(self.kind[-1])
-        for at in range(0, len(pieces), TOGETHER):
-            part = pieces[at:at + TOGETHER]
-            ids = self.ids("".join(part))
+        for at in range(0, len(parts), TOGETHER):
+            some = parts[at:at + TOGETHER]
+            ids = self.ids("".join([before + p for p in some]))
             ends = np.cumsum(self.length[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(p.encode()) for p in part])) + 1
+            cuts = np.searchsorted(ends, np.cumsum([len(p.encode()) + len(before) for p in some])) + 1
             held, low = ids.tobytes(), 0
-            for piece, cut in zip(part, cuts.tolist()):
-                self.known[piece] = held[low * width:cut * width]
+            for part, cut in zip(some, cuts.tolist()):
+                self.parts[part] = held[(low + len(before)) * width:cut * width]
                 low = cut
 
+    def learn(self, pieces: list[str]) -> None:
+        joined, parts = [], self.parts
+        single, new = [], set()
+        for piece in pieces:
+            if not (piece.isascii() or self.LATIN.fullmatch(piece)) or "<|" in piece:
+                self.pieces[piece] = self.ids(piece).tobytes()
+            elif piece[1:].isalpha() and piece[0] == " ":
+                single.append(piece)
+            else:
+                # a word with one mark behind it is the common case
+                word = piece[:-1]
+                inner = ([word, piece[-1]] if piece[-1:] in (".", ",") and word[1:].isalpha() and word[0] == " "
+                         else self.PRE.findall(piece))
+                joined.append((piece, inner))
+                new.update(inner)
+        new.update(single)
+        new = [q for q in new if q not in parts]
+        for part in [q for q in new if not q.strip()]:
+            parts[part] = self.ids(part).tobytes()
+        self.teach([q for q in new if q[0] == " " and q not in parts])
+        self.teach([q for q in new if q[0] != " " and q not in parts], "\n")
+        for piece in single:
+            self.pieces[piece] = parts[piece]
+        for piece, inner in joined:
+            self.pieces[piece] = b"".join([parts[q] for q in inner])
+
     def encoded(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as bytes of `kind`."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
+        for known in (self.pieces, self.parts):
+            if len(known) > REMEMBERED:
+                known.clear()
         split, new = [], set()
         for text in texts:
             pieces = self.SINGLE.split(text) if self.DOUBLE.search(text) else text.split(" ")
-            if pieces[0] not in self.known:
-                self.known[pieces[0]] = self.ids(pieces[0]).tobytes()
             pieces[1:] = [" " + p for p in pieces[1:]]
             new.update(pieces)
             split.append(pieces)
-        self.learn([p for p in new if p not in self.known])
-        known = self.known
+        known = self.pieces
+        self.learn([p for p in new if p not in known])
         return [b"".join([known[p] for p in pieces]) for pieces in split]
 
 
@@ -180,9 +212,11 @@ def write_tokens(docs: DataFrame, path: str, target: str) -> None:
     ranged.mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{target}/blocks")
 
 
-def read_tokens(spark: SparkSession, source: str) -> DataFrame:
+def read_tokens(spark: SparkSession, source: str, with_ids: bool = True) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 and ids (little-endian unsigned 32-bit) of files that `write_tokens` wrote.
 
+    Without `with_ids` the ids are decoded and checked but not returned.
+
     Blocks are decoded apart from each other; one that does not match its checksum raises.
     """
     rows = spark.read.parquet(f"{source}/frequencies").orderBy("token").collect()  # the vocabulary
@@ -206,7 +240,7 @@ def read_tokens(spark: SparkSession, source: str) -> DataFrame:
                     [pa.array(np.full(n, row["shard"], np.int32)), pa.array(np.full(n, row["block"], np.int32)),
                      pa.array(ends - lengths), pa.array(np.frombuffer(row["doc_ids"], "<i8"), mask=null),
                      pa.array(lengths), pa.array([zlib.crc32(p) for p in parts], pa.int64()),
-                     pa.array(parts, pa.binary())],
+                     pa.array(parts if with_ids else [None] * n, pa.binary())],
                     names=["shard", "block", "inside", "doc_id", "n_tokens", "ids_crc32", "ids"])
 
     stored = spark.read.parquet(f"{source}/blocks")
@@ -226,12 +260,13 @@ def read_tokens(spark: SparkSession, source: str) -> DataFrame:
     along = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     begins = sizes.select("shard", "block", F.coalesce(F.sum("n").over(along), F.lit(0)).alias("at")).join(
         shards, "shard").select("shard", "block", (F.col("at") + F.col("before")).alias("begin"))
-    return decoded.join(begins, ["shard", "block"]).select(
+    found = decoded.join(begins, ["shard", "block"]).select(
         "doc_id", (F.col("begin") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32", "ids")
+    return found if with_ids else found.drop("ids")
 
 
-def token_files(docs: DataFrame, path: str) -> DataFrame:
+def token_files(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
     """Write `docs` as token files in the shared folder and read them back (see `read_tokens`)."""
     target = f"{shared_folder(docs.sparkSession).rstrip('/')}/plimsoll/tokens-{uuid.uuid4().hex}"
     write_tokens(docs, path, target)
-    return read_tokens(docs.sparkSession, target)
+    return read_tokens(docs.sparkSession, target, with_ids)
