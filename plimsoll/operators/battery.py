@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
@@ -15,6 +15,7 @@ CASE_FIELDS = ["suite_ord", "block", "pos", "suite", "failure_mode", "regulation
                "text", "note", "expected", "asserts_specific"]
 SUITE_FIELDS = ["suite_ord", "suite", "failure_mode", "regulation_ref", "should_flag"]
 
+# Least rates and wordings.
 # (gate, suite or NULL for all cases, least pass rate, wording when missed)
 GATES = [
     ("overall", None, 90.0, "RED — block release"),
@@ -138,13 +139,17 @@ def score_rows(rows: DataFrame, labels: Sequence[str], flags: str = "pred_{}") -
 def score_predictions(cases: DataFrame, predictions: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Outcome per case with predictions from a table of ``case_id`` and ``pred_<label>``.
 
-    The join is full outer and a case without a prediction, or the reverse, fails the job, so
-    the check costs no pass of its own.
+    The join is full outer. A case without a prediction or the reverse, a case or prediction that
+    occurs more than once and a NULL prediction fail the job; rows are counted in the shuffle that
+    the join needs anyway.
     """
     names = [f"pred_{x}" for x in labels]
-    preds = predictions.select("case_id", *names, F.lit(True).alias("__scored"))
-    both = cases.withColumn("__case", F.lit(True)).join(preds, "case_id", "full_outer")
-    whole = F.coalesce(F.col("__case") & F.col("__scored"), F.lit(False))
+    times = F.count(F.lit(1)).over(Window.partitionBy("case_id"))
+    preds = predictions.select("case_id", *names, times.alias("__scored"))
+    both = cases.withColumn("__case", times).join(preds, "case_id", "full_outer")
+    whole = F.coalesce((F.col("__case") == 1) & (F.col("__scored") == 1), F.lit(False))
+    for name in names:
+        whole = whole & F.col(name).isNotNull()
     mismatch = F.raise_error(F.concat(F.lit("cases and predictions do not align at "), F.col("case_id")))
     first = F.when(whole, F.col(names[0])).otherwise(mismatch.cast("int"))
     scored = score_rows(both.withColumn(names[0], first), labels)

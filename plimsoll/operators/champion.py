@@ -22,12 +22,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from ..sources.reports import absent
 from ..sources.stage import staged
 from .features import token_statistics, vocabulary, with_grams
 from .sampling import with_split
 
-ROWS_PER_TASK = 20_000
-
 
 def _reweighting(idf: np.ndarray):
     """Arrow-batched rewrite of sparse counts to (1 + ln tf) * idf; Spark's own IDF stage has
@@ -36,9 +35,11 @@ def _reweighting(idf: np.ndarray):
     @F.pandas_udf(VectorUDT())
     def reweight(counts: pd.DataFrame) -> pd.DataFrame:
         counts = counts.copy()
-        counts["values"] = [
-            (1.0 + np.log(v)) * idf[np.asarray(i, dtype=np.int64)] if len(v) else v
-            for i, v in zip(counts["indices"], counts["values"])]
+        sizes = counts["values"].map(len).to_numpy()
+        if sizes.sum():
+            index = np.concatenate(counts["indices"].to_numpy()).astype(np.int64)
+            weighed = (1.0 + np.log(np.concatenate(counts["values"].to_numpy()))) * idf[index]
+            counts["values"] = np.split(weighed, np.cumsum(sizes)[:-1])
         return counts
 
     return reweight
@@ -130,9 +131,8 @@ def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[s
     df = np.array([frequencies[t] for t in counter.vocabulary], dtype=float)
     model = Champion(list(labels), counter, np.log((1.0 + n) / (1.0 + df)) + 1.0, {}, stop_words, longest)
 
-    rows = model.features(train.select(text, *[f"y_{x}" for x in labels]), text).persist()
-    # each solver step is one job over the cached rows; few rows do not deserve many tasks
-    packed = rows.coalesce(n // ROWS_PER_TASK + 1)
+    # stored once: a lost executor reads features again instead of tokenising in the middle of a solver step
+    rows = staged(model.features(train.select(text, *[f"y_{x}" for x in labels]), text))
 
     def fit_head(x: str) -> LogisticRegressionModel:
         pos = counts[x]
@@ -141,14 +141,11 @@ def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[s
         head = LogisticRegression(
             featuresCol="features", labelCol="y", weightCol="w", maxIter=max_iter, regParam=1.0 / (c * n),
             elasticNetParam=0.0, standardization=False, tol=tol)
-        return head.fit(packed.select("features", y.cast("double").alias("y"), weight.alias("w")))
+        return head.fit(rows.select("features", y.cast("double").alias("y"), weight.alias("w")))
 
-    try:
-        # the heads are independent; a few at a time keep the cluster busy between solver steps
-        with ThreadPoolExecutor(min(parallelism, len(labels))) as pool:
-            model.heads.update(zip(labels, pool.map(inheritable_thread_target(train.sparkSession)(fit_head), labels)))
-    finally:
-        rows.unpersist()
+    # the heads are independent; a few at a time keep the cluster busy between solver steps
+    with ThreadPoolExecutor(min(parallelism, len(labels))) as pool:
+        model.heads.update(zip(labels, pool.map(inheritable_thread_target(train.sparkSession)(fit_head), labels)))
     return model
 
 
@@ -163,7 +160,9 @@ def load_or_train(spark: SparkSession, path: str, train, **settings) -> Champion
     """The stored model, or the one ``train()`` fits (which is then stored)."""
     try:
         return Champion.load(spark, path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not absent(e):
+            raise
         model = train(**settings)
         model.save(spark, path)
         return model

@@ -17,11 +17,17 @@ from .running import running_totals, value_range
 from .shape import to_long
 
 
+def known(name: str, what: str | None = None) -> Column:
+    """The column, where a NULL fails the job: an unscored row is neither right nor wrong."""
+    missing = F.raise_error(F.lit(f"NULL in {what or name}"))
+    return F.when(F.col(name).isNotNull(), F.col(name)).otherwise(missing.cast("int"))
+
+
 def confusion_wide(df: DataFrame, labels: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """tp/fp/fn/tn per label from wide ``y_<label>``/``pred_<label>``: three sums per label, one pass."""
     sums = [F.count(F.lit(1)).alias("n")]
     for x in labels:
-        y, p = F.col(f"y_{x}"), F.col(f"pred_{x}")
+        y, p = known(f"y_{x}"), known(f"pred_{x}")
         sums += [F.sum(y).alias(f"p_{x}"), F.sum(p).alias(f"q_{x}"), F.sum(y * p).alias(f"tp_{x}")]
     rows = to_long(df.groupBy(*by).agg(*sums), labels, [*by, "n"],
                    {"p": "p_{}", "q": "q_{}", "tp": "tp_{}"})
@@ -34,7 +40,7 @@ def confusion_wide(df: DataFrame, labels: Sequence[str], by: Sequence[str] = ())
 
 def confusion_long(df: DataFrame, by: Sequence[str] = ("category",)) -> DataFrame:
     """The same counts from long rows, per any key."""
-    y, p = F.col("y") == 1, F.col("pred") == 1
+    y, p = known("y") == 1, known("pred") == 1
     return df.groupBy(*by).agg(
         F.count_if(y & p).alias("tp"), F.count_if(~y & p).alias("fp"),
         F.count_if(y & ~p).alias("fn"), F.count_if(~y & ~p).alias("tn"))
@@ -76,8 +82,10 @@ def macro_micro(confusion: DataFrame) -> DataFrame:
 
 
 def score_points(long: DataFrame, by: Sequence[str] = ("category",)) -> DataFrame:
-    """Distinct scores with their class counts; ties, however heavy, become one row."""
-    return long.groupBy(*by, "score").agg(
+    """Distinct scores with their class counts; ties, however heavy, become one row. A NULL fails the job."""
+    score = F.when(F.col("score").isNotNull(), F.col("score")).otherwise(
+        F.raise_error(F.lit("NULL in score")).cast("double"))
+    return long.withColumns({"score": score, "y": known("y")}).groupBy(*by, "score").agg(
         F.sum(F.col("y").cast("long")).alias("pos"),
         F.sum(F.lit(1).cast("long") - F.col("y")).alias("neg"))
 
@@ -99,7 +107,7 @@ def auc(points: DataFrame) -> DataFrame:
     integers. Both values are NULL unless the category has positives and negatives.
     """
     z = -_log_odds(F.col("score"))
-    ranged = points.where(F.col("score").isNotNull()).select(
+    ranged = points.select(
         "category", "pos", "neg", (-F.col("score")).alias("down"),
         value_range(z * 16).alias("block"), value_range(z * 65536).alias("cell"))
     run = running_totals(ranged, ["category"], ["block"], ["cell"], ["down"], ["pos", "neg"])

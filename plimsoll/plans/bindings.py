@@ -12,7 +12,6 @@ from ..operators import kri
 from ..operators.lexical import Lexicon
 from ..operators.profile import group_flags
 from ..operators.shape import to_long
-from ..sources.layout import spread_small
 from ..sources.suites import builtin_battery_text, parse_suites
 from ..streaming.cycles import as_event_time
 
@@ -69,7 +68,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "documents"))
+    return table(spark, sf_dir, "documents")
 
 
 def taxonomy(spark: SparkSession) -> DataFrame:

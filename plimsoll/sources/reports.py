@@ -8,6 +8,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
+def absent(error: AnalysisException) -> bool:
+    """Whether a read failed because there is nothing at the path, and for no other reason."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Overwrite a result table; use this for anything that grows with the corpus."""
     df.write.mode("overwrite").parquet(path)
@@ -22,6 +27,8 @@ def read_or_compute(spark: SparkSession, path: str, compute: Callable[[], DataFr
     """The stored result if there is one, else compute, store and read it back."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if not absent(e):
+            raise
         write_table(compute(), path)
         return spark.read.parquet(path)

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from plimsoll import dimensions as D
 from plimsoll.operators import battery as B
@@ -57,6 +58,17 @@ def test_misaligned_predictions_fail(spark, cases, n):
         B.score_predictions(cases, preds, LABELS).collect()
 
 
+def test_repeated_and_missing_flags_fail(spark, cases):
+    preds = predict(spark, [(0, 0)] * 8)
+    first = F.col("case_id") == "RT001"
+    for wrong in (preds.unionByName(preds.where(first)),
+                  preds.withColumn("pred_insult", F.when(~first, F.col("pred_insult")))):
+        with pytest.raises(Exception, match="do not align at RT001"):
+            B.score_predictions(cases, wrong, LABELS).collect()
+    with pytest.raises(Exception, match="do not align at RT001"):
+        B.score_predictions(cases.unionByName(cases.where(first)), preds, LABELS).collect()
+
+
 def gates(spark):
     return D.declared(spark, B.GATES, B.GATE_COLUMNS)
 

@@ -122,3 +122,16 @@ def test_group_without_mentions_is_green(spark):
     rows = {r["group_name"]: r for r in fairness.group_false_positives(df, ["x", "none"], "t").collect()}
     assert rows["x"]["fpr_pct"] == 50.0 and rows["x"]["status"].startswith("RED")
     assert rows["none"]["fpr_pct"] is None and rows["none"]["gap_pp"] is None and rows["none"]["status"] == "GREEN"
+
+
+def test_unscored_rows_fail(spark):
+    long = spark.createDataFrame([("a", 1, 1, 0.5), ("a", 0, None, 0.5)], "category string, y int, pred int, score double")
+    with pytest.raises(Exception, match="NULL in pred"):
+        metrics.confusion_long(long).collect()
+    wide = long.selectExpr("y as y_a", "pred as pred_a")
+    with pytest.raises(Exception, match="NULL in pred_a"):
+        metrics.confusion_wide(wide, ["a"]).collect()
+    for column in ("y", "score"):
+        rows = long.withColumn(column, F.lit(None).cast(long.schema[column].dataType))
+        with pytest.raises(Exception, match=f"NULL in {column}"):
+            metrics.auc(metrics.score_points(rows)).collect()

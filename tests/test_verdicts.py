@@ -11,8 +11,14 @@ from plimsoll.operators.champion import clause_map
 from plimsoll.operators.lexical import Lexicon
 
 LABELS = ["toxic", "insult"]
-FULL = Lexicon(defaults.HARM_TERMS, implied="toxic", self_markers=defaults.SELF_MARKERS,
-               self_groups=defaults.SELF_GROUPS, guarded_by=("identity_hate", "threat"))
+# made up for these tests
+HEADS = {
+    "toxic": ["nitwit", "dunce", "rubbish", "stinks"], "severe_toxic": ["wish you gone", "gone for good"],
+    "obscene": [r"b\W*o\W*g", "blasted"], "threat": ["break your", "come after you"],
+    "insult": ["nitwit", "buffoon"], "identity_hate": [r"\bleave our\b", "your sort"],
+}
+FULL = Lexicon(HEADS, implied="toxic", self_markers=["speaking as", "being a"], self_groups=["baker", "sailor"],
+               guarded_by=("identity_hate", "threat"))
 
 
 def flags(spark, text, guard=False):
@@ -23,25 +29,25 @@ def flags(spark, text, guard=False):
 
 @pytest.mark.parametrize("text, want", [
     ("what a nice day", set()),
-    ("You IDIOT", {"toxic", "insult"}),
-    ("I will find you", {"toxic", "threat"}),
-    ("just kys", {"toxic", "severe_toxic"}),
-    ("go back to bed", {"toxic", "identity_hate"}),
-    ("d a m n", set()),
-    ("oh s-h_i-t, sh it", {"toxic", "obscene"}),
+    ("You NITWIT", {"toxic", "insult"}),
+    ("I will come after you", {"toxic", "threat"}),
+    ("soon gone for good", {"toxic", "severe_toxic"}),
+    ("leave our garden be", {"toxic", "identity_hate"}),
+    ("b l a s t e d", set()),
+    ("oh b-o_g, b og", {"toxic", "obscene"}),
     (None, set()),
 ])
-def test_default_lexicon(spark, text, want):
+def test_lexicon(spark, text, want):
     got, row = flags(spark, text)
     assert got == want
     assert list(row["policy_clauses"]) == sorted({clause_map(defaults.TAXONOMY)[x] for x in want})
 
 
 def test_guard_clears_only_the_parent_label(spark):
-    assert flags(spark, "I am a proud gay man and this track does not suck")[0] == {"toxic"}
-    assert flags(spark, "I am a proud gay man and this track does not suck", guard=True)[0] == set()
-    assert flags(spark, "I am a gay man, you clown", guard=True)[0] == {"toxic", "insult"}
-    assert "toxic" in flags(spark, "I am black and those people suck", guard=True)[0]
+    assert flags(spark, "Speaking as a plain baker: this track stinks")[0] == {"toxic"}
+    assert flags(spark, "Speaking as a plain baker: this track stinks", guard=True)[0] == set()
+    assert flags(spark, "Being a sailor, you buffoon", guard=True)[0] == {"toxic", "insult"}
+    assert "toxic" in flags(spark, "Being a baker, and your sort stinks", guard=True)[0]
 
 
 def parsed(spark):
@@ -86,12 +92,8 @@ def test_prompt_follows_label_order(spark):
     assert [line.split(" ")[1] for line in prompt[2:-2]] == defaults.LABELS
 
 
-PROBES = [
-    ("I tidied the references, tell me if the order looks wrong.", []),
-    ("Only a fool would write this, what an incompetent mess.", ["toxic", "insult"]),
-    ("I am a proud Jewish baker and I would like to join.", []),
-    ("Tell them to go back to the hole they crawled from.", ["toxic", "identity_hate"]),
-]
+PROBES = [("a nice day", set()), ("you buffoon", {"toxic", "insult"}), ("we will break your fence", {"toxic", "threat"}),
+          ("this is rubbish", {"toxic"})]
 
 
 def test_written_calibration_probes(spark):
