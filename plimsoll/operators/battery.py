@@ -220,3 +220,37 @@ def leak_gate(cases: DataFrame, training: DataFrame, normalised: Column) -> Data
     marked = marked.join(seen.withColumn("seen", F.lit(True)), "digest", "left")
     return marked.agg(F.count(F.lit(1)).alias("n_cases"), F.count_if("seen").alias("n_leaked")).select(
         "n_cases", "n_leaked", F.when(F.col("n_leaked") == 0, "PASS").otherwise("RED").alias("status"))
+
+
+def shingles(words: Column, width: int) -> Column:
+    """The distinct runs of ``width`` words, joined by spaces; none in shorter texts. Pass a plain column."""
+    last = F.size(words) - (width - 1)
+    return F.when(last > 0, F.array_distinct(F.transform(
+        F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(words, i, F.lit(width)), " "))))
+
+
+def shingle_leak_gate(cases: DataFrame, training: DataFrame, words: Column, key: str = "doc_id",
+                      width: int = 8) -> DataFrame:
+    """The other half of the leak gate: training texts that share a run of ``width`` words with a test text.
+
+    ``words`` is the word array of ``text`` on both sides. Only runs that stand in a test text leave
+    the scan of the training side where the battery is small enough for a broadcast, which Spark
+    measures; otherwise the runs are shuffled, never the texts.
+    """
+    def runs(df: DataFrame, name: str) -> DataFrame:
+        listed = df.select(F.col(name).alias(name), words.alias("w"))
+        return listed.select(name, F.explode(shingles(F.col("w"), width)).alias("run"))
+
+    shared = runs(training, key).join(runs(cases, "case_id"), "run")
+    total = cases.agg(F.count(F.lit(1))).scalar()
+    return shared.agg(
+        F.countDistinct("case_id").alias("n_leaked"), F.countDistinct(key).alias("n_documents")).select(
+        total.alias("n_cases"), "n_leaked", "n_documents",
+        F.when(F.col("n_documents") == 0, "PASS").otherwise("RED").alias("status"))
+
+
+def require_pass(report: DataFrame) -> None:
+    """Stops before a fit on texts that the battery tests with."""
+    red = report.where(F.col("status") != "PASS").take(1)
+    if red:
+        raise ValueError(f"leak gate is not passed: {red[0].asDict()}")

@@ -24,6 +24,7 @@ from pyspark.util import inheritable_thread_target
 
 from ..sources.reports import absent
 from ..sources.stage import staged
+from .battery import require_pass
 from .features import token_statistics, vocabulary, with_grams
 from .sampling import with_split
 
@@ -150,8 +151,14 @@ def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[s
 
 
 def train_baseline(df: DataFrame, labels: Sequence[str], key: str = "id", seed: int = 42,
-                   test_size: float = 0.2, **settings) -> tuple[Champion, DataFrame]:
-    """Split by key hash, fit on the training side, return the model and the split table."""
+                   test_size: float = 0.2, leak_gate: DataFrame | None = None,
+                   **settings) -> tuple[Champion, DataFrame]:
+    """Split by key hash, fit on the training side, return the model and the split table.
+
+    With a leak gate's report, a fit on texts that the battery tests with is refused.
+    """
+    if leak_gate is not None:
+        require_pass(leak_gate)
     rows = with_split(df, key, seed, test_size)
     return fit_champion(rows.where(F.col("split") == "train"), labels, **settings), rows
 

@@ -547,6 +547,15 @@ ORACLES: dict[str, str] = {
       b AS (SELECT item_id, trim(regexp_replace(lower(text), '[{SP}]+', ' ', 'g')) AS t FROM benchmark)
       SELECT count(*) AS n_cases, count(f.t) AS n_leaked, CASE WHEN count(f.t) = 0 THEN 'PASS' ELSE 'RED' END AS status
       FROM b LEFT JOIN f USING (t)""",
+    "battery_leak_shingles": f"""WITH b AS (SELECT item_id, {TOKENS.replace("TEXT", "lower(text)")} AS w FROM benchmark),
+      d AS (SELECT doc_id, {TOKENS.replace("TEXT", "lower(text)")} AS w FROM documents),
+      bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 7], ' ') AS run
+             FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM b WHERE len(w) >= 8)),
+      ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 7], ' ') AS run
+             FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8))
+      SELECT (SELECT count(*) FROM benchmark) AS n_cases, count(DISTINCT item_id) AS n_leaked,
+             count(DISTINCT doc_id) AS n_documents,
+             CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'RED' END AS status FROM bs JOIN ds USING (run)""",
     "kri_clause_fabrication": f"""WITH {ANSWERS}, c AS (
         SELECT doc_id, unnest(clause_list) AS clause FROM parsed WHERE parse_status = 'ok')
       SELECT doc_id, clause FROM c WHERE clause NOT IN ({", ".join(lit(c) for c in X.CLAUSES.values())})""",

@@ -394,12 +394,19 @@ def gate_k3(spark, d):
 
 @query
 def battery_leak(spark, d):
-    """Benchmark items and built-in cases against the documents as training text"""
+    """Benchmark items against the documents as training text"""
     flat = F.trim(F.regexp_replace(F.lower(F.col("text")), T.SPACE + "+", " "))
     items = X.table(spark, d, "benchmark").select(F.col("item_id").alias("case_id"), "text")
     return B.leak_gate(items, X.documents(spark, d), flat)
 
 
+@query
+def battery_leak_shingles(spark, d):
+    """Documents that share a run of eight words with a benchmark item"""
+    items = X.table(spark, d, "benchmark").select(F.col("item_id").alias("case_id"), "text")
+    return B.shingle_leak_gate(items, X.documents(spark, d).select("doc_id", "text"), T.tokens(F.lower("text")))
+
+
 # -- indicators -----------------------------------------------------------------------------
 
 @query

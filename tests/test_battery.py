@@ -109,3 +109,18 @@ def test_leak_gate(spark):
     norm = F.regexp_replace(F.lower("text"), r"\s+", " ")
     r = B.leak_gate(cases, train, norm).first()
     assert (r["n_cases"], r["n_leaked"], r["status"]) == (2, 1, "RED")
+
+
+def test_shingle_leak_gate(spark):
+    run = "one two three four five six seven eight"
+    cases = spark.createDataFrame([(1, f"x {run}"), (2, "one two three"), (3, None)], "case_id int, text string")
+    texts = spark.createDataFrame([(1, f"{run} nine"), (2, f"a {run} b {run}"), (3, run[4:]), (4, None)],
+                                  "doc_id int, text string")
+    words = F.split(F.col("text"), " ")
+    red = B.shingle_leak_gate(cases, texts, words)
+    assert tuple(red.first()) == (3, 1, 2, "RED")
+    clean = B.shingle_leak_gate(cases, texts.where("doc_id > 2"), words)
+    assert tuple(clean.first()) == (3, 0, 0, "PASS")
+    B.require_pass(clean)
+    with pytest.raises(ValueError, match="leak gate"):
+        B.require_pass(red)
