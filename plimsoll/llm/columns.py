@@ -35,6 +35,14 @@ def row_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
+def drawn_below(draw: Column, wanted: int, of: Column) -> Column:
+    """Whether a 64-bit hash is among the least `2 * wanted` or so `of` that many; all are where there are fewer.
+
+    Cuts a table to about the rows that a draw of the `wanted` least can keep, before they meet.
+    """
+    return draw.cast("double") < F.lit(float(-(1 << 63))) + F.lit(float(1 << 64)) * (2.0 * wanted / of + 1e-15)
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The rows of `docs` whose doc_id is not in the one column of `gone`; nulls match each other."""
     name = "_gone_doc_id"

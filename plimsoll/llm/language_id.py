@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from plimsoll.llm.columns import drawn_below
 from plimsoll.llm.textbytes import groups, text_bytes
 
 SIZES = (2, 3)
@@ -98,12 +99,22 @@ def _fitted(table: pa.Table) -> pa.Table:
 
 
 def fit(train: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str | None, bytes]]:
-    """The model from rows with text and lang; at most `per_language` documents of each language are used."""
+    """The model from rows with doc_id, text and lang; at most `per_language` documents of each language are used.
+
+    Rows without a doc_id are not drawn.
+    """
     rows = train.where("lang is not null and text is not null").select(
-        letters(F.col("text")).alias("text"), "lang", F.xxhash64("doc_id", "text").alias("draw"))
-    # a literal rank limit is applied in each map task first, so a language's rows never meet
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    sample = rows.withColumn("rank", rank).where(F.col("rank") <= per_language)
+        "doc_id", "lang", F.xxhash64("doc_id").alias("draw"))
+    # drawn on ids: a row per language is sent to every task, then the ids drawn are, and only their texts move
+    sizes = rows.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    near = rows.join(F.broadcast(sizes), F.col("lang") == F.col("of")).where(
+        drawn_below(F.col("draw"), per_language, F.col("n")))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
+    drawn = near.withColumn("rank", rank).where(F.col("rank") <= per_language).select("doc_id", "lang", "draw")
+    texts = train.where("text is not null").select("doc_id", letters(F.col("text")).alias("text"),
+                                                   F.col("lang").alias("own"))
+    sample = texts.join(F.broadcast(drawn), "doc_id").where(F.col("own") == F.col("lang")).select(
+        "text", "lang", "draw")
     model = sample.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_fitted, "part string, lang string, weights binary")
     return [(r["part"], r["lang"], bytes(r["weights"])) for r in model.collect()]
 
