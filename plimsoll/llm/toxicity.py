@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from plimsoll.llm.columns import drawn_below
 from plimsoll.llm.textbytes import groups, mixed, text_bytes, word_hashes, words
 
 COLUMNS = 1 << 20
@@ -170,6 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic",
     """
     marks = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(
         "doc_id", F.col(label).cast("int").alias("y"), F.xxhash64("doc_id").alias("draw"))
+    marks = marks.where(drawn_below(F.col("draw"), sample, F.lit(float(max(marks.count(), 1)))))
     marks = marks.orderBy("draw", "doc_id", "y").limit(sample)
     rows = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text")).join(
         F.broadcast(marks), "doc_id")
