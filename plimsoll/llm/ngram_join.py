@@ -214,8 +214,9 @@ def near_groups(docs: DataFrame, n: int = WORDS, limit: tuple[int, int] = LIMIT,
     joined = components(compared.where("cls <> root").select(F.col("cls").alias("a"), F.col("root").alias("b")))
     rooted = classes.select("cls", "lead", "copies").join(joined.withColumnRenamed("v", "cls"), "cls", "left").join(
         links, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    totals = rooted.groupBy("root").agg(F.min("lead").alias("class_id"), F.sum("copies").alias("class_size"))
-    # stored, so that the join exchanges both sides itself and can split the rows of a large class
+    # stored, so that joins exchange both sides themselves and can split the rows of a large group
+    rooted = staged(rooted)
+    totals = staged(rooted.groupBy("root").agg(F.min("lead").alias("class_id"), F.sum("copies").alias("class_size")))
     known = staged(rooted.join(totals, "root").select(
         "cls", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
     return found.select("doc_id", "cls").join(known, "cls").select(
