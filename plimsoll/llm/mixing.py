@@ -142,7 +142,8 @@ def pieces(docs: DataFrame, seed: int = 7, block: int = BLOCK) -> tuple[DataFram
     """
     rows = staged(packed(docs))
     plan = staged(targets(rows))
-    taken = slots(plan, block, seed=seed).withColumnRenamed("source", "of")
+    # Spark takes exploded slots for a few rows and would broadcast them: they grow with the documents
+    taken = slots(plan, block, seed=seed).withColumnRenamed("source", "of").hint("merge")
     first = F.floor(F.col("begin") / block)
     last = F.floor((F.col("begin") + F.col("size") - 1) / block)
     parts = rows.where("size > 0").select("doc_id", "row", "source", "begin", "size",
@@ -165,7 +166,7 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     sums = cut.groupBy(F.col("doc_id").alias("id"), F.col("row").alias("of_row"), F.col("begin").alias("at")).agg(
         F.sum(F.col("hi") - F.col("lo")).alias("taken"))
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("of_row")) & (F.col("begin") == F.col("at"))
-    found = rows.join(sums, same, "left").select(
+    found = rows.join(sums.hint("merge"), same, "left").select(
         "doc_id", "source", "size", F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast(
             "long").alias("taken"))
     named = plan.withColumnRenamed("source", "of")
@@ -190,7 +191,7 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
     same = F.lit(True)
     for k in key:
         same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
-    part = texts.join(ranges, same).withColumn("held", F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)))
+    part = texts.join(ranges.hint("merge"), same).withColumn("held", F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)))
     text = F.when(F.size("held") <= F.col("words"), F.col("text")).otherwise(F.array_join(F.flatten(F.transform(
         "ranges", lambda r: F.slice("held", (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")))), " "))
     return part.select(F.col("whole").withField("text", text).alias("whole")).select("whole.*")
