@@ -44,8 +44,9 @@ def drawn_below(draw: Column, wanted: int, of: Column) -> Column:
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id is not in the one column of `gone`; nulls match each other."""
-    name = "_gone_doc_id"
-    while name in docs.columns:
+    """The rows of `docs` whose doc_id and row_hash are not a row of `gone` (two columns); nulls match each other."""
+    name = "_gone"
+    while any(column.startswith(name) for column in docs.columns):
         name = f"_{name}"
-    return docs.join(gone.toDF(name).distinct(), F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
+    same = F.col("doc_id").eqNullSafe(F.col(f"{name}_doc_id")) & (row_hash(F.col("text")) == F.col(f"{name}_row"))
+    return docs.join(gone.toDF(f"{name}_doc_id", f"{name}_row").distinct(), same, "left_anti")

@@ -60,6 +60,12 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     null item_id is not listed. Rows that repeat a doc_id are told apart by their text. Other
     columns are ignored.
     """
+    return marked(docs, benchmark, window, shingle, broadcast_rows).drop("row")
+
+
+def marked(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE,
+           broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """What `decontaminate` returns, with the row_hash of each text as `row`."""
     grams = staged(benchmark_windows(benchmark, window, shingle))
     known = grams.select("gram", "n").distinct()
     small = grams.count() <= broadcast_rows
@@ -85,7 +91,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         hit = _hits(staged(found), grams, window_items(benchmark, window), sized)
     same = counted["doc_id"].eqNullSafe(hit["doc_id"]) & (counted["row"] == hit["row"])
     return counted.join(hit, same, "left").select(
-        counted["doc_id"], counted["n_words"], F.coalesce(hit["n_hit"], F.lit(0)).cast("long").alias("n_hit"),
+        counted["doc_id"], counted["row"], counted["n_words"], F.coalesce(hit["n_hit"], F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(hit["n_items"], F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(hit["items"], F.lit("")), 256).alias("items_sha256"),
         (F.coalesce(hit["n_hit"], F.lit(0)) > 0).alias("contaminated"))
@@ -128,4 +134,4 @@ def _hits(found: DataFrame, grams: DataFrame, items: DataFrame, sized) -> DataFr
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options: int) -> DataFrame:
     """The rows of `docs` in which no benchmark window occurs, unchanged."""
-    return without(docs, decontaminate(docs, benchmark, **options).where("contaminated").select("doc_id"))
+    return without(docs, marked(docs, benchmark, **options).where("contaminated").select("doc_id", "row"))

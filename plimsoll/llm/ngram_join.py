@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plimsoll.llm.columns import without
+from plimsoll.llm.columns import row_hash, without
 from plimsoll.llm.components import components
 from plimsoll.llm.textbytes import groups, mixed, text_bytes, window_hashes, word_hashes, words
 from plimsoll.sources.stage import staged
@@ -95,7 +95,7 @@ def prefix_keys(hashes: np.ndarray, begin: np.ndarray, trees: int, length: int)
 
 
 def signatures(docs: DataFrame, n: int, trees: int, length: int) -> DataFrame:
-    """doc_id, cls (key of the n-gram set), grams (its size) and the prefix keys; one pass over the texts."""
+    """doc_id, row (row_hash of the text), cls (key of the n-gram set), grams (its size) and the prefix keys; one pass over the texts."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for group in groups(batch):
@@ -104,12 +104,13 @@ def signatures(docs: DataFrame, n: int, trees: int, length: int) -> DataFrame:
                 keys = prefix_keys(hashes, begin, trees, length)
                 ends = np.concatenate([[0], np.cumsum((size > 0) * trees)]).astype(np.int32)
                 yield pa.record_batch(
-                    [group.column("doc_id"), pa.array(class_keys(hashes, begin)), pa.array(size.astype(np.int32)),
+                    [group.column("doc_id"), group.column("row"), pa.array(class_keys(hashes, begin)),
+                     pa.array(size.astype(np.int32)),
                      pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
-                    names=["doc_id", "cls", "grams", "keys"])
+                    names=["doc_id", "row", "cls", "grams", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        work, "doc_id long, cls long, grams int, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash(F.col("text")).alias("row"),
+                       "text").mapInArrow(work, "doc_id long, row long, cls long, grams int, keys array<long>")
 
 
 def exact_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -184,10 +185,21 @@ def near_groups(docs: DataFrame, n: int = WORDS, limit: tuple[int, int] = LIMIT,
     empty, white space) are one class without links. Rows that repeat a doc_id and text count in
     class_size, and all rows with the least doc_id are kept. Other columns are ignored.
     """
+    return grouped_rows(docs, n, limit, trees, recall, block).select(
+        "doc_id", "class_id", "n_links", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+
+
+def grouped_rows(docs: DataFrame, n: int = WORDS, limit: tuple[int, int] = LIMIT, trees: int = TREES,
+                 recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+    """near_groups' rows with the row_hash of each text as `row`, and `stays` in place of `kept`.
+
+    `stays` marks the one doc_id and text that stands for its group: of the least doc_id (nulls
+    last), the text of least hash.
+    """
     length = prefix_length(limit[0] / limit[1], trees, recall=recall)
     found = staged(signatures(docs, n, trees, length))
     classes = staged(found.groupBy("cls").agg(
-        F.min("doc_id").alias("lead"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")))
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("lead"), F.count(F.lit(1)).alias("copies"), F.first("keys").alias("keys")))
     prefixes = classes.select("cls", F.explode("keys").alias("prefix"))
     shared = prefixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n"), F.min("cls").alias("least")).where("n > 1")
     members = staged(prefixes.join(shared.select("prefix", "least"), "prefix"))
@@ -204,7 +216,7 @@ def near_groups(docs: DataFrame, n: int = WORDS, limit: tuple[int, int] = LIMIT,
     sides = units.select("family", "low", "high", F.lit(0).alias("part"), F.col("low").alias("block")).union(
         units.where("low < high").select("family", "low", "high", F.lit(1), "high"))
     asked = dealt.join(sides, ["family", "block"]).select("cls", "family", "low", "high", "part")
-    needed = classes.join(dealt.select("cls"), "cls", "left_semi").select(F.col("lead").alias("of")).distinct()
+    needed = classes.join(dealt.select("cls"), "cls", "left_semi").select(F.col("lead.doc_id").alias("of")).distinct()
     texts = docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("of"), "left_semi")
     sets = exact_sets(texts, n).dropDuplicates(["cls"])
     work = asked.join(sets, "cls")
@@ -216,13 +228,30 @@ def near_groups(docs: DataFrame, n: int = WORDS, limit: tuple[int, int] = LIMIT,
         links, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     # stored, so that joins exchange both sides themselves and can split the rows of a large group
     rooted = staged(rooted)
-    totals = staged(rooted.groupBy("root").agg(F.min("lead").alias("class_id"), F.sum("copies").alias("class_size")))
+    totals = staged(rooted.groupBy("root").agg(F.min("lead").alias("first"), F.sum("copies").alias("class_size")))
     known = staged(rooted.join(totals, "root").select(
-        "cls", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
-    return found.select("doc_id", "cls").join(known, "cls").select(
-        "doc_id", "class_id", "n_links", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+        "cls", "first", "class_size", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))
+    return found.select("doc_id", "row", "cls").join(known, "cls").select(
+        "doc_id", "row", F.col("first.doc_id").alias("class_id"), "n_links", "class_size", stays.alias("stays"))
 
 
 def distinct_documents(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that stay when one document of each group does: the one of least doc_id."""
-    return without(docs, near_groups(docs, **options).where("not kept").select("doc_id"))
+    """The rows of `docs` that stay when one document of each group does: the one of least doc_id.
+
+    Nulls come last; of texts with the same doc_id the one of least hash stays, and of rows equal in
+    doc_id and text any one.
+    """
+    found = staged(grouped_rows(docs, **options).select("doc_id", "row", "stays"))
+    repeated = staged(found.where("stays").groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+                      .select("doc_id", "row"))
+    gone = found.where("not stays").select("doc_id", "row")
+    if repeated.isEmpty():
+        return without(docs, gone)
+    name = "_again"
+    while any(column.startswith(name) for column in docs.columns):
+        name = f"_{name}"
+    same = F.col("doc_id").eqNullSafe(F.col(f"{name}_doc_id")) & (F.col(name) == F.col(f"{name}_row"))
+    once = docs.withColumn(name, row_hash(F.col("text"))).join(
+        repeated.toDF(f"{name}_doc_id", f"{name}_row"), same, "left_semi").dropDuplicates(["doc_id", name]).drop(name)
+    return without(docs, gone.union(repeated)).unionByName(once)

@@ -166,6 +166,30 @@ def test_near_groups_against_all_pairs(spark):
         assert [r["n_links"] for r in got] == [len({sets[j] for j in links[i]}) for i in range(90)]
 
 
+def copy_rows(spark):
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abcd"}
+    near = {c: t + " tail" for c, t in text.items()}
+    return spark.createDataFrame(
+        [(1, text["a"], "first"), (None, near["a"], "near"), (None, text["b"], "unique"), (7, near["a"], "near"),
+         (7, text["c"], "unique"), (8, text["d"], "twice"), (8, text["d"], "twice")],
+        "doc_id long, text string, row string").repartition(3), text
+
+
+def test_only_the_copies_go(spark):
+    frame, text = copy_rows(spark)
+    got = sorted(map(tuple, ngram_join.distinct_documents(frame).collect()), key=str)
+    assert got == sorted([(1, text["a"], "first"), (None, text["b"], "unique"), (7, text["c"], "unique"),
+                          (8, text["d"], "twice")], key=str)
+
+
+def test_only_the_contaminated_go(spark):
+    frame, text = copy_rows(spark)
+    items = spark.createDataFrame([(1, " ".join(text["a"].split()[5:18]))], "item_id long, text string")
+    got = sorted(map(tuple, decontaminate.clean_documents(frame, items).collect()), key=str)
+    assert got == sorted([(None, text["b"], "unique"), (7, text["c"], "unique"), (8, text["d"], "twice"),
+                          (8, text["d"], "twice")], key=str)
+
+
 def test_prefixes_are_shortened_to_the_recall():
     assert ngram_join.prefix_length(0.8) == 4
     assert ngram_join.prefix_length(0.8, recall=0.9) > 4 > ngram_join.prefix_length(0.5)
