@@ -183,7 +183,9 @@ def near_groups(docs: DataFrame, n: int = WORDS, limit: tuple[int, int] = LIMIT,
     above) connect with this one; n_links counts the different n-gram sets that its set is linked
     with; equal sets are one class whatever else the texts differ in. Texts without words (null,
     empty, white space) are one class without links. Rows that repeat a doc_id and text count in
-    class_size, and all rows with the least doc_id are kept. Other columns are ignored.
+    class_size, and all rows with the least doc_id are kept. A null doc_id is linked like any other
+    and never the least, unless its group has no other: then class_id is null and all rows are kept
+    (distinct_documents keeps one). Other columns are ignored.
     """
     return grouped_rows(docs, n, limit, trees, recall, block).select(
         "doc_id", "class_id", "n_links", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
@@ -216,8 +218,11 @@ def grouped_rows(docs: DataFrame, n: int = WORDS, limit: tuple[int, int] = LIMIT
     sides = units.select("family", "low", "high", F.lit(0).alias("part"), F.col("low").alias("block")).union(
         units.where("low < high").select("family", "low", "high", F.lit(1), "high"))
     asked = dealt.join(sides, ["family", "block"]).select("cls", "family", "low", "high", "part")
-    needed = classes.join(dealt.select("cls"), "cls", "left_semi").select(F.col("lead.doc_id").alias("of")).distinct()
-    texts = docs.select("doc_id", "text").join(needed, F.col("doc_id") == F.col("of"), "left_semi")
+    # one text per class; null ids meet too, and the hash keeps them from meeting in one task
+    needed = classes.join(dealt.select("cls"), "cls", "left_semi").select(
+        F.col("lead.doc_id").alias("of"), F.col("lead.row").alias("of_row"))
+    texts = docs.select("doc_id", row_hash(F.col("text")).alias("row"), "text").join(
+        needed, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("row") == F.col("of_row")), "left_semi")
     sets = exact_sets(texts, n).dropDuplicates(["cls"])
     work = asked.join(sets, "cls")
     compared = staged(work.groupBy("family", "low", "high").applyInArrow(

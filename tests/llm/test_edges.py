@@ -190,6 +190,18 @@ def test_only_the_contaminated_go(spark):
                           (8, text["d"], "twice")], key=str)
 
 
+def test_null_ids_are_linked(spark):
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abc"}
+    frame = spark.createDataFrame(
+        [(1, text["a"]), (None, text["a"] + " tail"), (None, text["b"]), (None, text["b"] + " tail"),
+         (None, text["c"])], "doc_id long, text string").repartition(3)
+    got = sorted((r["class_id"] or 0, r["n_links"], r["class_size"], r["kept"])
+                 for r in ngram_join.near_groups(frame).where("doc_id is null").collect())
+    assert got == [(0, 0, 1, True), (0, 1, 2, True), (0, 1, 2, True), (1, 1, 2, False)]
+    left = [tuple(r) for r in ngram_join.distinct_documents(frame).collect()]
+    assert len(left) == 3 and {(1, text["a"]), (None, text["c"])} < set(left)
+
+
 def test_prefixes_are_shortened_to_the_recall():
     assert ngram_join.prefix_length(0.8) == 4
     assert ngram_join.prefix_length(0.8, recall=0.9) > 4 > ngram_join.prefix_length(0.5)
