@@ -25,7 +25,7 @@ SPAN = 28
 KEYWORDS = ["licen", "gpl", "asl", "public domain", "permission", "redistribution", "this program", "this library",
             "wtfpl", "fdl", "cc0", "cc zero", "cc by", "creative commons", "open data commons", "mpl ", "epl ", "cddl", "eupl", "odbl",
             "sspl", "cecill", "copyleft", "all rights reserved", "unauthorized ", "contributors", "copyright",
-            "confidential and proprietary", "apache"]
+            "confidential and proprietary", "apache", "express or implied"]
 #: What a match of each tier says about a document.
 WEIGHT = {3: 0.95, 2: 0.85, 1: 0.7, 0: 0.4}
 

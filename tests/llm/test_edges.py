@@ -262,6 +262,35 @@ def test_license_rules_are_gated():
         assert any(k.strip() in literal for k in license_scan.KEYWORDS), pattern
 
 
+def spelled(pattern):
+    """The shortest text that the pattern matches, by first alternatives."""
+    def of(part):
+        kind, value = str(part[0]), part[1]
+        if kind == "LITERAL":
+            return chr(value)
+        if kind == "IN":
+            return of(value[0])
+        if kind == "CATEGORY":
+            return "x"
+        if kind == "MAX_REPEAT":
+            return "".join(map(of, value[2])) * value[0]
+        if kind in ("BRANCH", "SUBPATTERN"):
+            return "".join(map(of, value[1][0] if kind == "BRANCH" else value[-1]))
+        raise ValueError(kind)
+
+    return "".join(map(of, re._parser.parse(pattern)))
+
+
+def test_every_rule_passes_the_gate(spark):
+    rules = [(label, spelled(pattern), pattern) for label, _, pattern, _ in license_scan.signatures()]
+    for _, text, pattern in rules:
+        assert re.fullmatch(pattern, text), (pattern, text)
+        assert any(k in text for k in license_scan.KEYWORDS), text
+    frame = spark.createDataFrame([(i, r[1]) for i, r in enumerate(rules)], "doc_id long, text string")
+    got = rows(license_scan.license_scan(frame))
+    assert not [(r[1], g["labels"]) for r, g in zip(rules, got) if r[0] not in g["labels"].split(",")]
+
+
 def test_license_containment(spark):
     text = "This work is licensed under the Apache License, Version 2.0. See also the BSD license."
     found = license_scan.resolved(license_scan.detections(spark.createDataFrame([(1, text)], "doc_id long, text string")))
