@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plimsoll.llm import decontaminate, exact_dedup, language_id, license_scan, mixing, ngram_join, revisits, substring_dedup, token_files, toxicity
+from plimsoll.llm import (collocations, decontaminate, exact_dedup, language_id, license_scan, mixing, ngram_join,
+                          prefix_tokens, revisits, spelling, substring_dedup, token_files, toxicity)
+from plimsoll.sources.stage import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,9 +76,23 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prefixes = staged(prefix_tokens.prefix_table(table(spark, sf_dir, "documents"), tokenizer_path()))
+    return prefix_tokens.within(prefixes, 512)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_substring_dedup, op2_toxicity, op3_exact_dedup, op4_language_id, op5_license_scan, op6_token_files,
-    op7_source_mix, op8_decontaminate, op9_warc_revisits, op10_ngram_join)}
+    op7_source_mix, op8_decontaminate, op9_warc_revisits, op10_ngram_join,
+    op11_collocations, op12_token_counts, op13_spelling_variants)}
 
 _WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
@@ -164,4 +180,53 @@ i AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)""",
+    "op11_collocations": r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(
+             coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM d),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY 1),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda s: array_to_string(w[s:s + k - 1], ' '))) AS phrase
+      FROM p, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT * FROM f WHERE k > 1),
+gone AS (SELECT DISTINCT x.lang, x.phrase FROM c x JOIN c y ON x.lang = y.lang AND y.k > x.k AND 100 * y.a >= 100 * x.a
+         AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ')),
+q AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut
+      FROM c ANTI JOIN gone USING (lang, phrase)),
+s AS (SELECT q.lang, q.phrase, q.a, cut, x.a AS l, y.a AS r, n,
+             (1000 * q.a::HUGEINT * n // (x.a::HUGEINT * y.a))::BIGINT AS score
+      FROM q JOIN t USING (lang) JOIN f x ON x.lang = q.lang AND x.phrase = array_to_string(w[:cut], ' ')
+      JOIN f y ON y.lang = q.lang AND y.phrase = array_to_string(w[cut + 1:], ' ')),
+low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER o AS rank, phrase, a, l, r, n, score FROM low
+WINDOW o AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY rank <= 2000""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS c FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)
+  WHERE len(run) >= 7 GROUP BY ALL),
+crc AS MATERIALIZED (SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, i: xor(c >> 1, (c & 1) * 3988292384))
+                                 ORDER BY b) AS t FROM range(256) AS x(b)),
+hashed AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+             range(1, octet_length(encode(s)) + 1), lambda i: ('0x' || substr(hex(encode(s)), 2 * i - 1, 2))::BIGINT)),
+             lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) AS h
+           FROM (SELECT run, c, coalesce(doc_id::VARCHAR, '') || ':' || run AS s FROM runs), crc),
+w AS MATERIALIZED (
+  SELECT word, sum(c)::BIGINT AS n FROM (SELECT c, CASE WHEN h % 31 = 0 THEN substr(run, 1, h % len(run))
+           || substr(run, h % len(run) + 2) ELSE run END AS word FROM hashed)
+  WHERE len(word) >= 7 GROUP BY 1 HAVING sum(c) >= 2),
+x AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less
+                   FROM (SELECT *, unnest(range(1, len(word) + 1)) AS i FROM w)),
+e AS (SELECT a.word, b.word AS other FROM x a JOIN x b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+      UNION SELECT word, less FROM x WHERE less IN (SELECT word FROM w)
+      UNION SELECT less, word FROM x WHERE less IN (SELECT word FROM w)),
+m AS MATERIALIZED (SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS form, max(n) AS form_n
+      FROM (SELECT e.word, other, n FROM e JOIN w ON w.word = other) GROUP BY 1),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 10 * w.n THEN form END AS form,
+             CASE WHEN form_n >= 10 * w.n THEN form_n END AS form_n FROM w LEFT JOIN m USING (word)),
+r AS (SELECT word, form AS root, 1 AS step FROM f WHERE form IS NOT NULL
+      UNION ALL SELECT r.word, f.form, step + 1 FROM r JOIN f ON f.word = r.root WHERE f.form IS NOT NULL),
+z AS (SELECT word, arg_max(root, step) AS root FROM r GROUP BY 1)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM f LEFT JOIN z USING (word)""",
 }

@@ -20,6 +20,6 @@ def test_agrees_with_sql(spark, sf_dir, con, name):
 
 def test_entry_has_every_query():
     numbers = sorted(int(n[2:].split("_")[0]) for n in entry_module.queries() if n.startswith("op"))
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert entry_module.queries()["pipeline"] is corpus_pipeline.run
     assert set(ORACLES) <= set(entry_module.oracle_sql())
