@@ -7,9 +7,9 @@ prefix, and the entries of the shorter stripes are the totals of all parts of a
 
 Phrases grow by a word a level, since a phrase is frequent only if both of its shorter ends are. What
 the level before found reaches the tasks as a bitmap of hashes of a fixed size, whatever the corpus:
-it can only let too much through, and counts are of words, not of hashes. A stripe is dealt over
-PARTS by its next words, so the stripe of a common prefix is neither one group nor one row. Stripes
-and levels are stored, so a lost executor repeats part of one level.
+it can only let too much through, and counts are of words, not of hashes. A second such map marks
+prefixes that make up a thousandth of a language; their stripes are dealt over PARTS by the
+next words, so that no prefix is one group. Levels are stored, so a lost executor repeats part of one level.
 """
 
 from __future__ import annotations
@@ -28,9 +28,10 @@ from plimsoll.llm.textbytes import groups, text_bytes, window_hashes, word_hashe
 from plimsoll.sources.stage import staged
 
 #: Bytes of text that are counted before stripes are written.
-GROUP = 1 << 23
-#: Parts that the entries of a stripe are dealt over.
-PARTS = 16
+GROUP = 1 << 22
+#: A prefix is common if it occurs once in so many words of its language; its stripe is dealt over PARTS.
+COMMON = 1000
+PARTS = 64
 #: log2 of the bits of the map of frequent phrases (8 MB); 15 at least.
 MAP_BITS = 26
 _BUCKET = 1 << 15
@@ -78,11 +79,11 @@ class Words:
         offsets[1:] = ends
         return pa.StringArray.from_buffers(len(at), pa.py_buffer(offsets), pa.py_buffer(self.data[places]))
 
-    def frequent(self, size: int, seen: np.ndarray) -> np.ndarray:
-        """For each word, whether the window of `size` words from it is in the map; ends of pieces are not looked at."""
+    def windows(self, size: int) -> np.ndarray:
+        """Hashes of the window of `size` words from each word, as the maps have them; ends of pieces are not looked at."""
         hashed = window_hashes(word_hashes(self.data, self.starts, self.ends), size)
         keys = np.array([_language(x) for x in self.langs] or [0], np.uint64)
-        return _held(seen, hashed ^ keys[self.lang[:len(hashed)]])
+        return hashed ^ keys[self.lang[:len(hashed)]]
 
 
 def _language(lang: str) -> int:
@@ -123,7 +124,10 @@ def word_totals(docs: DataFrame) -> DataFrame:
 
 
 def phrase_map(phrases: DataFrame, size: int, bits: int = MAP_BITS) -> np.ndarray:
-    """A bitmap of the hashes of (lang, phrase) for phrases of `size` words; 2^bits bits, however many there are."""
+    """Two bitmaps of the hashes of (lang, phrase) for phrases of `size` words: of all, and of the common ones.
+
+    2^bits bits each, however many phrases there are.
+    """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("phrase"))
@@ -133,31 +137,38 @@ def phrase_map(phrases: DataFrame, size: int, bits: int = MAP_BITS) -> np.ndarra
             hashed = window_hashes(word_hashes(data, starts, ends), size)[::size]
             langs = batch.column("lang").dictionary_encode()
             keys = np.array([_language(x) for x in langs.dictionary.to_pylist()] or [0], np.uint64)
-            yield pa.record_batch([pa.array(_place(hashed ^ keys[np.asarray(langs.indices)], bits))], names=["place"])
+            place = _place(hashed ^ keys[np.asarray(langs.indices)], bits)
+            common = place[batch.column("common").to_numpy(zero_copy_only=False)] + (1 << bits)
+            yield pa.record_batch([pa.array(np.concatenate([place, common]))], names=["place"])
 
-    found = phrases.select("lang", "phrase").mapInArrow(work, "place long").groupBy(
+    found = phrases.select("lang", "phrase", "common").mapInArrow(work, "place long").groupBy(
         F.floor(F.col("place") / _BUCKET).alias("bucket")).agg(
         F.bitmap_construct_agg(F.col("place") % _BUCKET).alias("bits"))
-    seen = np.zeros((1 << bits) // 8, np.uint8)
-    for row in found.toLocalIterator():  # 2^bits / 2^15 rows at most
+    seen = np.zeros((1 << bits) // 4, np.uint8)
+    for row in found.toLocalIterator():  # 2^bits / 2^14 rows at most
         at = row["bucket"] * _BUCKET // 8
         seen[at:at + _BUCKET // 8] = np.frombuffer(row["bits"], np.uint8)
-    return seen
+    return seen.reshape(2, -1)
 
 
 def stripes(docs: DataFrame, size: int, seen: np.ndarray) -> DataFrame:
     """lang, prefix, part, stripe: counters of the next words, for windows of `size` words whose both shorter
-    ends are in the map; several rows a prefix and part, to be merged."""
+    ends are in the map; several rows a prefix and part, to be merged.
+
+    A stripe is written as its entries, one a line: the word and, if it is not 1, a space and the count.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(seen)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, common = shared.value
         for batch in batches:
             for group in groups(batch, most=GROUP):
                 found = Words(group)
                 count = len(found.starts) - size + 1
                 if count < 1:
                     continue
-                known = found.frequent(size - 1, shared.value)
+                hashed = found.windows(size - 1)
+                known = _held(frequent, hashed)
                 at = np.nonzero(known[:-1] & known[1:] & (found.piece[:count] == found.piece[size - 1:]))[0]
                 if not len(at):
                     continue
@@ -168,39 +179,42 @@ def stripes(docs: DataFrame, size: int, seen: np.ndarray) -> DataFrame:
                 each = found.strings(np.nonzero(used)[0]).dictionary_encode()
                 code, most = np.zeros(len(used), np.int64), len(each.dictionary)
                 code[used] = np.asarray(each.indices)
-                prefix, sample = found.lang[at], at
+                prefix = found.lang[at]
                 for i in range(size - 1):
                     _, sample, prefix = np.unique(prefix * most + code[at + i], return_index=True, return_inverse=True)
                 sample = at[sample]
                 entries, counts = np.unique(prefix * most + code[at + size - 1], return_counts=True)
                 prefix, follower = entries // most, entries % most
-                hashed = word_hashes(found.data, found.starts, found.ends)
-                part_of = np.zeros(most, np.int64)
-                part_of[code[used]] = (hashed[used] % np.uint64(PARTS)).astype(np.int64)
-                order = np.argsort(prefix * PARTS + part_of[follower], kind="stable")
-                prefix, follower, counts = prefix[order], follower[order], counts[order]
-                part = part_of[follower]
+                share = np.zeros(most, np.int64)
+                share[code[used]] = (word_hashes(found.data, found.starts[used], found.ends[used])
+                                     % np.uint64(PARTS)).astype(np.int64)
+                part = np.where(_held(common, hashed[sample])[prefix], share[follower], 0)
+                order = np.argsort(prefix * PARTS + part, kind="stable")
+                prefix, follower, part, counts = prefix[order], follower[order], part[order], counts[order]
                 begins = np.nonzero(np.diff(prefix * PARTS + part, prepend=-1))[0]
                 owner = sample[prefix[begins]]
                 parts = [each.dictionary.take(pa.array(code[owner + i])) for i in range(size - 1)]
-                entry = pa.StructArray.from_arrays([each.dictionary.take(pa.array(follower)), pa.array(counts)],
-                                                   names=["next", "n"])
+                nexts = each.dictionary.take(pa.array(follower))
+                numbers = pa.array(counts)
+                entry = pc.if_else(pc.greater(numbers, 1),
+                                   pc.binary_join_element_wise(nexts, numbers.cast(pa.string()), " "), nexts)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(begins, len(prefix)).astype(np.int32)), entry)
                 yield pa.record_batch(
                     [pa.array(found.langs, pa.string()).take(pa.array(found.lang[owner])),
                      pc.binary_join_element_wise(*parts, " ") if size > 2 else parts[0],
-                     pa.array(part[begins].astype(np.int32)),
-                     pa.ListArray.from_arrays(pa.array(np.append(begins, len(prefix)).astype(np.int32)), entry)],
+                     pa.array(part[begins].astype(np.int32)), pc.binary_join(lists, "\n")],
                     names=["lang", "prefix", "part", "stripe"])
 
-    return _texts(docs).mapInArrow(
-        work, "lang string, prefix string, part int, stripe array<struct<next: string, n: long>>")
+    return _texts(docs).mapInArrow(work, "lang string, prefix string, part int, stripe string")
 
 
 def merged(found: DataFrame, least: int) -> DataFrame:
     """lang, prefix, next, a: the entries of the stripes added up, those of at least `least`."""
-    rows = found.repartition("lang", "prefix", "part").select("lang", "prefix", "part", F.inline("stripe"))
-    return rows.groupBy("lang", "prefix", "part", "next").agg(F.sum("n").alias("a")).where(
-        F.col("a") >= least).drop("part")
+    rows = found.repartition("lang", "prefix", "part").select(
+        "lang", "prefix", "part", F.explode(F.split("stripe", "\n")).alias("entry"))
+    number = F.split_part("entry", F.lit(" "), F.lit(2))
+    return rows.groupBy("lang", "prefix", "part", F.substring_index("entry", " ", 1).alias("next")).agg(
+        F.sum(F.when(number == "", 1).otherwise(number.cast("long"))).alias("a")).where(F.col("a") >= least).drop("part")
 
 
 def scored(phrases: DataFrame, totals: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -236,10 +250,12 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int |
     texts = docs.select("lang", "text")
     every = staged(word_totals(texts))
     sizes = every.groupBy("lang").agg(F.sum("a").alias("n"))
+    common = (F.col("a") * COMMON >= F.col("n")).alias("common")
     level = every.where(F.col("a") >= least)
     totals, phrases, longer = level, None, None
     for size in range(2, longest + 1):
-        found = staged(merged(stripes(texts, size, phrase_map(level, size - 1)), least).select(
+        found = staged(merged(stripes(texts, size, phrase_map(level.join(sizes, "lang").select(
+            "lang", "phrase", common), size - 1)), least).select(
             "lang", "prefix", F.concat_ws(" ", "prefix", "next").alias("phrase"), F.lit(size).alias("words"), "a"))
         level = found.drop("prefix", "words")
         phrases = found.drop("prefix") if phrases is None else phrases.unionByName(found.drop("prefix"))

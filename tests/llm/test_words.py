@@ -75,11 +75,12 @@ def test_collocations_over_many_groups(spark, monkeypatch):
     rows = [(i, " ".join(words[i * 40:i * 40 + 40]).replace("dd", random.choice(["dd", "dd.", "DD"])), random.choice(["en", None, "de"]), "s")
             for i in range(150)]
     monkeypatch.setattr(collocations, "GROUP", 300)
+    monkeypatch.setattr(collocations, "COMMON", 8)
     got = collocations.collocations(spark.createDataFrame(rows, SCHEMA).repartition(5), 4)
     assert sorted(map(tuple, got.collect())) == every_collocation(rows, 4, 5, 2000, 100)
 
 
-@pytest.mark.parametrize("seen", [np.full(1 << 12, 255, np.uint8), None])
+@pytest.mark.parametrize("seen", [np.full((2, 1 << 12), 255, np.uint8), None])
 def test_collocations_of_a_full_map(docs, monkeypatch, seen):
     """A map that lets all through, and a small one, change nothing."""
     small = collocations.phrase_map
