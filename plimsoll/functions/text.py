@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import lru_cache, reduce
 
 import pandas as pd
@@ -137,45 +137,97 @@ def grams(kept: Column, longest: int = 2) -> Column:
     return F.concat(*parts)
 
 
+def _bare(text: str) -> str:
+    """Compatibility decomposition without combining marks."""
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
+
+
+def _class_of(codes: Sequence[int], gap: Callable[[int], int] = lambda code: 0) -> str:
+    """A regular-expression class of ascending code points, as ranges; gaps up to ``gap(code)`` are taken in."""
+    ranges: list[list[int]] = []
+    for code in codes:
+        if ranges and code - ranges[-1][1] <= gap(code) + 1:
+            ranges[-1][1] = code
+        else:
+            ranges.append([code, code])
+    return "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
+#: The Hangul syllables follow from three rows of letters by arithmetic: first code, vowels times finals, finals.
+_HANGUL, _BLOCK, _FINALS = 0xAC00, 588, 28
+_HANGUL_CLASS = r"[\x{AC00}-\x{D7A3}]"
+
+
 @lru_cache(maxsize=1)
-def _folding_table() -> tuple[str, str]:
-    """One-to-one accent folding over the basic plane, derived from the Unicode database.
+def _folding_table() -> tuple[str, str, str, str, str]:
+    """Accent folding of every code point, derived from the Unicode database.
 
-    Characters whose decomposition loses its marks and leaves a single character map to it;
-    the marks themselves come last and map to nothing.
+    Characters that fold to one other, and what they fold to, with the marks, which fold to nothing,
+    last. Then those that fold to several: a class of few ranges that holds them, the exact class, and
+    the characters with what they fold to.
     """
-    source, target, dropped = [], [], []
-    for code in range(0x80, 0x10000):
+    source, target, dropped, several, spelled = [], [], [], [], []
+    for code in range(0x80, 0x110000):
+        if 0xD800 <= code <= 0xDFFF or _HANGUL <= code <= 0xD7A3:
+            continue
         ch = chr(code)
-        if 0xD800 <= code <= 0xDFFF:
+        bare = _bare(ch)
+        if bare == ch:
             continue
-        if unicodedata.combining(ch):
+        if not bare:
             dropped.append(ch)
-            continue
-        bare = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
-        if len(bare) == 1 and bare != ch:
+        elif len(bare) == 1:
             source.append(ch)
             target.append(bare)
-    return "".join(source + dropped), "".join(target)
+        else:
+            several.append(code)
+            spelled.append(f"\x02{ch}\x01{bare}")
+    return "".join(source + dropped), "".join(target), _class_of(
+        sorted([*several, *range(_HANGUL, 0xD7A4)]), lambda code: 3 if code < 0x250 else 0x800), _class_of(several), "".join(spelled) + "\x02"
+
+
+def _each_replaced(text: Column, among: str, by: Callable[[Column], Column]) -> Column:
+    """Replaces every character of the class by what ``by`` makes of it, one kind of character at a time."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(among), F.lit(0)))
+    return F.aggregate(found, text, lambda held, ch: F.replace(held, ch, by(ch)))
+
+
+def _jamo(syllable: Column) -> Column:
+    """The two or three letters that a Hangul syllable is made of."""
+    first = "".join(map(chr, range(0x1100, 0x1113)))
+    vowels = "".join(map(chr, range(0x1161, 0x1176)))
+    last = "".join(map(chr, range(0x11A8, 0x11C3)))
+    place = F.ascii(syllable) - _HANGUL
+    final = place % _FINALS
+    return F.concat(
+        F.substring(F.lit(first), F.floor(place / _BLOCK).cast("int") + 1, F.lit(1)),
+        F.substring(F.lit(vowels), F.floor(place % _BLOCK / _FINALS).cast("int") + 1, F.lit(1)),
+        F.when(final > 0, F.substring(F.lit(last), final, F.lit(1))).otherwise(""))
 
 
 def fold_accents(text: Column) -> Column:
-    """Accent folding inside the JVM; plain ASCII texts pass untouched.
+    """Compatibility decomposition without combining marks, inside the JVM, for any script.
 
-    Exact for characters that fold to one character. Ligatures, fractions and Hangul, which
-    decompose into several, need :func:`fold_accents_full`.
+    Plain ASCII texts pass untouched. Characters that fold to one other are translated in one pass.
+    Those that fold to several (ligatures, fractions, enclosed and presentation forms, Hangul) are
+    rare; texts that hold any, by a class test, have each kind replaced. A folded character is never
+    folded again, so the order is free.
     """
-    source, target = _folding_table()
-    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(text, source, target)).otherwise(text)
+    source, target, likely, several, spelled = _folding_table()
+
+    def entry(ch: Column) -> Column:  # what stands between the character's own key and the next one
+        behind = F.call_function("substring_index", F.lit(spelled), F.concat(F.lit("\x02"), ch, F.lit("\x01")), F.lit(-1))
+        return F.substring_index(behind, "\x02", 1)
+
+    rare = F.when(text.rlike(likely), _each_replaced(_each_replaced(text, several, entry), _HANGUL_CLASS, _jamo))
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(rare.otherwise(text), source, target)).otherwise(text)
 
 
 def fold_accents_full(text: Column) -> Column:
     """Compatibility decomposition without combining marks, for any script (Arrow batches)."""
 
     def fold(value):
-        if value is None or value.isascii():
-            return value
-        return "".join(c for c in unicodedata.normalize("NFKD", value) if not unicodedata.combining(c))
+        return value if value is None or value.isascii() else _bare(value)
 
     @F.pandas_udf(StringType())
     def folded(values: pd.Series) -> pd.Series:

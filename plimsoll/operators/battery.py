@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import measures as M
+from ..functions import runs as R
+from ..sources.stage import staged
 from .running import numbered
 
 CASE_FIELDS = ["suite_ord", "block", "pos", "suite", "failure_mode", "regulation_ref", "should_flag",
@@ -222,31 +224,35 @@ def leak_gate(cases: DataFrame, training: DataFrame, normalised: Column) -> Data
         "n_cases", "n_leaked", F.when(F.col("n_leaked") == 0, "PASS").otherwise("RED").alias("status"))
 
 
-def shingles(words: Column, width: int) -> Column:
-    """The distinct runs of ``width`` words, joined by spaces; none in shorter texts. Pass a plain column."""
-    last = F.size(words) - (width - 1)
-    return F.when(last > 0, F.array_distinct(F.transform(
-        F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(words, i, F.lit(width)), " "))))
+def _shared_runs(cases: DataFrame, training: DataFrame, words: Column, key: str, width: int) -> tuple[DataFrame, DataFrame]:
+    """(case_id, run) of all test texts, and (key, run) of the training texts for runs that a test text has too.
+
+    Runs are found by rolling hashes; a map of the test texts' hashes, of a fixed size, lets through
+    the training side's runs that may be among them, and only these are compared as text.
+    """
+    tests = staged(R.runs(cases.select("case_id", words.alias("words")), "case_id", width).distinct())
+    likely = R.runs(training.select(F.col(key).alias(key), words.alias("words")), key, width, R.run_map(tests, width))
+    return tests, staged(likely.distinct().join(tests.select("run").distinct(), "run", "left_semi"))
 
 
 def shingle_leak_gate(cases: DataFrame, training: DataFrame, words: Column, key: str = "doc_id",
                       width: int = 8) -> DataFrame:
     """The other half of the leak gate: training texts that share a run of ``width`` words with a test text.
 
-    ``words`` is the word array of ``text`` on both sides. Only runs that stand in a test text leave
-    the scan of the training side where the battery is small enough for a broadcast, which Spark
-    measures; otherwise the runs are shuffled, never the texts.
+    ``words`` makes the words of ``text`` joined by single spaces, on both sides.
     """
-    def runs(df: DataFrame, name: str) -> DataFrame:
-        listed = df.select(F.col(name).alias(name), words.alias("w"))
-        return listed.select(name, F.explode(shingles(F.col("w"), width)).alias("run"))
-
-    shared = runs(training, key).join(runs(cases, "case_id"), "run")
-    total = cases.agg(F.count(F.lit(1))).scalar()
-    return shared.agg(
-        F.countDistinct("case_id").alias("n_leaked"), F.countDistinct(key).alias("n_documents")).select(
-        total.alias("n_cases"), "n_leaked", "n_documents",
-        F.when(F.col("n_documents") == 0, "PASS").otherwise("RED").alias("status"))
+    tests, shared = _shared_runs(cases, training, words, key, width)
+    leaked = tests.join(shared.select("run").distinct(), "run", "left_semi")
+    return cases.agg(F.count(F.lit(1)).alias("n_cases")).select(
+        "n_cases", leaked.agg(F.countDistinct("case_id")).scalar().alias("n_leaked"),
+        shared.agg(F.countDistinct(key)).scalar().alias("n_documents")).withColumn(
+        "status", F.when(F.col("n_documents") == 0, "PASS").otherwise("RED"))
+
+
+def without_leaks(cases: DataFrame, training: DataFrame, words: Column, key: str = "doc_id", width: int = 8) -> DataFrame:
+    """The training rows whose text shares no run of ``width`` words with a test text. ``key`` is unique and not null."""
+    _, shared = _shared_runs(cases, training, words, key, width)
+    return training.join(shared.select(key).distinct(), key, "left_anti")
 
 
 def require_pass(report: DataFrame) -> None:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from ..sources.kept import kept_path
 from ..sources.reports import absent
 from ..sources.stage import staged
 from .battery import require_pass
@@ -175,6 +176,20 @@ def load_or_train(spark: SparkSession, path: str, train, **settings) -> Champion
         return model
 
 
+def kept_champion(rows: DataFrame, labels: Sequence[str], key: str = "id", seed: int = 42, test_size: float = 0.2,
+                  leak_gate: DataFrame | None = None, **settings) -> tuple[Champion, DataFrame]:
+    """As :func:`train_baseline`, but a model that was fitted on the same rows with the same settings is loaded.
+
+    The leak gate is asked either way, since the battery can have grown after the fit.
+    """
+    spark = rows.sparkSession
+    if leak_gate is not None:
+        require_pass(leak_gate)
+    path = kept_path(spark, "champion", [rows], [list(labels), key, seed, test_size, sorted(settings.items())])
+    train = lambda: train_baseline(rows, labels, key, seed, test_size, **settings)[0]
+    return load_or_train(spark, path, train), with_split(rows, key, seed, test_size)
+
+
 def top_features(weights: DataFrame, labels: Sequence[str], category: str | None = None, k: int = 15) -> DataFrame:
     """The k heaviest tokens, for one category or for each."""
     if category is not None and category not in labels:

@@ -25,6 +25,11 @@ class Lexicon:
     self_groups: Sequence[str] = ()
     guarded_by: Sequence[str] = field(default=())
 
+    def settings(self) -> list:
+        """All that decides a flag, in an order that doesn't vary."""
+        return [sorted((k, list(v)) for k, v in self.heads.items()), sorted(self.whole_words), self.implied,
+                list(self.self_markers), list(self.self_groups), list(self.guarded_by)]
+
     @property
     def labels(self) -> list[str]:
         heads = list(self.heads)

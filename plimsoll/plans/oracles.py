@@ -309,10 +309,19 @@ TOKENS = f"list_filter(regexp_split_to_array(TEXT, '[^{WORD}]+'), lambda w: w <>
 STOP = "[" + ", ".join(lit(w) for w in X.STOP_WORDS) + "]"
 
 
-def grams_cte() -> str:
+#: Runs of eight words of benchmark items and of documents.
+SHARED_RUNS = f"""b AS (SELECT item_id, {TOKENS.replace("TEXT", "lower(text)")} AS w FROM benchmark),
+  d AS (SELECT doc_id, {TOKENS.replace("TEXT", "lower(text)")} AS w FROM documents),
+  bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 7], ' ') AS run
+         FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM b WHERE len(w) >= 8)),
+  ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 7], ' ') AS run
+         FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8))"""
+
+
+def grams_cte(source: str = "documents") -> str:
     tok = TOKENS.replace("TEXT", "strip_accents(lower(text))")
     return f"""kept AS (
-  SELECT doc_id, list_filter({tok}, lambda w: NOT list_contains({STOP}, w)) AS k FROM documents),
+  SELECT doc_id, list_filter({tok}, lambda w: NOT list_contains({STOP}, w)) AS k FROM {source}),
 grams AS (
   SELECT doc_id, unnest(list_concat(k, list_transform(range(1, len(k)), lambda i: k[i] || ' ' || k[i + 1]))) AS token
   FROM kept),
@@ -547,12 +556,7 @@ ORACLES: dict[str, str] = {
       b AS (SELECT item_id, trim(regexp_replace(lower(text), '[{SP}]+', ' ', 'g')) AS t FROM benchmark)
       SELECT count(*) AS n_cases, count(f.t) AS n_leaked, CASE WHEN count(f.t) = 0 THEN 'PASS' ELSE 'RED' END AS status
       FROM b LEFT JOIN f USING (t)""",
-    "battery_leak_shingles": f"""WITH b AS (SELECT item_id, {TOKENS.replace("TEXT", "lower(text)")} AS w FROM benchmark),
-      d AS (SELECT doc_id, {TOKENS.replace("TEXT", "lower(text)")} AS w FROM documents),
-      bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 7], ' ') AS run
-             FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM b WHERE len(w) >= 8)),
-      ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 7], ' ') AS run
-             FROM (SELECT *, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8))
+    "battery_leak_shingles": f"""WITH {SHARED_RUNS}
       SELECT (SELECT count(*) FROM benchmark) AS n_cases, count(DISTINCT item_id) AS n_leaked,
              count(DISTINCT doc_id) AS n_documents,
              CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'RED' END AS status FROM bs JOIN ds USING (run)""",
@@ -612,4 +616,16 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'low_quality', count(*), sum(y_low_quality)::BIGINT FROM truth)
       SELECT category, n, positives, n / nullif(2 * positives, 0) AS weight_pos,
              n / nullif(2 * (n - positives), 0) AS weight_neg FROM t""",
+    # what the unique minimum of the penalised loss must satisfy: no gradient, and scores whose mean by class
+    # weights is that of the labels; sizes are counted from the tables
+    "train_certificate": f"""WITH {SHARED_RUNS}, {TRUTH}, train AS (
+        SELECT doc_id, text, y_toxic, y_low_quality FROM documents JOIN truth USING (doc_id)
+        WHERE {SPLIT} AND doc_id NOT IN (SELECT doc_id FROM ds JOIN bs USING (run))),
+      {grams_cte("train")}, l AS (
+        SELECT 'toxic' AS category, y_toxic AS y FROM train
+        UNION ALL SELECT 'low_quality', y_low_quality FROM train),
+      s AS (SELECT category, count(*) AS n_rows, sum(y)::BIGINT AS n_positive FROM l GROUP BY 1)
+      SELECT category, n_rows, n_positive, (SELECT count(*) FROM vocab) AS n_features,
+             round(n_positive * (n_rows / (2.0 * n_positive)) / n_rows, 5)::DOUBLE AS weighted_share,
+             0.0::DOUBLE AS gradient, 0.0::DOUBLE AS score_gap FROM s""",
 }

@@ -1,11 +1,14 @@
 """Battery expansion, scoring and gates."""
 
 import json
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from plimsoll import dimensions as D
+from plimsoll.functions import runs as R
 from plimsoll.operators import battery as B
 from plimsoll.sources.suites import parse_suites
 
@@ -102,8 +105,6 @@ def test_mixed_suite_fails(spark):
 
 
 def test_leak_gate(spark):
-    from pyspark.sql import functions as F
-
     cases = spark.createDataFrame([("1", "Some  Text"), ("2", "other")], "case_id string, text string")
     train = spark.createDataFrame([("some text",), ("some text",)], "text string")
     norm = F.regexp_replace(F.lower("text"), r"\s+", " ")
@@ -116,11 +117,38 @@ def test_shingle_leak_gate(spark):
     cases = spark.createDataFrame([(1, f"x {run}"), (2, "one two three"), (3, None)], "case_id int, text string")
     texts = spark.createDataFrame([(1, f"{run} nine"), (2, f"a {run} b {run}"), (3, run[4:]), (4, None)],
                                   "doc_id int, text string")
-    words = F.split(F.col("text"), " ")
+    words = F.col("text")
     red = B.shingle_leak_gate(cases, texts, words)
     assert tuple(red.first()) == (3, 1, 2, "RED")
-    clean = B.shingle_leak_gate(cases, texts.where("doc_id > 2"), words)
+    left = B.without_leaks(cases, texts, words)
+    assert sorted(r["doc_id"] for r in left.collect()) == [3, 4]
+    clean = B.shingle_leak_gate(cases, left, words)
     assert tuple(clean.first()) == (3, 0, 0, "PASS")
     B.require_pass(clean)
     with pytest.raises(ValueError, match="leak gate"):
         B.require_pass(red)
+    none = B.shingle_leak_gate(cases.where("false"), texts, words).first()
+    assert tuple(none) == (0, 0, 0, "PASS")
+
+
+@pytest.mark.parametrize("full", [True, False])
+def test_shared_runs_equal_brute_force(spark, monkeypatch, full):
+    """Whatever the map of hashes lets through, runs are compared as text."""
+    rng = random.Random(1)
+    text = lambda n: " ".join(rng.choice(["a", "b", "été", "漢字"]) for _ in range(n))
+    cases = [(i, text(rng.randint(0, 9))) for i in range(20)] + [(20, None), (21, "")]
+    texts = [(i, text(rng.randint(0, 60))) for i in range(80)] + [(80, None), (81, ""), (82, "a " * 5000 + "b")]
+    if full:
+        monkeypatch.setattr(R, "run_map", lambda *_: np.full((1 << R.MAP_BITS) // 8, 255, np.uint8))
+    monkeypatch.setattr(R, "TOGETHER", 200)
+
+    def runs(rows):
+        return {k: {tuple((t or "").split()[i:i + 4]) for i in range(len((t or "").split()) - 3)} for k, t in rows}
+
+    in_cases, in_texts = runs(cases), runs(texts)
+    known, seen = set().union(*in_cases.values()), set().union(*in_texts.values())
+    got = B.shingle_leak_gate(spark.createDataFrame(cases, "case_id int, text string"),
+                              spark.createDataFrame(texts, "doc_id int, text string").repartition(3),
+                              F.trim("text"), width=4).first()
+    assert (got["n_leaked"], got["n_documents"]) == (
+        sum(bool(r & seen) for r in in_cases.values()), sum(bool(r & known) for r in in_texts.values()))

@@ -9,9 +9,11 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from plimsoll.operators import certificate as K
 from plimsoll.operators import champion as C
 from plimsoll.operators import features, sampling
 from plimsoll.plans import bindings as X
+from plimsoll.sources.kept import kept_path, kept_table
 
 TEXTS = ["red fish and blue fish", "blue sky", "red red red sky", "", "Blüe fish in the sky", "green", "fish fish sky"]
 STOP = ["and", "in", "the"]
@@ -89,6 +91,51 @@ def test_solution_is_stationary(trained):
     assert abs(4.0 * residual.sum()) < 1e-2 * len(y)
 
 
+def test_certificate_tells_optimum_from_others(spark, trained):
+    model, rows = trained
+    train = rows.where(F.col("split") == "train").drop("split")
+    right = K.certificate(model, train, "doc_id", max_features=300).first()
+    totals = train.agg(F.count("*"), F.sum("y_toxic")).first()
+    assert (right["n_rows"], right["n_positive"], right["n_features"]) == (*totals, len(model.tokens))
+    assert right["gradient"] < 1e-5 and right["score_gap"] < 1e-9 and abs(right["weighted_share"] - 0.5) < 1e-5
+    # the same coefficients are not the optimum of another penalty, of other weights or of other rows
+    assert K.certificate(model, train, "doc_id", max_features=300, c=5.0).first()["gradient"] > 1e-5
+    assert K.certificate(model, train, "doc_id", max_features=300, balanced=False).first()["gradient"] > 1e-3
+    assert K.certificate(model, train.where("doc_id % 5 > 0"), "doc_id", max_features=300).first()["gradient"] > 1e-5
+    early = C.fit_champion(train, ["toxic"], X.STOP_WORDS, max_features=300, max_iter=3)
+    assert K.certificate(early, train, "doc_id", max_features=300).first()["gradient"] > 1e-4
+
+
+def test_kept_models_and_results_follow_their_inputs(spark, labelled, monkeypatch):
+    fits = []
+    fit = C.fit_champion
+    monkeypatch.setattr(C, "fit_champion", lambda *a, **k: fits.append(1) or fit(*a, **k))
+    keep = lambda df, **k: C.kept_champion(df, ["toxic"], "doc_id", stop_words=X.STOP_WORDS, max_features=50, **k)[0]
+    first = keep(labelled)
+    assert keep(labelled.repartition(5)).tokens == first.tokens and len(fits) == 1
+    keep(labelled, min_df=2)
+    changed = labelled.withColumn("text", F.when(F.col("doc_id") == F.lit(labelled.first()["doc_id"]), "new").otherwise(F.col("text")))
+    keep(changed)
+    assert len(fits) == 3
+    red = spark.createDataFrame([("RED",)], "status string")
+    with pytest.raises(ValueError, match="leak gate"):
+        keep(labelled, leak_gate=red)
+
+    runs = []
+    table = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "k int, `a.b` string")
+    result = lambda df, s: kept_table(spark, "r", [df], s, lambda: runs.append(1) or df.groupBy("k").count()).collect()
+    assert sorted(result(table, 1)) == sorted(result(table.repartition(3), 1)) and len(runs) == 1
+    result(table, 2), result(table.limit(2), 1), result(table.withColumnRenamed("k", "j").withColumnRenamed("j", "k"), 1)
+    assert len(runs) == 3
+
+
+def test_a_result_without_success_mark_is_computed_anew(spark):
+    table = spark.createDataFrame([(7,)], "k int")
+    path = kept_path(spark, "lost", [table])
+    spark.createDataFrame([(1,)], "k int").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    assert [r["k"] for r in kept_table(spark, "lost", [table], None, lambda: table).collect()] == [7]
+
+
 def test_save_load_and_fallback(spark, trained, tmp_path):
     model, rows = trained
     path, calls = str(tmp_path / "m"), []

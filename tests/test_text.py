@@ -96,6 +96,15 @@ def test_accent_folding(spark):
     assert column(spark, wide, T.fold_accents_full(F.col("t"))) == [fold(v) for v in wide]
 
 
+def test_accent_folding_of_every_character(spark):
+    """Every assigned code point, many to a text and between others."""
+    codes = [c for c in range(1, 0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Co", "Cs")]
+    texts = ["".join(f"x{chr(c)}" for c in codes[i:i + 97]) for i in range(0, len(codes), 97)]
+    want = ["".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for t in texts]
+    assert column(spark, texts, T.fold_accents(F.col("t"))) == want
+    assert column(spark, [None, "", "ﬁ"], T.fold_accents(F.col("t"))) == [None, "", "fi"]
+
+
 def test_near_terms(spark):
     markers, groups = ["being a", "speaking as"], ["baker", "sailor"]
     wanted = {
