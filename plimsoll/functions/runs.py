@@ -8,7 +8,7 @@ compared as text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -33,32 +33,56 @@ def joined(lowered: Column) -> Column:
     return F.trim(F.regexp_replace(lowered, NOT_WORD + "+", " "))
 
 
-def _spans(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, first byte, end byte and hash of each run of `width` words in non-null texts."""
+class _Hashed:
+    """The words of a batch of joined texts, and the hash of any span of them."""
+
+    def __init__(self, texts: pa.Array):
+        self.data, offsets = text_bytes(texts)
+        self.starts, self.ends, self.text = word_spans(self.data, offsets)
+        powers = np.full((2, len(self.data) + 1), [[_BASE], [pow(_BASE, -1, _WRAP)]], np.uint64)
+        powers[:, 0] = 1
+        up, self.down = np.multiply.accumulate(powers, axis=1)
+        self.sums = np.zeros(len(self.data) + 1, np.uint64)
+        np.cumsum(_BYTES[self.data] * up[:-1], out=self.sums[1:])
+
+    def spans(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text number, first byte, end byte and hash of each run of `width` words."""
+        last = max(len(self.starts) - width + 1, 0)
+        first = np.nonzero(self.text[:last] == self.text[len(self.text) - last:])[0]
+        begin, end = self.starts[first], self.ends[first + width - 1]
+        return self.text[first], begin, end, self.hashes(begin, end)
+
+    def hashes(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        hashed = (self.sums[end] - self.sums[begin]) * self.down[begin]
+        hashed = (hashed ^ (hashed >> np.uint64(32))) * np.uint64(_BASE)
+        return hashed ^ (hashed >> np.uint64(29))
+
+
+def strings(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> pa.StringArray:
+    """The spans of the data as an array of strings."""
+    offsets = np.zeros(len(begin) + 1, np.int32)
+    np.cumsum(end - begin, out=offsets[1:])
+    places = np.repeat(begin - offsets[:-1], end - begin) + np.arange(offsets[-1])
+    return pa.StringArray.from_buffers(len(begin), pa.py_buffer(offsets), pa.py_buffer(data[places]))
+
+
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of an array of strings, and where each text begins, with the end of the last."""
     kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     offsets = np.frombuffer(texts.buffers()[1], kind)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
     held = texts.buffers()[2]
     data = np.frombuffer(held, np.uint8)[offsets[0]:offsets[-1]] if held is not None else np.zeros(0, np.uint8)
-    offsets = offsets - offsets[0]
-    space = np.nonzero(data == 0x20)[0]
-    full = np.diff(offsets) > 0
-    starts = np.sort(np.concatenate([offsets[:-1][full], space + 1]))
-    ends = np.sort(np.concatenate([offsets[1:][full], space]))
-    text = np.searchsorted(offsets, starts, "right") - 1
-    last = max(len(starts) - width + 1, 0)
-    first = np.nonzero(text[:last] == text[len(text) - last:])[0]
-    begin, end = starts[first], ends[first + width - 1]
-    up, down = np.full((2, len(data) + 1), [[_BASE], [pow(_BASE, -1, _WRAP)]], np.uint64)
-    up[0] = down[0] = 1
-    up, down = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTES[data] * up[:-1], out=sums[1:])
-    hashed = (sums[end] - sums[begin]) * down[begin]
-    hashed = (hashed ^ (hashed >> np.uint64(32))) * np.uint64(_BASE)
-    return text[first], begin, end, hashed ^ (hashed >> np.uint64(29))
-
-
-def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    return data, offsets - offsets[0]
+
+
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and text number of the words of joined texts."""
+    space, full = np.nonzero(data == 0x20)[0], np.diff(offsets) > 0
+    begin = np.sort(np.concatenate([offsets[:-1][full], space + 1]))
+    return begin, np.sort(np.concatenate([offsets[1:][full], space])), np.searchsorted(offsets, begin, "right") - 1
+
+
+def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     """Consecutive rows of about TOGETHER bytes."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("words")), 0).to_numpy(zero_copy_only=False))
     row = 0
@@ -69,10 +93,11 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         row = stop
 
 
-def runs(df: DataFrame, key: str, width: int, known: np.ndarray | None = None) -> DataFrame:
-    """(key, run): runs of ``width`` words of the column ``words``; only those that the map ``known`` may hold.
+def runs(df: DataFrame, key: str, widths: Sequence[int], known: np.ndarray | None = None) -> DataFrame:
+    """(key, run): runs of any of ``widths`` words of the column ``words``; only those that the map ``known`` may hold.
 
-    Rows with fewer words, or null, give none. A run that a text repeats is repeated.
+    One pass for all widths. Rows with fewer words, or null, give none. A run that a text repeats is
+    mostly given once.
     """
     kind = dict(df.dtypes)[key]
     shared = df.sparkSession.sparkContext.broadcast(known) if known is not None else None
@@ -80,27 +105,31 @@ def runs(df: DataFrame, key: str, width: int, known: np.ndarray | None = None) -
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = shared.value if shared is not None else None
         for batch in batches:
-            for some in _pieces(batch):
-                texts = pc.fill_null(some.column("words"), "")
-                text, begin, end, hashed = _spans(texts, width)
-                if seen is not None:
-                    place = (hashed >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-                    kept = (seen[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
-                    text, begin, end = text[kept], begin[kept], end[kept]
-                starts = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))])
-                found = [texts[t].as_buffer().to_pybytes()[b - starts[t]:e - starts[t]].decode()
-                         for t, b, e in zip(text.tolist(), begin.tolist(), end.tolist())]
-                yield pa.record_batch([some.column(key).take(pa.array(text)), pa.array(found, pa.string())],
-                                      names=[key, "run"])
+            for some in pieces(batch):
+                hashed = _Hashed(pc.fill_null(some.column("words"), ""))
+                for width in widths:
+                    text, begin, end, hashes = hashed.spans(width)
+                    if seen is not None:
+                        place = (hashes >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+                        kept = (seen[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+                        text, begin, end = text[kept], begin[kept], end[kept]
+                    stops = np.searchsorted(np.cumsum(end - begin), np.arange(TOGETHER, (end - begin).sum() + TOGETHER, TOGETHER))
+                    for low, high in zip([0, *stops[:-1] + 1], stops + 1):
+                        listed = strings(hashed.data, begin[low:high], end[low:high]).dictionary_encode()
+                        pairs = np.unique(text[low:high] * (len(listed.dictionary) + 1) + np.asarray(listed.indices))
+                        owner, run = np.divmod(pairs, len(listed.dictionary) + 1)
+                        yield pa.record_batch([some.column(key).take(pa.array(owner)), listed.dictionary.take(pa.array(run))],
+                                              names=[key, "run"])
 
     return df.select(key, "words").mapInArrow(work, f"`{key}` {kind}, run string")
 
 
-def run_map(known: DataFrame, width: int) -> np.ndarray:
-    """The map of the hashes of the column ``run``; it reaches the driver as at most 2^11 rows of 4 KB."""
+def run_map(known: DataFrame) -> np.ndarray:
+    """The map of the hashes of the column ``run``, of any widths; it reaches the driver as at most 2^11 rows of 4 KB."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashed = _spans(batch.column("run"), width)[3]
+            ends = np.cumsum(pc.binary_length(batch.column("run")).to_numpy(zero_copy_only=False))
+            hashed = _Hashed(batch.column("run")).hashes(ends - np.diff(ends, prepend=0), ends)
             yield pa.record_batch([pa.array((hashed >> np.uint64(64 - MAP_BITS)).astype(np.int64))], names=["place"])
 
     place = F.col("place")

@@ -191,11 +191,14 @@ def gate_report(scored: DataFrame, gates: DataFrame, control: str) -> DataFrame:
 
 
 def control_board(champion: DataFrame, challenger: DataFrame) -> DataFrame:
-    """Two suite summaries side by side, the champion's weakest suite first."""
-    right = challenger.select("suite", F.col("pass_rate_pct").alias("challenger_pass_pct"))
-    return champion.join(right, "suite").select(
-        "suite", "should_flag", "n_cases", F.col("pass_rate_pct").alias("champion_pass_pct"),
-        "challenger_pass_pct").orderBy("champion_pass_pct", "suite")
+    """Two suite summaries side by side, the champion's weakest suite first; a suite that one control has
+    not run stays, without that control's rate."""
+    right = challenger.select("suite", F.col("should_flag").alias("__flag"), F.col("n_cases").alias("__n"),
+                              F.col("pass_rate_pct").alias("challenger_pass_pct"))
+    return champion.join(right, "suite", "full").select(
+        "suite", F.coalesce("should_flag", "__flag").alias("should_flag"), F.coalesce("n_cases", "__n").alias("n_cases"),
+        F.col("pass_rate_pct").alias("champion_pass_pct"),
+        "challenger_pass_pct").orderBy(F.asc_nulls_last("champion_pass_pct"), "suite")
 
 
 def gate_status(report: DataFrame) -> DataFrame:
@@ -230,8 +233,8 @@ def _shared_runs(cases: DataFrame, training: DataFrame, words: Column, key: str,
     Runs are found by rolling hashes; a map of the test texts' hashes, of a fixed size, lets through
     the training side's runs that may be among them, and only these are compared as text.
     """
-    tests = staged(R.runs(cases.select("case_id", words.alias("words")), "case_id", width).distinct())
-    likely = R.runs(training.select(F.col(key).alias(key), words.alias("words")), key, width, R.run_map(tests, width))
+    tests = staged(R.runs(cases.select("case_id", words.alias("words")), "case_id", [width]).distinct())
+    likely = R.runs(training.select(F.col(key).alias(key), words.alias("words")), key, [width], R.run_map(tests))
     return tests, staged(likely.distinct().join(tests.select("run").distinct(), "run", "left_semi"))
 
 

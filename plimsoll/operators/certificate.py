@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.stage import staged
-from . import features
+from . import features, terms
 from .champion import Champion
 from .shape import to_long
 
@@ -37,10 +37,10 @@ def certificate(model: Champion, train: DataFrame, key: str = "id", text: str =
     must be unique. ``n_features`` counts tokens that vocabulary and coefficients both hold.
     """
     labels, ys = model.labels, [f"y_{x}" for x in model.labels]
-    grams = features.with_grams(train.select(key, text), text, model.stop_words, model.longest)
-    vocab = staged(features.vocabulary(features.token_statistics(grams), min_df, max_features))
+    folded = {"text": features.normalised(F.col(text)), "stop_words": model.stop_words, "longest": model.longest}
+    vocab = staged(features.vocabulary(terms.statistics(train, **folded), min_df, max_features))
     idf = features.with_idf(vocab, train.agg(F.count(F.lit(1)).alias("n")))
-    long = staged(features.tfidf_weights(features.term_frequencies(grams, key=key), idf, key))
+    long = staged(terms.weights(train, idf=idf, key=key, **folded))
     # vocabulary and coefficients have a declared largest size, max_features rows
     coefficients = F.broadcast(coefficient_table(model, train))
     margins = long.join(coefficients, "token").groupBy(key).agg(

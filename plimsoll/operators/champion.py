@@ -25,8 +25,9 @@ from pyspark.util import inheritable_thread_target
 from ..sources.kept import kept_path
 from ..sources.reports import absent
 from ..sources.stage import staged
+from . import terms
 from .battery import require_pass
-from .features import token_statistics, vocabulary, with_grams
+from .features import normalised, vocabulary, with_grams
 from .sampling import with_split
 
 
@@ -119,7 +120,7 @@ def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[s
     regParam = 1 / (c * total weight). The intercept is not penalised.
     """
     stop_words = list(stop_words)
-    stats = token_statistics(with_grams(train.select(text), text, stop_words, longest))
+    stats = terms.statistics(train, normalised(F.col(text)), stop_words, longest)
     counts = train.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"y_{x}").alias(x) for x in labels]).first()
     vocab = staged(vocabulary(stats, min_df, max_features))
     frequencies = {r["token"]: r["df"] for r in vocab.select("token", "df").toLocalIterator()}

@@ -1,14 +1,14 @@
-"""Bag-of-words features as DataFrame jobs: counts, vocabulary, TF-IDF weights."""
+"""What bag-of-words features need around the counting in :mod:`terms`: folding, grams, vocabulary and weights."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .shape import exploded, to_long
+from .shape import to_long
 
 
 def normalised(text: Column) -> Column:
@@ -25,30 +25,6 @@ def with_grams(df: DataFrame, text: str = "text", stop_words: Sequence[str] = ()
     return words.withColumn(name, T.grams(F.col("__words"), longest)).drop("__words")
 
 
-def with_tokens(df: DataFrame, text: str = "text", name: str = "terms") -> DataFrame:
-    return df.withColumn(name, T.tokens(F.lower(T.or_empty(F.col(text))))).drop(text)
-
-
-def term_frequencies(df: DataFrame, terms: str = "terms", key: str = "id") -> DataFrame:
-    """(key, token, tf)."""
-    return exploded(df, [key], F.col(terms), "token").groupBy(key, "token").agg(
-        F.count(F.lit(1)).alias("tf"))
-
-
-def token_statistics(df: DataFrame, terms: str = "terms") -> DataFrame:
-    """(token, n uses, df documents).
-
-    In a sorted array an element that differs from its predecessor is the text's first use of
-    that token, so one pass counts uses and texts together. Both are summed before the shuffle:
-    a token that occurs in every text is no hot key.
-    """
-    ordered = df.select(F.array_sort(terms).alias("s"))
-    shifted = F.slice(F.concat(F.array(F.lit(None).cast("string")), F.col("s")), F.lit(1), F.size("s"))
-    marked = ordered.select(F.inline(F.zip_with("s", shifted, lambda a, b: F.struct(
-        a.alias("token"), F.when(a.eqNullSafe(b), 0).otherwise(1).alias("first")))))
-    return marked.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("df"))
-
-
 def vocabulary(statistics: DataFrame, min_df: int = 3, max_features: int = 30_000) -> DataFrame:
     """Tokens in at least ``min_df`` texts, cut to the most used; ties go to the smaller token."""
     return statistics.where(F.col("df") >= min_df).orderBy(F.desc("n"), "token").limit(max_features)
@@ -60,17 +36,6 @@ def with_idf(vocab: DataFrame, n_texts: DataFrame) -> DataFrame:
     return vocab.select("token", "n", "df", idf.alias("idf"))
 
 
-def tfidf_weights(frequencies: DataFrame, idf: DataFrame, key: str = "id") -> DataFrame:
-    """Sublinear (1 + ln tf) * idf, scaled to unit length per text.
-
-    The vocabulary has a declared maximum size and is broadcast; the only shuffle is by text.
-    """
-    raw = frequencies.join(F.broadcast(idf.select("token", "idf")), "token").select(
-        key, "token", ((1 + F.log("tf")) * F.col("idf")).alias("raw"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
-    return raw.select(key, "token", (F.col("raw") / norm).alias("weight"))
-
-
 def class_weights(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Balanced weights n / (2 * class size) per label; NULL for an absent class."""
     totals = df.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"y_{x}").alias(f"p_{x}") for x in labels])

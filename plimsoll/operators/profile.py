@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ..dimensions import annotate
 from ..functions import measures as M
+from ..functions import runs as R
 from ..functions import text as T
+from ..sources.stage import staged
 from .shape import exploded, to_long
 
 CLEAN = "(clean)"
@@ -113,38 +115,48 @@ def group_flags(text: Column, groups: Mapping[str, Sequence[str]]) -> dict[str,
 
 
 def group_mentions(df: DataFrame, groups: Sequence[str], rate_labels: Sequence[str]) -> DataFrame:
-    """Mentions per group and label rates among the mentioning rows.
+    """Mentions per group over all rows, and label rates among the mentioning rows that have the label.
 
-    ``df`` carries ``g_<group>`` booleans and ``y_<label>``; groups nobody mentions stay, with NULL rates.
+    ``df`` carries ``g_<group>`` booleans and ``y_<label>``, which is NULL where a row is not labelled;
+    groups nobody mentions stay, with NULL rates.
     """
     sums = [F.count(F.lit(1)).alias("n")]
     for label in rate_labels:
-        sums.append(F.sum(f"y_{label}").alias(f"base_{label}"))
+        sums += [F.sum(f"y_{label}").alias(f"base_{label}"), F.count(f"y_{label}").alias(f"known_{label}")]
     for g in groups:
         sums.append(F.count_if(F.col(f"g_{g}")).alias(f"k_{g}"))
         for label in rate_labels:
-            hit = F.col(f"g_{g}") & (F.col(f"y_{label}") == 1)
-            sums.append(F.count_if(hit).alias(f"{label}__{g}"))
-    keep = ["n", *[f"base_{label}" for label in rate_labels]]
-    rows = to_long(df.agg(*sums), groups, keep,
-                   {"mentions": "k_{}", **{label: label + "__{}" for label in rate_labels}}, key="group_name")
+            y = F.col(f"y_{label}")
+            sums += [F.count_if(F.col(f"g_{g}") & (y == 1)).alias(f"{label}__{g}"),
+                     F.count_if(F.col(f"g_{g}") & y.isNotNull()).alias(f"known_{label}__{g}")]
+    keep = ["n", *[c for x in rate_labels for c in (f"base_{x}", f"known_{x}")]]
+    rows = to_long(df.agg(*sums), groups, keep, {"mentions": "k_{}", **{x: x + "__{}" for x in rate_labels},
+                                                 **{f"seen_{x}": f"known_{x}__{{}}" for x in rate_labels}}, key="group_name")
     return rows.select(
         "group_name", "mentions",
         M.percent(F.col("mentions"), F.col("n")).alias("pct_of_corpus"),
-        *[M.percent(F.col(x), F.col("mentions")).alias(f"{x}_rate_pct") for x in rate_labels],
-        *[M.percent(F.col(f"base_{x}"), F.col("n")).alias(f"{x}_base_pct") for x in rate_labels],
+        *[M.percent(F.col(x), F.col(f"seen_{x}")).alias(f"{x}_rate_pct") for x in rate_labels],
+        *[M.percent(F.col(f"base_{x}"), F.col(f"known_{x}")).alias(f"{x}_base_pct") for x in rate_labels],
     ).orderBy(F.desc("mentions"), "group_name")
 
 
 def term_mentions(df: DataFrame, terms: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
     """(key, group_name) pairs for a lexicon too large to write into an expression.
 
-    ``terms`` holds single-word ``(group_name, term)`` rows. Each text contributes every distinct
-    word once, so repeated words cost nothing, and only the key travels with the word. The join
-    side is left to the optimizer: it broadcasts a lexicon it has measured to be small and
-    otherwise shuffles, where a frequent word is split by the adaptive skew rule.
+    ``terms`` holds ``(group_name, term)`` rows; a term is one word or several, matched as whole words
+    that follow each other. The words of both sides are hashed as runs, and a map of the lexicon's
+    hashes, of a fixed size, cuts the texts to the runs that may be terms before anything is
+    shuffled; what is left is compared as text. A run names all its groups in one row, and the pairs
+    are made distinct before the shuffle, so a word that many groups list is sent once. The join side
+    is left to the optimizer: it broadcasts a lexicon it has measured to be small, and a frequent term
+    is split by the adaptive skew rule. Terms without a word match nothing.
     """
-    words = F.array_distinct(T.tokens(F.lower(T.or_empty(F.col(text)))))
-    used = exploded(df, [key], words, "term")
-    return used.join(terms.select("group_name", "term").distinct(), "term").select(
-        key, "group_name").distinct()
+    words = R.joined(F.lower(T.or_empty(F.col("term"))))
+    listed = terms.select("group_name", words.alias("run")).where(F.col("run") != "").groupBy("run").agg(
+        F.collect_set("group_name").alias("groups"))
+    listed = staged(listed.withColumn("width", F.length("run") - F.length(F.replace("run", F.lit(" "), F.lit(""))) + 1))
+    widths = [r["width"] for r in listed.select("width").distinct().collect()]  # lengths of terms in words
+    rows = df.select(key, R.joined(F.lower(T.or_empty(F.col(text)))).alias("words"))
+    found = R.runs(rows, key, sorted(widths), R.run_map(listed))
+    pairs = found.join(listed.select("run", "groups"), "run").select(key, F.explode("groups").alias("group_name"))
+    return pairs.distinct()

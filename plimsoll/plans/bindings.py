@@ -129,6 +129,11 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored_from(text_facts(spark, sf_dir)).join(truth(spark, sf_dir), "doc_id")
 
 
+def everyone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`scored`, but every document; truth is NULL where it is not labelled."""
+    return scored_from(text_facts(spark, sf_dir)).join(truth(spark, sf_dir), "doc_id", "left")
+
+
 def scored_long(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     rows = scored(spark, sf_dir) if rows is None else rows
     return to_long(rows, LABELS, ["doc_id"], {"y": "y_{}", "pred": "pred_{}", "score": "score_{}"})
@@ -166,6 +171,11 @@ def battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.battery_cases(suites, HEADS, _identities(spark, sf_dir), _document_cases(spark, sf_dir, {}))
 
 
+def expanded_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The template suites alone, filled with their own identities and every customer name; not numbered."""
+    return B.expand_templates(parse_suites(spark, builtin_battery_text()), _identities(spark, sf_dir))
+
+
 def control_flags(text: Column) -> dict[str, Column]:
     """0/1 flags of the champion (the lexical control) and of a challenger without the profane head."""
     reduced = Lexicon({k: v for k, v in LEXICON.heads.items() if k != "profane"}, LEXICON.whole_words, "toxic")

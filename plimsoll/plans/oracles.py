@@ -63,6 +63,13 @@ scored AS (
          hits / (hits + 1.0::DOUBLE) AS score_toxic,
          400::DOUBLE / (400::DOUBLE + n_chars) AS score_low_quality
   FROM preds p JOIN truth t USING (doc_id)),
+everyone AS (
+  SELECT p.*, t.y_toxic, t.y_low_quality, hits / (hits + 1.0::DOUBLE) AS score_toxic,
+         400::DOUBLE / (400::DOUBLE + n_chars) AS score_low_quality
+  FROM preds p LEFT JOIN truth t USING (doc_id)),
+every_score AS (
+  SELECT 'toxic' AS category, score_toxic AS score FROM everyone
+  UNION ALL SELECT 'low_quality', score_low_quality FROM everyone),
 long AS (
   SELECT doc_id, 'toxic' AS category, y_toxic AS y, pred_toxic AS pred, score_toxic AS score FROM scored
   UNION ALL
@@ -194,6 +201,8 @@ cases AS (
 
 
 BATTERY = _battery_ctes()
+BATTERY_EXPANDED = f"""WITH {BATTERY} SELECT suite, block, c_custkey::BIGINT AS pos,
+  replace(template, '{{identity}}', c_name) AS text, 'identity=' || c_name AS note FROM templates, customer"""
 
 
 def _scored_battery(name: str, challenger: bool = False) -> str:
@@ -256,7 +265,7 @@ RELIABILITY = """reliab AS (
     SELECT 'benign_flag_rate', count(*), count(*) FILTER (any_flagged) FROM champion WHERE NOT should_flag
     UNION ALL
     SELECT 'low_confidence', count(*), count(*) FILTER (abs(score - threshold) < 0.05::DOUBLE)
-    FROM long JOIN dim USING (category))),
+    FROM every_score JOIN dim USING (category))),
 reliability AS (
   SELECT *, CASE
     WHEN kri = 'schema_violation' THEN CASE WHEN rate_pct > 5 THEN 'RED' WHEN rate_pct > 1 THEN 'AMBER' ELSE 'GREEN' END
@@ -339,18 +348,19 @@ def _cooccurrence() -> str:
 def _group_mentions() -> str:
     rows = " UNION ALL ".join(
         f"SELECT '{g}' AS group_name, count(*) FILTER (g_{g}) AS mentions, count(*) AS n, "
+        f"count(*) FILTER (g_{g} AND y_toxic IS NOT NULL) AS seen, count(y_toxic) AS known, "
         f"count(*) FILTER (g_{g} AND y_toxic = 1) AS t, count(*) FILTER (g_{g} AND y_low_quality = 1) AS q, "
-        "sum(y_toxic) AS bt, sum(y_low_quality) AS bq FROM scored" for g in X.GROUPS)
+        "sum(y_toxic) AS bt, sum(y_low_quality) AS bq FROM everyone" for g in X.GROUPS)
     return f"""WITH {SCORED} SELECT group_name, mentions, 100 * mentions / n AS pct_of_corpus,
-      100 * t / nullif(mentions, 0) AS toxic_rate_pct, 100 * q / nullif(mentions, 0) AS low_quality_rate_pct,
-      100 * bt / n AS toxic_base_pct, 100 * bq / n AS low_quality_base_pct FROM ({rows})"""
+      100 * t / nullif(seen, 0) AS toxic_rate_pct, 100 * q / nullif(seen, 0) AS low_quality_rate_pct,
+      100 * bt / known AS toxic_base_pct, 100 * bq / known AS low_quality_base_pct FROM ({rows})"""
 
 
 def _taxonomy_rows() -> str:
     marks = {"toxic": "y_toxic = 1", "low_quality": "y_low_quality = 1",
              **{h: f"head_{h}" for h in X.HEADS if h != "toxic"}}
     return "occ AS (" + " UNION ALL ".join(
-        f"SELECT '{x}' AS category, count(*) FILTER ({m}) AS occurrences FROM scored" for x, m in marks.items()) + ")"
+        f"SELECT '{x}' AS category, count(*) FILTER ({m}) AS occurrences FROM everyone" for x, m in marks.items()) + ")"
 
 
 def _verdicts(source: str, key: str, more: str = "") -> str:
@@ -379,12 +389,12 @@ def _instability() -> str:
 
 
 def _prompt() -> str:
-    return f"""WITH {SCORED}, {DIM}, {_taxonomy_rows()}, p AS (
+    return f"""WITH {DIM}, p AS (
       SELECT {lit(X.PROMPT_HEADER)} || chr(10) || chr(10)
         || string_agg('- ' || category || ' [' || severity_tier || ']: ' || definition || ' Clause: ' || clause,
                       chr(10) ORDER BY ord) || chr(10) || chr(10) || {lit(X.PROMPT_RULES)} AS prompt
-      FROM dim JOIN occ USING (category) WHERE occurrences > 0)
-      SELECT md5(prompt) AS prompt_id, prompt FROM p"""
+      FROM dim)
+      SELECT md5(prompt) AS prompt_id, prompt, (SELECT count(text) FROM documents) AS n_requests FROM p"""
 
 
 _SAMPLE_DRAW = "md5(concat('42-', doc_id))"
@@ -435,12 +445,15 @@ ORACLES: dict[str, str] = {
       SELECT flagged, bin, coalesce(n, 0) AS n, coalesce(n, 0) * 60 / (total * 2000) AS density
       FROM (SELECT flagged, total, unnest(range(1, 61))::INT AS bin FROM totals) LEFT JOIN c USING (flagged, bin)""",
     "group_mentions": _group_mentions(),
-    "group_mentions_joined": f"""WITH t AS (
-        SELECT DISTINCT 'benchmark' AS group_name, unnest({TOKENS.replace("TEXT", "lower(text)")}) AS term
-        FROM benchmark
-        UNION ALL SELECT DISTINCT 'users', unnest({TOKENS.replace("TEXT", "lower(text)")})
-        FROM conversations WHERE role = 'user'),
-      w AS (SELECT DISTINCT doc_id, unnest({TOKENS.replace("TEXT", "lower(text)")}) AS term FROM documents)
+    "group_mentions_joined": f"""WITH i AS (SELECT {TOKENS.replace("TEXT", "lower(text)")} AS w FROM benchmark),
+      t AS (
+        SELECT 'benchmark' AS group_name, unnest(w) AS term FROM i
+        UNION SELECT role, unnest({TOKENS.replace("TEXT", "lower(text)")}) FROM conversations
+        UNION SELECT 'benchmark phrase', unnest(list_transform(range(1, len(w) - 1), lambda s: array_to_string(w[s:s + 2], ' ')))
+        FROM i WHERE len(w) >= 3),
+      d AS (SELECT doc_id, {TOKENS.replace("TEXT", "lower(text)")} AS w FROM documents),
+      w AS (SELECT DISTINCT doc_id, unnest(list_concat(w, CASE WHEN len(w) >= 3 THEN list_transform(
+              range(1, len(w) - 1), lambda s: array_to_string(w[s:s + 2], ' ')) ELSE [] END)) AS term FROM d)
       SELECT group_name, count(DISTINCT doc_id) AS mentions FROM w JOIN t USING (term) GROUP BY 1""",
     "split_census": f"""SELECT CASE WHEN {SPLIT} THEN 'train' ELSE 'test' END AS split, lang, count(*) AS n
       FROM documents GROUP BY 1, 2""",
@@ -527,18 +540,14 @@ ORACLES: dict[str, str] = {
       ELSE 'champion' END AS route
       FROM (SELECT doc_id, 400::DOUBLE / (400::DOUBLE + n_chars) AS score_low_quality FROM documents)""",
     "champion_challenger": f"""WITH {SCORED}, {DIM}, {ANSWERS}, both_saw AS (
-        SELECT s.*, p.toxic::INT AS m_toxic, p.profane::INT AS m_low FROM scored s
-        JOIN parsed p ON p.doc_id = s.doc_id AND p.parse_status = 'ok'),
+        SELECT s.*, p.toxic::INT AS m_toxic FROM scored s JOIN parsed p ON p.doc_id = s.doc_id AND p.parse_status = 'ok'),
       a AS (SELECT category, {CONF_COLUMNS} FROM (
-        SELECT 'toxic' AS category, y_toxic AS y, pred_toxic AS pred FROM both_saw
-        UNION ALL SELECT 'low_quality', y_low_quality, pred_low_quality FROM both_saw) GROUP BY 1),
+        SELECT 'toxic' AS category, y_toxic AS y, pred_toxic AS pred FROM both_saw) GROUP BY 1),
       b AS (SELECT category, {CONF_COLUMNS} FROM (
-        SELECT 'toxic' AS category, y_toxic AS y, m_toxic AS pred FROM both_saw
-        UNION ALL SELECT 'low_quality', y_low_quality, m_low FROM both_saw) GROUP BY 1)
+        SELECT 'toxic' AS category, y_toxic AS y, m_toxic AS pred FROM both_saw) GROUP BY 1)
       SELECT category, severity_tier, x.r AS champion_recall, z.r AS challenger_recall, x.f AS champion_f1,
              z.f AS challenger_f1 FROM ({_CARD} a) x JOIN ({_CARD} b) z USING (category) JOIN dim USING (category)""",
-    "battery_expand": f"""WITH {BATTERY} SELECT case_id, suite, text, note FROM cases
-      WHERE starts_with(note, 'identity=')""",
+    "battery_expand": BATTERY_EXPANDED,
     "battery_cases": f"WITH {BATTERY} SELECT * FROM cases",
     "battery_census": f"""WITH {BATTERY} SELECT suite, count(*) AS n_cases, bool_and(should_flag) AS should_flag
       FROM cases GROUP BY 1""",
@@ -547,7 +556,7 @@ ORACLES: dict[str, str] = {
     "battery_summary": f"WITH {BATTERY}, {CHAMPION}, {_summary('champion')} SELECT * FROM champion_sum",
     "battery_board": f"""WITH {_BOARD}, {_summary('champion')}, {_summary('challenger')}
       SELECT suite, a.should_flag, a.n_cases, a.pass_rate_pct AS champion_pass_pct,
-             b.pass_rate_pct AS challenger_pass_pct FROM champion_sum a JOIN challenger_sum b USING (suite)""",
+             b.pass_rate_pct AS challenger_pass_pct FROM champion_sum a FULL JOIN challenger_sum b USING (suite)""",
     "battery_gates": f"""WITH {_BOARD}, {GATES}, {_gate_report('champion')}, {_gate_report('challenger')}
       SELECT * FROM champion_gates UNION ALL SELECT * FROM challenger_gates""",
     "gate_k3": f"WITH {BATTERY}, {CHAMPION}, {GATES}, {_gate_report('champion')}, {K3} SELECT * FROM k3",

@@ -12,7 +12,7 @@ from ..functions import runs as R
 from ..functions import text as T
 from ..operators import battery as B
 from ..operators import champion as C
-from ..operators import certificate, fairness, features, kri, metrics, profile, sampling
+from ..operators import certificate, fairness, features, kri, metrics, profile, sampling, terms
 from ..operators import verdicts as V
 from ..operators.lexical import Lexicon
 from ..operators.shape import exploded, to_long
@@ -57,7 +57,7 @@ def gate_report_corpus(spark, d):
 @query
 def taxonomy(spark, d):
     """The taxonomy with how often each of its labels and heads occurs."""
-    facts = X.scored(spark, d)
+    facts = X.everyone(spark, d)
     marks = {"toxic": F.col("y_toxic") == 1, "low_quality": F.col("y_low_quality") == 1,
              **{h: F.col(f"head_{h}") for h in X.HEADS if h != "toxic"}}
     totals = facts.agg(*[F.count_if(c).alias(f"n_{x}") for x, c in marks.items()])
@@ -113,19 +113,21 @@ def length_histogram(spark, d):
 @query
 def group_mentions(spark, d):
     """A7, A8, J8"""
-    return profile.group_mentions(X.scored(spark, d), list(X.GROUPS), X.LABELS)
+    return profile.group_mentions(X.everyone(spark, d), list(X.GROUPS), X.LABELS)
 
 
 @query
 def group_mentions_joined(spark, d):
-    """J8 for lexicons held in a table: documents using any word of the benchmark, or of the users' turns."""
+    """J8 for lexicons held in a table: documents using a word of the benchmark or of a speaker's turns, or any
+    three words of the benchmark in a row."""
     words = F.array_distinct(T.tokens(F.lower(F.col("text"))))
-    sources = {"benchmark": X.table(spark, d, "benchmark"),
-               "users": X.table(spark, d, "conversations").where(F.col("role") == "user")}
-    parts = [exploded(df.withColumn("group_name", F.lit(name)), ["group_name"], words, "term")
-             for name, df in sources.items()]
-    terms = parts[0].unionByName(parts[1])
-    mentions = profile.term_mentions(X.documents(spark, d), terms, "doc_id")
+    items, turns = X.table(spark, d, "benchmark"), X.table(spark, d, "conversations")
+    parts = [exploded(items.withColumn("group_name", F.lit("benchmark")), ["group_name"], words, "term"),
+             exploded(turns.withColumn("group_name", F.col("role")), ["group_name"], words, "term"),
+             R.runs(items.select(F.lit("benchmark phrase").alias("group_name"), R.joined(F.lower("text")).alias("words")),
+                    "group_name", [3]).withColumnRenamed("run", "term")]
+    lexicon = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    mentions = profile.term_mentions(X.documents(spark, d), lexicon, "doc_id")
     return mentions.groupBy("group_name").agg(F.count(F.lit(1)).alias("mentions"))
 
 
@@ -295,9 +297,9 @@ def verdict_coalesced(spark, d):
 
 @query
 def prompt_text(spark, d):
-    """The prompt for the categories in use - those with a labelled or flagged document."""
-    used = taxonomy(spark, d).where(F.col("occurrences") > 0).select("category")
-    return V.system_prompt(X.taxonomy(spark).join(used, "category", "left_semi"), X.PROMPT_HEADER, X.PROMPT_RULES)
+    """The prompt with every category of the taxonomy, and how many requests go out with it."""
+    prompt = V.system_prompt(X.taxonomy(spark), X.PROMPT_HEADER, X.PROMPT_RULES)
+    return prompt.withColumn("n_requests", verdict_requests(spark, d).agg(F.count("content")).scalar())
 
 
 @query
@@ -321,16 +323,14 @@ def route(spark, d):
 
 @query
 def champion_challenger(spark, d):
-    """The lexical control against the model's valid verdicts, on the labelled documents both saw."""
+    """The lexical control against the model's valid verdicts, on the labelled documents both saw and the
+    label that both judge."""
     parsed = V.parse_verdicts(X.answers(spark, d), X.HEADS)
-    model = V.verdict_flags(parsed, X.HEADS, ["doc_id"]).select("doc_id", F.col("pred_toxic").alias("model_toxic"),
-                                                               F.col("pred_profane").alias("model_low_quality"))
+    model = V.verdict_flags(parsed, X.HEADS, ["doc_id"]).select("doc_id", F.col("pred_toxic").alias("model_toxic"))
     rows = X.scored(spark, d).join(model, "doc_id")
-    ours = metrics.confusion_wide(rows, X.LABELS)
-    theirs = metrics.confusion_wide(
-        rows.select("y_toxic", "y_low_quality", F.col("model_toxic").alias("pred_toxic"),
-                    F.col("model_low_quality").alias("pred_low_quality")), X.LABELS)
-    return metrics.champion_challenger(ours, theirs, X.dimension(spark))
+    theirs = rows.select("y_toxic", F.col("model_toxic").alias("pred_toxic"))
+    return metrics.champion_challenger(metrics.confusion_wide(rows, ["toxic"]), metrics.confusion_wide(theirs, ["toxic"]),
+                                       X.dimension(spark))
 
 
 # -- battery --------------------------------------------------------------------------------
@@ -338,8 +338,7 @@ def champion_challenger(spark, d):
 @query
 def battery_expand(spark, d):
     """J2, F9"""
-    cases = X.battery(spark, d)
-    return cases.where(F.col("note").startswith("identity=")).select("case_id", "suite", "text", "note")
+    return X.expanded_templates(spark, d).select("suite", "block", "pos", "text", "note")
 
 
 @query
@@ -419,12 +418,13 @@ def kri_clause_fabrication(spark, d):
     return V.fabricated_clauses(parsed.where(F.col("parse_status") == "ok"), X.taxonomy(spark), "doc_id")
 
 
-def _reliability(spark, d, scored=None, battery=None):
+def _reliability(spark, d, everyone=None, battery=None):
     parsed = V.parse_verdicts(X.answers(spark, d), X.HEADS)
     rows = kri.reliability(parsed, X.HEADS, list(X.CLAUSES.values()), X.rationale_speaks_of_harm())
     battery = _scored_battery(spark, d) if battery is None else battery
     return rows.unionByName(kri.overconfidence(battery)).unionByName(
-        kri.low_confidence(X.scored_long(spark, d, scored), X.dimension(spark)))
+        kri.low_confidence(
+            X.scored_long(spark, d, X.everyone(spark, d) if everyone is None else everyone), X.dimension(spark)))
 
 
 @query
@@ -477,8 +477,10 @@ def drift_cycles(spark, d):
 
 
 def _staged_inputs(spark, d):
-    """The two narrow tables every indicator reads, each taken from its text scan once."""
-    return staged(X.scored(spark, d)), staged(_scored_battery(spark, d))
+    """The narrow tables every indicator reads, each taken from its text scan once: all documents, those that
+    are labelled, and the battery."""
+    everyone = staged(X.everyone(spark, d))
+    return everyone, everyone.where(F.col("y_toxic").isNotNull()), staged(_scored_battery(spark, d))
 
 
 def _gaps(scored: DataFrame) -> DataFrame:
@@ -488,22 +490,22 @@ def _gaps(scored: DataFrame) -> DataFrame:
 @query
 def dashboard(spark, d):
     """G7, A19, F13, U3"""
-    scored, battery = _staged_inputs(spark, d)
+    everyone, scored, battery = _staged_inputs(spark, d)
     gate = B.gate_status(B.gate_report(battery, X.gates(spark), "champion"))
-    return kri.dashboard(_drift(spark, d, scored), _gaps(scored), gate, _reliability(spark, d, scored, battery))
+    return kri.dashboard(_drift(spark, d, scored), _gaps(scored), gate, _reliability(spark, d, everyone, battery))
 
 
 @query
 def escalations(spark, d):
     """G9"""
-    scored, battery = _staged_inputs(spark, d)
+    everyone, scored, battery = _staged_inputs(spark, d)
     tier = F.lit(None).cast("string")
     findings = _drift(spark, d, scored).select(
         F.lit("drift").alias("source"), F.col("category").alias("subject"), "severity_tier",
         F.col("kri_status").alias("status"))
     gaps = _gaps(scored).select(F.lit("gap"), "group_name", tier, "status")
     gates = B.gate_report(battery, X.gates(spark), "champion").select(F.lit("gate"), "gate", tier, "status")
-    reliability = _reliability(spark, d, scored, battery).select(F.lit("reliability"), "kri", tier, "status")
+    reliability = _reliability(spark, d, everyone, battery).select(F.lit("reliability"), "kri", tier, "status")
     return kri.escalations(findings.union(gaps).union(gates).union(reliability), X.escalation_rules(spark))
 
 
@@ -512,7 +514,7 @@ def escalations(spark, d):
 @query
 def token_counts(spark, d):
     """F6"""
-    return features.token_statistics(features.with_tokens(X.documents(spark, d).select("text")))
+    return terms.statistics(X.documents(spark, d), F.lower(T.or_empty(F.col("text"))))
 
 
 @query
@@ -521,31 +523,28 @@ def fold_accents(spark, d):
     return X.documents(spark, d).select("doc_id", T.fold_accents(F.lower(F.col("text"))).alias("folded"))
 
 
-def _grams(spark, d):
-    return features.with_grams(X.documents(spark, d).select("doc_id", "text"), "text", X.STOP_WORDS)
+def _folded() -> dict:
+    return {"text": features.normalised(F.col("text")), "stop_words": X.STOP_WORDS, "longest": 2}
 
 
 @query
 def ngram_counts(spark, d):
     """F8"""
-    return features.token_statistics(_grams(spark, d))
+    return terms.statistics(X.documents(spark, d), **_folded())
 
 
 @query
 def vocabulary(spark, d):
     """L2"""
-    return features.vocabulary(features.token_statistics(_grams(spark, d)))
+    return features.vocabulary(terms.statistics(X.documents(spark, d), **_folded()))
 
 
 @query
 def tfidf_weights(spark, d):
     """L3"""
-    grams = _grams(spark, d)
-    vocab = features.vocabulary(features.token_statistics(grams))
-    total = X.table(spark, d, "documents").agg(F.count(F.lit(1)).alias("n_texts"))
-    weights = features.tfidf_weights(
-        features.term_frequencies(grams, key="doc_id"), features.with_idf(vocab, total), "doc_id")
-    return _rounded(weights, ["weight"], 9)
+    docs = X.documents(spark, d)
+    idf = features.with_idf(features.vocabulary(terms.statistics(docs, **_folded())), docs.agg(F.count(F.lit(1)).alias("n")))
+    return _rounded(terms.weights(docs, idf=idf, key="doc_id", **_folded()), ["weight"], 9)
 
 
 @query

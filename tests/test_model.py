@@ -1,6 +1,8 @@
 """Features and the trained control against NumPy."""
 
 import math
+import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -9,9 +11,10 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from plimsoll.functions import runs as R
 from plimsoll.operators import certificate as K
 from plimsoll.operators import champion as C
-from plimsoll.operators import features, sampling
+from plimsoll.operators import features, sampling, terms
 from plimsoll.plans import bindings as X
 from plimsoll.sources.kept import kept_path, kept_table
 
@@ -47,14 +50,34 @@ def docs(spark):
 
 def test_tfidf_equals_numpy(spark, docs):
     vocab, want = brute_tfidf(2, 5)
-    grams = features.with_grams(docs, "text", STOP)
-    got_vocab = features.vocabulary(features.token_statistics(grams), 2, 5)
+    folded = {"text": features.normalised(F.col("text")), "stop_words": STOP, "longest": 2}
+    got_vocab = features.vocabulary(terms.statistics(docs, **folded), 2, 5)
     assert [r["token"] for r in got_vocab.orderBy(F.desc("n"), "token").collect()] == vocab
     idf = features.with_idf(got_vocab, docs.agg(F.count(F.lit(1)).alias("n_texts")))
-    rows = features.tfidf_weights(features.term_frequencies(grams), idf).collect()
+    rows = terms.weights(docs, idf=idf, **folded).collect()
     assert {(r["id"], r["token"]): r["weight"] for r in rows} == pytest.approx(want)
 
 
+@pytest.mark.parametrize("longest, stop, together", [(1, [], 1 << 22), (3, ["b", "été"], 1 << 22), (4, ["a"], 40)])
+def test_terms_equal_brute_force(spark, monkeypatch, longest, stop, together):
+    rng = random.Random(longest)
+    texts = [" ".join(rng.choice(["a", "b", "été", "漢字", "a b", " ", "c-d", ""]) for _ in range(rng.randint(0, 40)))
+             for _ in range(120)] + [None, "", "  ", "a", "b b", "x " * 3000]
+    want = []
+    for t in texts:
+        words = [w for w in re.split(r"[^\w]+", t or "") if w and w not in stop]
+        want.append(Counter(" ".join(words[i:i + n]) for n in range(1, longest + 1) for i in range(len(words) - n + 1)))
+    monkeypatch.setattr(R, "TOGETHER", together)
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    got = terms.frequencies(df, F.coalesce("text", F.lit("")), "id", stop, longest).collect()
+    assert {(r["id"], r["token"]): r["tf"] for r in got} == {(i, t): n for i, c in enumerate(want) for t, n in c.items()}
+    total, seen = sum(want, Counter()), Counter(t for c in want for t in c)
+    got = terms.statistics(df, F.col("text"), stop, longest).collect()
+    assert {r["token"]: (r["n"], r["df"]) for r in got} == {t: (n, seen[t]) for t, n in total.items()}
+    assert len(got) == len(total)
+    assert terms.statistics(df.where("false"), F.col("text"), stop, longest).count() == 0
+
+
 def test_model_features_equal_the_long_form(spark, docs):
     vocab, want = brute_tfidf(2, 5)
     df = Counter(t for text in TEXTS for t in set(py_grams(text)))
