@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.stage import staged
 
 def value_range(scaled: Column) -> Column:
     """Whole-number range of a scaled key. Declared never NULL, so that joins on it add no filter
@@ -49,9 +50,23 @@ def running_totals(df: DataFrame, by: Sequence[str], coarse: Sequence[str], fine
         *df.columns, *[(F.col(f"s_{s}") + F.col(f"l_{s}")).alias(f"before_{s}") for s in sums])
 
 
-def numbered(df: DataFrame, coarse: Sequence[str], position: str, name: str = "seq",
-             span: int = 100_000) -> DataFrame:
-    """Gap-free 1..n numbers in the order (coarse..., position) for a table of any size."""
-    prepared = df.withColumns({"__range": value_range(F.col(position) / span), "__one": F.lit(1).cast("long")})
-    counted = running_totals(prepared, [], coarse, ["__range"], [position], ["__one"])
-    return counted.select(*df.columns, (F.col("before___one") + 1).alias(name))
+def ranked_parts(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows in ``order``, stored in ranges of about equal size, with their ``__part`` and place ``__at`` in it.
+
+    Ranges are cut at splitters that Spark samples from the keys, so however the values lie, a task
+    gets its share of the rows; only rows that agree in all of ``order`` must stay together. The
+    result is stored because another run could draw other splitters.
+    """
+    place = F.monotonically_increasing_id()  # 33 bits of place below the number of the partition
+    found = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__place", place)
+    return staged(found).select(*df.columns, F.shiftright("__place", 33).alias("__part"),
+                                F.col("__place").bitwiseAND((1 << 33) - 1).alias("__at"))
+
+
+def numbered(df: DataFrame, coarse: Sequence[str], position: str, name: str = "seq") -> DataFrame:
+    """Gap-free 1..n numbers in the order (coarse..., position) for a table of any size; positions may be sparse."""
+    parts = ranked_parts(df, [*coarse, position])
+    counts = parts.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    starts = counts.select("__part", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
+    return parts.join(starts, "__part").select(*df.columns, (F.col("__start") + F.col("__at") + 1).alias(name))

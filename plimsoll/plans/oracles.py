@@ -588,6 +588,19 @@ ORACLES: dict[str, str] = {
       SELECT category, cycle_start, severity_tier, previous, current, previous - current AS drop, tolerance,
              {rag("(previous - current)", "tolerance", "RED — escalate", "AMBER — watch", "GREEN — ok")} AS kri_status
       FROM l JOIN kinds USING (category)""",
+    "stream_scores": _verdicts(
+        f"SELECT 'd' || doc_id AS id, {_LEX} FROM documents UNION ALL "
+        f"SELECT 'c-' || conv_id || '-' || turn, {_LEX} FROM conversations", "id"),
+    "stream_unique": "SELECT event_id, ts, event_type, value FROM events",
+    "stream_alerts": f"""WITH {EVENTS}, base AS (
+        SELECT category, {R0} AS baseline FROM (
+          SELECT category, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn, sum(tn) AS tn FROM counts GROUP BY 1)),
+      r AS (SELECT cycle_start, category, severity_tier, baseline, {R0} AS current, tolerance
+            FROM counts JOIN base USING (category) JOIN kinds USING (category)
+            WHERE cycle_start + INTERVAL '7 days' <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'),
+      a AS (SELECT cycle_start, category, severity_tier, baseline, current, baseline - current AS drop, tolerance FROM r)
+      SELECT * FROM (SELECT *, {rag("drop", "tolerance", "RED — escalate", "AMBER — watch", "GREEN — ok")} AS kri_status FROM a)
+      WHERE kri_status NOT LIKE 'GREEN%'""",
     "dashboard": f"""WITH {_REL}, {GATES}, {_gate_report('champion')}, {K3}, {DRIFT}, {FPR}
       SELECT 'K1' AS kri, 'max Critical recall drop' AS metric, max(drop) FILTER (severity_tier = 'Critical') AS figure,
              CASE WHEN bool_or(severity_tier = 'Critical' AND kri_status LIKE 'RED%') THEN 'RED' ELSE 'GREEN' END AS status,

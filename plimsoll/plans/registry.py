@@ -19,7 +19,8 @@ from ..operators.shape import exploded, to_long
 from ..sources import corpus
 from ..sources.kept import kept_table
 from ..sources.stage import staged
-from ..streaming import cycles
+from ..streaming import cycles, run
+from ..streaming.scoring import score_texts
 from . import bindings as X
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -476,6 +477,39 @@ def drift_cycles(spark, d):
     return kri.drift_cycles(cards, X.event_dimension(spark))
 
 
+@query
+def stream_scores(spark, d):
+    """The documents and the conversation turns as a stream of files, scored without state"""
+    docs = run.table_stream(spark, f"{d}/documents.parquet").select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), "text")
+    turns = run.table_stream(spark, f"{d}/conversations.parquet").select(
+        F.concat_ws("-", F.lit("c"), F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), "text")
+    scored = score_texts(docs.unionByName(turns), X.LEXICON, X.CLAUSES, ["id"])
+    return _verdict_rows(run.drain(scored, run.new_folder(spark, "scores")), "id")
+
+
+@query
+def stream_unique(spark, d):
+    """T5: every event sent twice, each kept once; state is bounded by the lateness"""
+    events = lambda: cycles.as_event_time(run.table_stream(spark, f"{d}/events.parquet")).select(
+        "event_id", "ts", "event_type", "value")
+    kept = cycles.unique_rows(events().unionByName(events()), "event_id", "3650 days")
+    return run.drain(kept, run.new_folder(spark, "unique"))
+
+
+@query
+def stream_alerts(spark, d):
+    """T4: closed cycles of a stream that fall below the recall of all decisions so far stored"""
+    card = cycles.cycle_counts(X.decisions(spark, d)).groupBy("category").agg(
+        *[F.sum(c).alias(c) for c in ("tp", "fp", "fn", "tn")]).select("category", metrics.recall().alias("recall"))
+    baseline = staged(card)
+    folder = run.new_folder(spark, "alerts")
+    sink = cycles.alert_sink(baseline, X.event_dimension(spark), f"{folder}/rows")
+    counts = cycles.cycle_counts(X.decisions_from(run.table_stream(spark, f"{d}/events.parquet")), lateness="1 hour")
+    found = run.drain_batches(counts, folder, sink, f"{folder}/rows", cycles.ALERTS)
+    return found.drop("batch_id")
+
+
 def _staged_inputs(spark, d):
     """The narrow tables every indicator reads, each taken from its text scan once: all documents, those that
     are labelled, and the battery."""

@@ -58,6 +58,11 @@ def drift_alerts(counts: DataFrame, baseline: DataFrame, dimension: DataFrame, m
                        "drop", "tolerance", status.alias("kri_status")).where(~F.col("kri_status").startswith("GREEN"))
 
 
+#: What an alert sink writes.
+ALERTS = ("cycle_start timestamp, category string, severity_tier string, baseline double, current double, drop double, "
+          "tolerance double, kri_status string")
+
+
 def alert_sink(baseline: DataFrame, dimension: DataFrame, path: str,
                metric: str = "recall") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` writer. A batch that is run again overwrites its own folder, so alerts

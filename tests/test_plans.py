@@ -9,7 +9,7 @@ from plimsoll.operators import fairness, metrics, profile, sampling
 from plimsoll.plans import bindings as X
 from plimsoll.plans.registry import QUERIES
 
-EAGER = {"train_scores", "train_scorecard", "top_features"}
+EAGER = {"train_scores", "train_certificate", "train_scorecard", "top_features"}
 
 
 def plan(df):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from plimsoll import dimensions as D
 from plimsoll.plans import bindings as X
-from plimsoll.streaming import cycles
+from plimsoll.streaming import cycles, run
 from plimsoll.streaming.scoring import score_texts
 
 
@@ -69,3 +69,23 @@ def test_alert_stream_end_to_end(spark, sf_dir, tmp_path):
     q.awaitTermination()
     alerts = spark.read.parquet(str(tmp_path / "alerts"))
     assert alerts.count() > 0 and alerts.groupBy("cycle_start", "category").count().where("count > 1").count() == 0
+
+
+def test_a_stream_goes_on_from_its_folder(spark, sf_dir, tmp_path):
+    """New files are read once, by a run that starts from what the one before has left."""
+    rows = X.table(spark, sf_dir, "events")
+    source, folder = str(tmp_path / "in"), str(tmp_path / "stream")
+    rows.where("event_id % 2 = 0").coalesce(1).write.parquet(source)
+    unique = lambda: cycles.unique_rows(cycles.as_event_time(run.table_stream(spark, source)), "event_id", "3650 days")
+    assert run.drain(unique(), folder).count() == rows.where("event_id % 2 = 0").count()
+    assert run.drain(unique(), folder).count() == rows.where("event_id % 2 = 0").count()
+    rows.where("event_id % 3 < 2").coalesce(2).write.mode("append").parquet(source)  # half of them sent before
+    got = run.drain(unique(), folder)
+    assert sorted(r["event_id"] for r in got.select("event_id").collect()) == sorted(
+        r["event_id"] for r in rows.where("event_id % 2 = 0 OR event_id % 3 < 2").select("event_id").collect())
+
+
+def test_no_alert_is_an_empty_table(spark, sf_dir, tmp_path):
+    counts = cycles.cycle_counts(X.decisions_from(run.table_stream(spark, f"{sf_dir}/events.parquet")), lateness="1 hour")
+    got = run.drain_batches(counts, str(tmp_path / "s"), lambda batch, number: batch.count(), str(tmp_path / "rows"), cycles.ALERTS)
+    assert got.count() == 0 and got.columns[0] == "cycle_start"
