@@ -64,7 +64,7 @@ def test_auc_outside_unit_interval_and_ties(spark):
 
 def test_numbering_has_no_gaps(spark):
     df = spark.range(0, 5000).select((F.col("id") % 3).cast("int").alias("suite"), (F.col("id") * 37).alias("pos"))
-    got = numbered(df.repartition(7), ["suite"], "pos", span=1000).orderBy("suite", "pos").collect()
+    got = numbered(df.repartition(7), ["suite"], "pos").orderBy("suite", "pos").collect()
     assert [r["seq"] for r in got] == list(range(1, 5001))
 
 
