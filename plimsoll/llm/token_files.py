@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plimsoll.llm.rans import LANES, Table, decode, encode, scaled
-from plimsoll.llm.textbytes import groups
+from plimsoll.llm.textbytes import groups, text_bytes
 from plimsoll.sources.stage import shared_folder, staged
 
 END = 0
@@ -42,13 +42,16 @@ class Encoder:
     """A byte-level tokenizer that remembers the ids of pieces of text and of pre-tokens.
 
     A text may be cut before a space with other characters on both sides: pre-tokens start there
-    anyway and do not depend on what is left of it. Ids are kept as bytes, so a text's ids are its
-    pieces' bytes in a row. A piece of Latin characters is in turn a row of pre-tokens; other pieces
-    go to the tokenizer whole. New pre-tokens are tokenised together and told apart by length.
+    anyway and do not depend on what is left of it. Cuts are found on the bytes of many texts at once,
+    the pieces between them are numbered by a dictionary, and only new distinct ones are looked at one
+    by one. The ids of all known pieces stand in one array, from which those of the texts are gathered.
+    A piece of Latin characters is in turn a row of pre-tokens; other pieces go to the tokenizer whole.
+    New pre-tokens are tokenised together and told apart by length.
     """
 
-    DOUBLE = re.compile(r"\s\s|^ | $")
-    SINGLE = re.compile(r"(?<=\S) (?=\S)")
+    #: Bytes that no space is cut next to: white space and controls, and the first bytes of wider white space.
+    BLANK = np.arange(256) <= 0x20
+    WIDE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
     LATIN = re.compile(r"[\t\n\r -~\u00c0-\u024f]*")
     #: The pre-tokens of byte-level tokenizers; a fixed value.
     PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -62,8 +65,14 @@ class Encoder:
         self.length = np.zeros(size, np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             self.length[number] = len(token)
-        self.pieces: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.pieces: dict[str, bytes] = {}  # learnt since the last text
+        self.number: dict[str, int] = {}
+        self.store, self.used = np.empty(1 << 20, self.kind), 0
+        self.ends = np.zeros(1 << 16, np.int64)  # of each known piece in the store, after the one before
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
@@ -107,20 +116,55 @@ class Encoder:
         for piece, inner in joined:
             self.pieces[piece] = b"".join([parts[q] for q in inner])
 
-    def encoded(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes of `kind`."""
-        for known in (self.pieces, self.parts):
-            if len(known) > REMEMBERED:
-                known.clear()
-        split, new = [], set()
-        for text in texts:
-            pieces = self.SINGLE.split(text) if self.DOUBLE.search(text) else text.split(" ")
-            pieces[1:] = [" " + p for p in pieces[1:]]
-            new.update(pieces)
-            split.append(pieces)
-        known = self.pieces
-        self.learn([p for p in new if p not in known])
-        return [b"".join([known[p] for p in pieces]) for pieces in split]
+    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where pieces begin: at each text and at single spaces between characters that are no white space."""
+        at = np.nonzero(data[1:-1] == 0x20)[0] + 1
+        before, behind = data[at - 1], data[at + 1]
+        wide = (before >= 0x80) & (self.WIDE[data[at - 2]] | (self.WIDE[data[at - 3]] & (at > 2)))
+        at = at[~(self.BLANK[before] | self.BLANK[behind] | self.WIDE[behind] | wide)]
+        edge = np.zeros(len(data) + 2, bool)
+        edge[offsets] = True
+        at = at[~(edge[at] | edge[at + 1])]
+        return np.sort(np.concatenate([offsets[:-1][np.diff(offsets) > 0], at]), kind="stable")
+
+    def remember(self, new: list[str]) -> None:
+        """Number the pieces and put their ids behind those of the known ones."""
+        self.learn(new)
+        ids = np.frombuffer(b"".join([self.pieces[p] for p in new]), self.kind)
+        known, total = len(self.number), len(self.number) + len(new)
+        if self.used + len(ids) > len(self.store):
+            self.store = np.concatenate([self.store, np.empty(self.used + len(ids), self.kind)])
+        if total >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros(total, np.int64)])
+        self.store[self.used:self.used + len(ids)] = ids
+        sizes = np.fromiter((len(self.pieces[p]) for p in new), np.int64, len(new)) // int(self.kind[-1])
+        self.ends[known + 1:total + 1] = self.used + np.cumsum(sizes)
+        self.used += len(ids)
+        self.number.update(zip(new, range(known, total)))
+        self.pieces.clear()
+
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's ids end."""
+        if len(self.number) > REMEMBERED:
+            self._forget()
+        if len(self.parts) > REMEMBERED:
+            self.parts.clear()
+        data, offsets = text_bytes(texts)
+        if not len(data):
+            return np.zeros(0, self.kind), np.zeros(len(texts), np.int64)
+        begins = self.cuts(data, offsets)
+        places = np.append(begins, len(data)).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(begins), pa.py_buffer(places), pa.py_buffer(data)).dictionary_encode()
+        names = pieces.dictionary.to_pylist()
+        new = [p for p in names if p not in self.number]
+        if new:
+            self.remember(new)
+        number = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))[np.asarray(pieces.indices)]
+        first = self.ends[number]
+        sizes = self.ends[number + 1] - first
+        ends = np.cumsum(sizes)
+        ids = self.store[np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1])]
+        return ids, np.append(0, ends)[np.searchsorted(begins, offsets[1:])]
 
 
 def _encoder(path: str) -> Encoder:
@@ -130,32 +174,45 @@ def _encoder(path: str) -> Encoder:
 
 
 def tokenised(docs: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens and ids (bytes of the narrowest kind that holds them), END appended. Null is empty."""
+    """doc_id, n_tokens and ids (bytes of the narrowest kind that holds them), END appended. Null is empty.
+
+    The first row of each group of texts also carries the group's token counts: tokens, then counts.
+    """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
-        end = np.array([END], encoder.kind).tobytes()
+        width = int(encoder.kind[-1])
         for batch in batches:
             for group in groups(batch):
-                ids = [b + end for b in encoder.encoded(group.column("text").to_pylist())]
-                sizes = np.array([len(b) for b in ids], np.int64) // int(encoder.kind[-1])
-                yield pa.record_batch([group.column("doc_id"), pa.array(sizes), pa.array(ids, pa.binary())],
-                                      names=["doc_id", "n_tokens", "ids"])
+                ids, ends = encoder.encoded(group.column("text"))
+                ends = ends + np.arange(1, len(ends) + 1)
+                held = np.empty(len(ids) + len(ends), encoder.kind)
+                last = np.zeros(len(held), bool)
+                last[ends - 1] = True
+                held[last], held[~last] = END, ids
+                offsets = np.append(0, ends * width).astype(np.int32)
+                rows = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+                total = np.bincount(held)
+                seen = np.nonzero(total)[0]
+                counts = [np.concatenate([seen, total[seen]]).astype("<u4").tobytes()] + [None] * (len(ends) - 1)
+                yield pa.record_batch([group.column("doc_id"), pa.array(np.diff(ends, prepend=0)), rows,
+                                       pa.array(counts, pa.binary())], names=["doc_id", "n_tokens", "ids", "counts"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        work, "doc_id long, n_tokens long, ids binary")
+        work, "doc_id long, n_tokens long, ids binary, counts binary")
 
 
-def token_counts(tokens: DataFrame, kind: str, size: int) -> np.ndarray:
-    """Occurrences of each token over all documents; a row per token and task is shuffled."""
+def token_counts(tokens: DataFrame, size: int) -> np.ndarray:
+    """Occurrences of each token over all documents, from the groups' counts; a row per token and task is shuffled."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column("ids"):
-                total += np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=size)
+            for held in batch.column("counts").drop_null():
+                seen, n = np.frombuffer(held.as_buffer(), "<u4").reshape(2, -1)
+                total[seen] += n
         seen = np.nonzero(total)[0]
         yield pa.record_batch([pa.array(seen.astype(np.int32)), pa.array(total[seen])], names=["token", "n"])
 
-    rows = tokens.select("ids").mapInArrow(count, "token int, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    rows = tokens.select("counts").mapInArrow(count, "token int, n long").groupBy("token").agg(F.sum("n").alias("n"))
     out = np.zeros(size, np.int64)
     for r in rows.collect():  # a row per token of the vocabulary
         out[r["token"]] = r["n"]
@@ -172,7 +229,7 @@ def write_tokens(docs: DataFrame, path: str, target: str) -> None:
     encoder = _encoder(path)
     kind, size = encoder.kind, len(encoder.length)
     tokens = staged(tokenised(docs, path))
-    frequency = scaled(token_counts(tokens, kind, size))
+    frequency = scaled(token_counts(tokens, size))
     spark.createDataFrame([(i, int(n)) for i, n in enumerate(frequency)], "token int, frequency long").coalesce(
         1).write.parquet(f"{target}/frequencies")
 

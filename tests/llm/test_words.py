@@ -6,11 +6,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from plimsoll.llm import collocations, prefix_tokens, registry, spelling
+from plimsoll.llm import collocations, prefix_tokens, registry, spelling, token_files
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 SPEECH = "the cat sat on the mat. the cat sat on the hat, The Cat sat\ton the mat! a b A b x x x x x; \x0b \x01 q"
@@ -224,3 +225,24 @@ def test_spelling_groups_across_batches(spark):
 
 def test_spelling_of_nothing(empty):
     assert spelling.spelling_variants(empty).count() == 0
+
+
+def test_token_files_equal_the_tokenizer(spark, docs, empty, tokenizer, monkeypatch):
+    """Ids and checksums over odd texts, with little and much remembered."""
+    random.seed(12)
+    parts = ["a", "the", " ", "  ", "\n", "'re", "1", "!", "é", "漢字", "\x85", "\xa0", "　", "<|endoftext|>", "Â", " x", "Ã ", "\x00", "\U0001f600"]
+    rows = [(i, "".join(random.choices(parts, k=random.randint(0, 20))), None, None) for i in range(400)] + ODD
+    encoder = token_files.Encoder(registry.tokenizer_path())
+    for remembered in (10, 700_000):
+        monkeypatch.setattr(token_files, "REMEMBERED", remembered)
+        for low in range(0, len(rows), 50):
+            texts = [r[1] or "" for r in rows[low:low + 50]]
+            ids, ends = encoder.encoded(pa.array(texts, pa.string()))
+            assert [x.tolist() for x in np.split(ids, ends[:-1])] == [
+                tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    got = token_files.token_files(spark.createDataFrame(rows, SCHEMA).repartition(4), registry.tokenizer_path(), False)
+    want = []
+    for doc_id, text, *_ in rows:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        want.append((doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got.collect()), key=str) == sorted(want, key=str)
