@@ -29,8 +29,9 @@ from plimsoll.sources.stage import shared_folder, staged
 
 END = 0
 BLOCK_TOKENS = 1 << 19
-#: Pieces, and pre-tokens, whose ids a worker remembers: about 150 MB of each.
-REMEMBERED = 700_000
+#: Pieces, and pre-tokens, whose ids a worker remembers: about 170 and 220 bytes of each.
+REMEMBERED = 1_400_000
+PARTS = 700_000
 #: Pieces that are tokenised in one call.
 TOGETHER = 2000
 BLOCK_SCHEMA = ("shard int, block int, doc_ids binary, nulls binary, lengths binary, states binary, reads binary, "
@@ -147,7 +148,7 @@ class Encoder:
         """The ids of all texts in a row, and where each text's ids end."""
         if len(self.number) > REMEMBERED:
             self._forget()
-        if len(self.parts) > REMEMBERED:
+        if len(self.parts) > PARTS:
             self.parts.clear()
         data, offsets = text_bytes(texts)
         if not len(data):

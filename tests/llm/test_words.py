@@ -235,6 +235,7 @@ def test_token_files_equal_the_tokenizer(spark, docs, empty, tokenizer, monkeypa
     encoder = token_files.Encoder(registry.tokenizer_path())
     for remembered in (10, 700_000):
         monkeypatch.setattr(token_files, "REMEMBERED", remembered)
+        monkeypatch.setattr(token_files, "PARTS", remembered)
         for low in range(0, len(rows), 50):
             texts = [r[1] or "" for r in rows[low:low + 50]]
             ids, ends = encoder.encoded(pa.array(texts, pa.string()))
