@@ -8,22 +8,43 @@ from pyspark.sql import functions as F
 from plimsoll.sources.stage import staged
 
 
+def _hooked(edges: DataFrame) -> DataFrame:
+    """v, root: every end of the edges under its least neighbour, or itself where none is less, then followed up.
+
+    A parent is less than its child, so the hooks form trees; parents are replaced by their own parents,
+    which halves the height of every tree each time, until all are roots.
+    """
+    both = edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(edges.select("b", "a"))
+    found = staged(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("root")))
+    while True:
+        above = found.where("root <> v").select(F.col("v").alias("root"), F.col("root").alias("next"))
+        moved = staged(found.join(above, "root", "left").select(
+            "v", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
+        found = moved.select("v", "root")
+        if moved.where("moved").isEmpty():
+            return found
+
+
 def components(edges: DataFrame) -> DataFrame:
     """v, root for every end of the edges (a, b): the least vertex that can be reached.
 
-    Every round takes the least label among neighbours and then that label's own label, so labels
-    travel twice as far in each round; rounds are stored, which keeps the lineage short.
+    Each round hooks the vertices into trees, makes each tree one vertex, its root, and goes on with
+    the edges between trees. A vertex with an edge is in a tree of two or more, so a round at least
+    halves the vertices that have edges left, whatever the shape of the graph. The rounds are then
+    undone from the last, which is the smallest. Vertices without edges but to themselves have no row.
     """
-    both = staged(edges.select(F.col("a").alias("v"), F.col("b").alias("u")).union(
-        edges.select("b", "a")).where("v <> u").distinct())
-    labels = staged(both.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("root")))
+    edges = staged(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct())
+    rounds = [_hooked(edges)]
     while True:
-        near = both.join(labels.select(F.col("v").alias("u"), "root"), "u").groupBy("v").agg(
-            F.min("root").alias("near"))
-        moved = labels.join(near, "v").select(
-            "v", F.least("root", "near").alias("root"), F.col("root").alias("before"))
-        jumps = moved.select(F.col("v").alias("root"), F.col("root").alias("next"))
-        labels_next = staged(moved.join(jumps, "root").select("v", F.col("next").alias("root"), "before"))
-        if labels_next.where("root <> before").isEmpty():
-            return labels_next.select("v", "root")
-        labels = labels_next.select("v", "root")
+        root = rounds[-1]
+        ends = edges.join(root.select(F.col("v").alias("a"), F.col("root").alias("x")), "a").join(
+            root.select(F.col("v").alias("b"), F.col("root").alias("y")), "b").where("x <> y")
+        edges = staged(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        if edges.isEmpty():
+            break
+        rounds.append(_hooked(edges))
+    found = rounds.pop()
+    while rounds:
+        above = found.select(F.col("v").alias("root"), F.col("root").alias("next"))
+        found = staged(rounds.pop().join(above, "root", "left").select("v", F.coalesce("next", "root").alias("root")))
+    return found
