@@ -6,8 +6,10 @@ block. Slots are dealt to output shards; a shard draws how many of its slots eac
 a multinomial law over the target shares, and a source's slots are numbered on through the shards.
 Slot j of a source takes block perm(j) of the source, a keyed permutation of the block numbers that
 needs no table, so that every pass over a source takes each block once and two passes at most are
-ever begun. Slots are joined with blocks by source and block number. Draws decide in which shard a
-block appears; each source gets exactly its target, the last slot being cut where it is reached.
+ever begun. Slots are joined with blocks by source and block number. The draws decide what each shard
+holds, and `mixed_shards` gives the words by shard; how much is taken of a document they do not change,
+since each source gets exactly its target, the last slot being cut where it is reached. What the draws
+leave short of a target fills one more shard.
 """
 
 from __future__ import annotations
@@ -134,16 +136,18 @@ def slots(plan: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, s
         "shard", "source", "slot", "pass", "block_no", "words")
 
 
-def pieces(docs: DataFrame, seed: int = 7, block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
+def pieces(docs: DataFrame, seed: int = 7, block: int = BLOCK,
+           shard_slots: int = SHARD_SLOTS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The packed documents, the sources' targets, and what the mix takes of each document.
 
     The third has a row for each block that a pass takes of a document: doc_id, row, source, begin,
-    pass, lo, hi (words of the document from 0). `begin` tells equal rows apart.
+    pass, shard, slot, place, lo, hi. lo and hi are words of the document from 0, `place` is where
+    they begin in the slot. `begin` tells equal rows apart.
     """
     rows = staged(packed(docs))
     plan = staged(targets(rows))
     # Spark takes exploded slots for a few rows and would broadcast them: they grow with the documents
-    taken = slots(plan, block, seed=seed).withColumnRenamed("source", "of").hint("merge")
+    taken = slots(plan, block, shard_slots, seed).withColumnRenamed("source", "of").hint("merge")
     first = F.floor(F.col("begin") / block)
     last = F.floor((F.col("begin") + F.col("size") - 1) / block)
     parts = rows.where("size > 0").select("doc_id", "row", "source", "begin", "size",
@@ -152,33 +156,74 @@ def pieces(docs: DataFrame, seed: int = 7, block: int = BLOCK) -> tuple[DataFram
     lo = F.greatest(F.col("begin"), F.col("part") * block)
     hi = F.least(F.col("begin") + F.col("size"), F.col("part") * block + F.col("words"))
     cut = parts.join(taken, same).select(
-        "doc_id", "row", "source", "begin", "pass", (lo - F.col("begin")).alias("lo"), (hi - F.col("begin")).alias("hi"))
+        "doc_id", "row", "source", "begin", "pass", "shard", "slot", (lo - F.col("part") * block).alias("place"),
+        (lo - F.col("begin")).alias("lo"), (hi - F.col("begin")).alias("hi"))
     return rows, plan, cut.where("hi > lo")
 
 
 def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target (its source's) and taken words.
+    """One row per document: doc_id, size, source_size, target (its source's), taken words, first_shard, last_shard.
 
-    A null text has no words, a null source is a source of its own, ranked last. Every row is packed
+    The last two are the least and largest output shard with words of it, null where none is taken. A null text has no words, a null source is a source of its own, ranked last. Every row is packed
     apart, also if it repeats another. Other columns are ignored.
     """
     rows, plan, cut = pieces(docs, seed)
     sums = cut.groupBy(F.col("doc_id").alias("id"), F.col("row").alias("of_row"), F.col("begin").alias("at")).agg(
-        F.sum(F.col("hi") - F.col("lo")).alias("taken"))
+        F.sum(F.col("hi") - F.col("lo")).alias("taken"), F.min("shard").alias("first_shard"),
+        F.max("shard").alias("last_shard"))
     same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("row") == F.col("of_row")) & (F.col("begin") == F.col("at"))
     found = rows.join(sums.hint("merge"), same, "left").select(
         "doc_id", "source", "size", F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast(
-            "long").alias("taken"))
+            "long").alias("taken"), "first_shard", "last_shard")
     named = plan.withColumnRenamed("source", "of")
     return found.join(named, F.col("source").eqNullSafe(F.col("of"))).select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken", "first_shard", "last_shard")
+
+
+def _texts(docs: DataFrame, key: list[str], ranges: DataFrame) -> DataFrame:
+    """`ranges` (key columns named of_...) with each document's text and its words, `held`."""
+    texts = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", "source", "text",
+                        row_hash(F.col("text")).alias("row")).dropDuplicates(key)
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
+    return texts.join(ranges.hint("merge"), same).withColumn(
+        "held", F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)))
+
+
+def mixed_shards(docs: DataFrame, seed: int = 7, block: int = BLOCK, shard_slots: int = SHARD_SLOTS) -> DataFrame:
+    """The mix by output shard, a row per slot and document with words in it.
+
+    Columns: shard, source, slot, place (of the row's first word in the slot, from 0), pass, doc_id, text
+    (the words, joined by single spaces). A slot belongs to one shard; a shard holds `shard_slots` slots
+    or fewer, but for the last, which has what the draws left over. Null and empty texts have no row, a
+    null source is a source of its own, rows that repeat another are taken apart. Other columns are ignored.
+    """
+    key = ["doc_id", "row", "source"]
+    _, _, cut = pieces(docs, seed, block, shard_slots)
+    ranges = cut.groupBy(*[F.col(k).alias(f"of_{k}") for k in key], "begin").agg(
+        F.collect_list(F.struct("shard", "slot", "place", "pass", "lo", "hi")).alias("ranges"))
+    words = lambda r: F.array_join(F.slice("held", (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")), " ")
+    part = _texts(docs.select("doc_id", "source", "text"), key, ranges).select("doc_id", "source", F.transform(
+        "ranges", lambda r: F.struct(r["shard"].alias("shard"), r["slot"].alias("slot"), r["place"].alias("place"),
+                                     r["pass"].alias("pass"), words(r).alias("text"))).alias("parts"))
+    return part.select("doc_id", "source", F.inline("parts")).select(
+        "shard", "source", "slot", "place", "pass", "doc_id", "text")
+
+
+def write_shards(mixed: DataFrame, folder: str) -> None:
+    """Writes what `mixed_shards` returns as Parquet, a folder and one sorted file per shard."""
+    mixed.repartition("shard").sortWithinPartitions("shard", "source", "slot", "place").write.partitionBy(
+        "shard").parquet(folder)
 
 
 def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
     """The mix as documents: a row per document and pass that takes words of it.
 
     Columns are those of `docs`. A document taken whole keeps its text; of one taken in part the
-    taken words remain, in order, joined by single spaces.
+    taken words remain, in order, joined by single spaces. Null and empty texts have no row, a null
+    source is a source of its own, rows that repeat another are taken apart; an empty table has an
+    empty mix.
     """
     _, _, cut = pieces(docs, seed)
     key = ["doc_id", "row", "source"]
@@ -186,12 +231,7 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("ranges"),
         F.sum(F.col("hi") - F.col("lo")).alias("words"))
     ranges = ranges.select(*[F.col(k).alias(f"of_{k}") for k in key], "ranges", "words")
-    texts = docs.select(F.struct(*docs.columns).alias("whole"), "doc_id", "source", "text",
-                        row_hash(F.col("text")).alias("row")).dropDuplicates(key)
-    same = F.lit(True)
-    for k in key:
-        same = same & F.col(k).eqNullSafe(F.col(f"of_{k}"))
-    part = texts.join(ranges.hint("merge"), same).withColumn("held", F.regexp_extract_all("text", F.lit(SPACED_WORD), F.lit(0)))
+    part = _texts(docs, key, ranges)
     text = F.when(F.size("held") <= F.col("words"), F.col("text")).otherwise(F.array_join(F.flatten(F.transform(
         "ranges", lambda r: F.slice("held", (r["lo"] + 1).cast("int"), (r["hi"] - r["lo"]).cast("int")))), " "))
     return part.select(F.col("whole").withField("text", text).alias("whole")).select("whole.*")

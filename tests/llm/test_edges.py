@@ -224,6 +224,60 @@ def test_mix(docs, empty):
         round(t) for t in {r["source_size"]: r["target"] for r in got}.values())
 
 
+def test_dotted_columns(docs):
+    """A column name with a dot in it goes through the mix and the pipeline's first stage."""
+    import corpus_pipeline
+
+    dotted = docs.withColumn("a.b", F.lit("dot"))
+    assert mixing.mixed_documents(dotted).columns == dotted.columns
+    kept = corpus_pipeline.known_language(dotted.sparkSession, dotted, "")
+    assert kept.columns == dotted.columns and kept.count() > 0
+
+
+@pytest.mark.parametrize("shard_slots", [4, 1000])
+def test_shards_hold_the_mix(docs, empty, tmp_path, shard_slots):
+    """Words by shard are the documents' words, each source has its target, and no slot is in two shards."""
+    mixed = mixing.mixed_shards(docs, shard_slots=shard_slots)
+    folder = str(tmp_path / "mix")
+    mixing.write_shards(mixed, folder)
+    got = docs.sparkSession.read.parquet(folder).collect()
+    plan = mixing.targets(mixing.packed(docs)).collect()
+    total = lambda key: {k: sum(len(r["text"].split(" ")) for r in got if r[key] == k) for k in {r[key] for r in got}}
+    assert total("source") == {r["source"]: round(r["target"]) for r in plan if round(r["target"])}
+    sizes = {}
+    for r in mixing.mix(docs).collect():
+        sizes[r["doc_id"]] = sizes.get(r["doc_id"], 0) + r["taken"]
+    assert total("doc_id") == {k: n for k, n in sizes.items() if n}
+    slots = {}
+    for r in got:
+        slots.setdefault((r["source"], r["slot"]), []).append(r)
+    for parts in slots.values():
+        assert len({r["shard"] for r in parts}) == 1
+        words = [w for r in sorted(parts, key=lambda r: r["place"]) for w in r["text"].split(" ")]
+        assert len(words) <= mixing.BLOCK
+    held = {}
+    for parts in slots.values():
+        held[parts[0]["shard"]] = held.get(parts[0]["shard"], 0) + 1
+    assert all(n <= shard_slots for shard, n in held.items() if shard != max(held))
+    texts = {" ".join(spaced(t)) for _, t, *_ in ROWS}
+    assert all(any(r["text"] in t for t in texts) for r in got)
+    assert mixing.mixed_shards(empty).count() == 0
+
+
+def test_draws_decide_the_shards(docs):
+    """Another seed puts words into other shards; the counts by shard are those of the draws, near the shares."""
+    one, two = ([tuple(r) for r in mixing.mixed_shards(docs, seed=s, shard_slots=64).groupBy("shard", "source").agg(
+        F.count_distinct("slot").alias("n")).collect()] for s in (7, 8))
+    assert sorted(one, key=str) != sorted(two, key=str)
+    plan = mixing.targets(mixing.packed(docs)).collect()
+    share = {r["source"]: r["target"] / sum(q["target"] for q in plan) for r in plan}
+    last = max(shard for shard, _, _ in one)
+    for source, p in share.items():
+        full = [n for shard, s, n in one if s == source and shard < last - 3]
+        if p * 64 >= 10:
+            assert abs(sum(full) / len(full) - 64 * p) <= 4 * (64 * p * (1 - p) / len(full)) ** 0.5 + 1
+
+
 def test_every_slot_takes_a_block_of_its_own(spark):
     for n in (1, 2, 7, 100, 1000):
         frame = spark.range(n).select("id", mixing.permuted(F.col("id"), F.lit(n), F.lit(n + 3)).alias("to"))
