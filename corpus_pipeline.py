@@ -15,7 +15,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the language model doesn't reject."""
-    rows = docs.select(F.struct(*docs.columns).alias("whole"), "doc_id", "text", "lang")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "doc_id", "text", "lang")
     found = language_id.language_id(rows, docs.where(~registry.held_out()), keep=["whole"])
     return found.where("not rejected").select("whole.*")
 
