@@ -29,7 +29,8 @@ from plimsoll.sources.stage import shared_folder, staged
 
 END = 0
 BLOCK_TOKENS = 1 << 19
-#: Pieces, and pre-tokens, whose ids a worker remembers: about 170 and 220 bytes of each.
+#: Pieces, and pre-tokens, whose ids a worker remembers: about 170 and 220 bytes of each. A worker keeps them
+#: for its next task, whatever that is, so callers with other work on the same executors may set fewer.
 REMEMBERED = 1_400_000
 PARTS = 700_000
 #: Pieces that are tokenised in one call.
@@ -58,6 +59,7 @@ class Encoder:
     PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
     def __init__(self, path: str):
+        self.remembered: int | None = None
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
@@ -146,9 +148,9 @@ class Encoder:
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids end."""
-        if len(self.number) > REMEMBERED:
+        if len(self.number) > (self.remembered or REMEMBERED):
             self._forget()
-        if len(self.parts) > PARTS:
+        if len(self.parts) > (self.remembered or 2 * PARTS) // 2:
             self.parts.clear()
         data, offsets = text_bytes(texts)
         if not len(data):
@@ -168,19 +170,20 @@ class Encoder:
         return ids, np.append(0, ends)[np.searchsorted(begins, offsets[1:])]
 
 
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, remembered: int | None) -> Encoder:
     if path not in _KEPT:
         _KEPT[path] = Encoder(path)
+    _KEPT[path].remembered = remembered
     return _KEPT[path]
 
 
-def tokenised(docs: DataFrame, path: str) -> DataFrame:
+def tokenised(docs: DataFrame, path: str, remembered: int | None = None) -> DataFrame:
     """doc_id, n_tokens and ids (bytes of the narrowest kind that holds them), END appended. Null is empty.
 
     The first row of each group of texts also carries the group's token counts: tokens, then counts.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = _encoder(path, remembered)
         width = int(encoder.kind[-1])
         for batch in batches:
             for group in groups(batch):
@@ -220,16 +223,16 @@ def token_counts(tokens: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def write_tokens(docs: DataFrame, path: str, target: str) -> None:
+def write_tokens(docs: DataFrame, path: str, target: str, remembered: int | None = None) -> None:
     """Tokenise `docs` with the tokenizer file `path` and write the token files below `target`.
 
     Ascending doc_id, null first; rows that repeat a doc_id follow each other in the order of their
     ids. Other columns are ignored.
     """
     spark = docs.sparkSession
-    encoder = _encoder(path)
+    encoder = _encoder(path, remembered)
     kind, size = encoder.kind, len(encoder.length)
-    tokens = staged(tokenised(docs, path))
+    tokens = staged(tokenised(docs, path, remembered))
     frequency = scaled(token_counts(tokens, size))
     spark.createDataFrame([(i, int(n)) for i, n in enumerate(frequency)], "token int, frequency long").coalesce(
         1).write.parquet(f"{target}/frequencies")
@@ -323,8 +326,11 @@ def read_tokens(spark: SparkSession, source: str, with_ids: bool = True) -> Data
     return found if with_ids else found.drop("ids")
 
 
-def token_files(docs: DataFrame, path: str, with_ids: bool = True) -> DataFrame:
-    """Write `docs` as token files in the shared folder and read them back (see `read_tokens`)."""
+def token_files(docs: DataFrame, path: str, with_ids: bool = True, remembered: int | None = None) -> DataFrame:
+    """Write `docs` as token files in the shared folder and read them back (see `read_tokens`).
+
+    `remembered` is how many pieces a worker remembers, and twice the pre-tokens; it changes no result.
+    """
     target = f"{shared_folder(docs.sparkSession).rstrip('/')}/plimsoll/tokens-{uuid.uuid4().hex}"
-    write_tokens(docs, path, target)
+    write_tokens(docs, path, target, remembered)
     return read_tokens(docs.sparkSession, target, with_ids)
