@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from plimsoll.llm import decontaminate, language_id, mixing, ngram_join, registry, token_files
 from plimsoll.sources.stage import staged
 
+#: Pieces that a worker of the last stage remembers, some 80 MB; the other stages run in the same workers.
+REMEMBERED = 300_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -37,7 +40,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix written as token files and read back: doc_id, start, n_tokens, ids_crc32."""
-    return token_files.token_files(docs, registry.tokenizer_path(), with_ids=False)
+    return token_files.token_files(docs, registry.tokenizer_path(), with_ids=False, remembered=REMEMBERED)
 
 
 STAGES: list[tuple[str, Stage]] = [
