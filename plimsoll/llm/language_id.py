@@ -21,6 +21,7 @@ from pyspark.sql.types import StructType
 
 from plimsoll.llm.columns import drawn_below
 from plimsoll.llm.textbytes import groups, text_bytes
+from plimsoll.sources.stage import staged
 
 SIZES = (2, 3)
 BUCKETS = 1 << 13
@@ -77,46 +78,72 @@ def clustered(vectors: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
     return centers
 
 
-def _fitted(table: pa.Table) -> pa.Table:
-    """Rows (lang, weights): the inverse document frequencies, the distance limit, the centroids."""
-    table = table.sort_by([("lang", "ascending"), ("draw", "ascending")])
-    counts = np.concatenate([gram_counts(g.column("text")) for b in table.combine_chunks().to_batches()
-                             for g in groups(b)])
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
-    vectors = unit(counts, idf)
-    langs = np.array(table.column("lang").to_pylist(), object)
-    names, centers = [], []
-    for lang in sorted(set(langs)):
-        for c in clustered(vectors[langs == lang], CENTROIDS):
-            names.append(lang)
-            centers.append(c.astype(np.float32))
-    reached = (vectors @ np.stack(centers).T).max(axis=1)
-    limit = np.array([SLACK * np.quantile(reached, 0.01)], np.float32)
-    rows = [("idf", None, idf), ("limit", None, limit), *(("centroid", n, c) for n, c in zip(names, centers))]
-    return pa.table({"part": [r[0] for r in rows], "lang": [r[1] for r in rows],
-                     "weights": [r[2].tobytes() for r in rows]},
-                    pa.schema([("part", pa.string()), ("lang", pa.string()), ("weights", pa.binary())]))
+def _counts(texts: pa.Table) -> np.ndarray:
+    return np.concatenate([gram_counts(g.column("text")) for b in texts.combine_chunks().to_batches()
+                           for g in groups(b)])
 
 
-def fit(train: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str | None, bytes]]:
-    """The model from rows with doc_id, text and lang; at most `per_language` documents of each language are used.
+def _held(table: pa.Table) -> pa.Table:
+    """A language's texts, and how many of them hold each n-gram."""
+    counts = _counts(table)
+    held = (counts > 0).sum(axis=0).astype(np.int32)
+    return pa.table({"n": pa.array([len(counts)], pa.int64()), "held": pa.array([held.tobytes()], pa.binary())})
+
+
+def drawn_texts(train: DataFrame, per_language: int) -> DataFrame:
+    """text, lang, draw: at most `per_language` rows of each language, one for each doc_id drawn, drawn by a hash of it.
 
-    Rows without a doc_id are not drawn.
+    Of rows that repeat a doc_id and a language, the least text is taken.
     """
-    rows = train.where("lang is not null and text is not null").select(
+    rows = train.where("lang is not null and text is not null and doc_id is not null").select(
         "doc_id", "lang", F.xxhash64("doc_id").alias("draw"))
     # drawn on ids: a row per language is sent to every task, then the ids drawn are, and only their texts move
-    sizes = rows.groupBy(F.col("lang").alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = rows.groupBy(F.col("lang").alias("of")).agg(F.approx_count_distinct("doc_id").alias("n"))
     near = rows.join(F.broadcast(sizes), F.col("lang") == F.col("of")).where(
-        drawn_below(F.col("draw"), per_language, F.col("n")))
+        drawn_below(F.col("draw"), per_language, F.col("n"))).select("doc_id", "lang", "draw").distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
     drawn = near.withColumn("rank", rank).where(F.col("rank") <= per_language).select("doc_id", "lang", "draw")
     texts = train.where("text is not null").select("doc_id", letters(F.col("text")).alias("text"),
                                                    F.col("lang").alias("own"))
-    sample = texts.join(F.broadcast(drawn), "doc_id").where(F.col("own") == F.col("lang")).select(
-        "text", "lang", "draw")
-    model = sample.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_fitted, "part string, lang string, weights binary")
-    return [(r["part"], r["lang"], bytes(r["weights"])) for r in model.collect()]
+    met = texts.join(F.broadcast(drawn), "doc_id").where(F.col("own") == F.col("lang"))
+    return met.groupBy("doc_id", "lang", "draw").agg(F.min("text").alias("text")).select("text", "lang", "draw")
+
+
+def fit(train: DataFrame, per_language: int = PER_LANGUAGE) -> list[tuple[str, str | None, bytes]]:
+    """The model from rows with doc_id, text and lang; at most `per_language` documents of each language are used.
+
+    Rows without a doc_id are not drawn. Each language is counted and clustered in a task of its own, which
+    holds `per_language` vectors; the driver holds one vector of counts and CENTROIDS centroids a language.
+    """
+    sample = staged(drawn_texts(train, per_language))
+    by_lang = sample.groupBy("lang")
+    n, held = 0, np.zeros(BUCKETS, np.int64)
+    for row in by_lang.applyInArrow(_held, "n long, held binary").toLocalIterator():
+        n, held = n + row["n"], held + np.frombuffer(row["held"], np.int32)
+    if not n:
+        return []
+    idf = (np.log((1 + n) / (1 + held)) + 1).astype(np.float32)
+
+    def cluster(key: tuple, table: pa.Table) -> pa.Table:
+        centers = clustered(unit(_counts(table.sort_by("draw")), idf), CENTROIDS).astype(np.float32)
+        return pa.table({"lang": pa.array([key[0].as_py()] * len(centers), pa.string()),
+                         "place": pa.array(np.arange(len(centers), dtype=np.int32)),
+                         "weights": pa.array([c.tobytes() for c in centers], pa.binary())})
+
+    found = by_lang.applyInArrow(cluster, "lang string, place int, weights binary").collect()
+    found = [(r["lang"], bytes(r["weights"])) for r in sorted(found, key=lambda r: (r["lang"], r["place"]))]
+    centers = np.array([np.frombuffer(w, np.float32) for _, w in found])
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for group in groups(batch):
+                for at in range(0, group.num_rows, ROWS):
+                    near = unit(gram_counts(group.column("text").slice(at, ROWS)), idf) @ centers.T
+                    yield pa.record_batch([pa.array(near.max(axis=1).astype(np.float64))], names=["reached"])
+
+    least = sample.select("text").mapInArrow(reach, "reached double").agg(F.percentile("reached", F.lit(0.01))).first()[0]
+    limit = np.array([SLACK * least], np.float32)
+    return [("idf", None, idf.tobytes()), ("limit", None, limit.tobytes()), *(("centroid", lang, w) for lang, w in found)]
 
 
 def language_id(docs: DataFrame, train: DataFrame, per_language: int = PER_LANGUAGE,
@@ -124,7 +151,8 @@ def language_id(docs: DataFrame, train: DataFrame, per_language: int = PER_LANGU
     """`docs` (or its columns `keep`) with lang_pred, score and rejected added, in place of any so named.
 
     lang_pred is a language of `train`, or `und` for null texts and texts without a letter, and when
-    nothing could be learned. score is the cosine to the nearest centroid, 0 to 1. rejected is true
+    nothing could be learned. Of equal cosines the first language by name wins; repeated rows score
+    alike. score is the cosine to the nearest centroid, 0 to 1. rejected is true
     for `und` and for texts farther from all centroids than the limit learned from the sample.
     """
     model = fit(train, per_language)

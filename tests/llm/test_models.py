@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from plimsoll.llm import mixing, ngram_join, rans, registry, textbytes
+from plimsoll.llm import language_id, mixing, ngram_join, rans, registry, textbytes
 from plimsoll.sources.stage import staged
 
 MIDDLE = "/root/testdata/sf0.1"
@@ -17,6 +17,64 @@ def test_language_of_held_out_documents(spark):
     assert n > 3000 and right / n > 0.99
 
 
+def sample_rows(n_languages, texts):
+    """Rows of invented languages, each of syllables of its own."""
+    out = []
+    for i in range(n_languages):
+        rng = np.random.default_rng(i)
+        syllables = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 3)) for _ in range(12)]
+        for k in range(texts):
+            words = ["".join(rng.choice(syllables, 2)) for _ in range(60)]
+            out.append((1000 * i + k, " ".join(words), f"l{i:03d}"))
+    return out
+
+
+def test_many_languages_and_rejection(spark):
+    rows = sample_rows(60, 12)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    odd = [(-1, "\u4e2d\u6587\u5b57\u7b26" * 40, None), (-2, "\u0416\u0429\u042e\u042f " * 40, None), (-3, "12 34", None)]
+    found = {r["doc_id"]: r for r in language_id.language_id(
+        frame.unionByName(spark.createDataFrame(odd, frame.schema)), frame.where("doc_id % 1000 < 8")).collect()}
+    held = [r for r in rows if r[0] % 1000 >= 8]
+    assert np.mean([found[i]["lang_pred"] == lang for i, _, lang in held]) > 0.98
+    assert not any(found[i]["rejected"] for i, _, _ in rows)
+    # letters that no language of the sample has are far from all centroids
+    assert all(found[i]["rejected"] for i in (-1, -2, -3)) and found[-3]["lang_pred"] == "und"
+    assert found[-1]["lang_pred"] != "und"
+
+
+def test_language_model_by_brute_force(spark):
+    rows = sample_rows(3, 10)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    model = language_id.fit(frame)
+    import pyarrow as pa
+    order = [r["doc_id"] for r in frame.selectExpr("doc_id", "xxhash64(doc_id) h").orderBy("h").collect()]
+    texts = {i: t for i, t, _ in rows}
+    counts = {i: language_id.gram_counts(pa.array([texts[i]]))[0] for i in texts}
+    idf = np.log((1 + len(texts)) / (1 + sum((c > 0).astype(int) for c in counts.values()))) + 1
+    assert np.allclose(np.frombuffer(model[0][2], np.float32), idf)
+    want, vectors = [], {i: language_id.unit(c[None], idf.astype(np.float32))[0] for i, c in counts.items()}
+    for n in range(3):
+        own = np.stack([vectors[i] for i in order if i // 1000 == n])
+        want += list(language_id.clustered(own, language_id.CENTROIDS))
+    assert np.allclose(np.array([np.frombuffer(w, np.float32) for _, _, w in model[2:]]), want, atol=1e-5)
+    assert [lang for _, lang, _ in model[2:]] == [f"l{n:03d}" for n in range(3) for _ in range(language_id.CENTROIDS)]
+    reached = [max(float(v @ c) for c in want) for v in vectors.values()]
+    limit = np.frombuffer(model[1][2], np.float32)[0]
+    assert np.isclose(limit, language_id.SLACK * np.quantile(reached, 0.01), atol=1e-5)
+
+
+def test_the_sample_of_languages_is_bounded_in_rows(spark):
+    # one id holds most rows, and repeats in two languages; nulls are not drawn
+    rows = [(1, f"same id {i}", "a") for i in range(300)] + [(1, "other tongue", "b"), (None, "no id", "a")]
+    rows += [(i, f"text {i}", "a") for i in range(2, 30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    for most, a in ((5, 5), (600, 29)):
+        drawn = language_id.drawn_texts(frame, most).collect()
+        assert sorted(r["lang"] for r in drawn) == ["a"] * a + ["b"]
+    assert sorted(r["text"] for r in drawn) == ["other tongue", "same id "] + ["text "] * 28
+
+
 def test_toxicity_of_held_out_documents(spark):
     labels = spark.read.parquet(f"{MIDDLE}/labels.parquet").select("doc_id", "toxic")
     found = registry.op2_toxicity(spark, MIDDLE).where("held_out").join(labels, "doc_id").toPandas()
