@@ -154,28 +154,38 @@ def trained(texts: list[pa.Array], labels: np.ndarray, seed: int = 11) -> tuple[
 
 
 def _fitted(table: pa.Table) -> pa.Table:
-    table = table.sort_by("draw").combine_chunks()
+    table = table.sort_by([("draw", "ascending"), ("y", "ascending")]).combine_chunks()
     parts = [g.column("text") for b in table.select(["text"]).to_batches() for g in groups(b)]
     columns, machine = trained(parts, table.column("y").to_numpy().astype(np.int64))
     return pa.table({"columns": [columns.astype(np.int32).tobytes()], "weights": [machine.weights.tobytes()],
                      "factors": [machine.factors.tobytes()], "bias": [machine.bias]})
 
 
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic",
-        sample: int = SAMPLE) -> tuple[np.ndarray, Machine]:
-    """Chosen columns and machine from `docs` (doc_id, text) and `labels` (doc_id and a 0/1 label).
+def drawn_texts(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
+    """text, y, draw: at most `sample` rows, one for each distinct (doc_id, label) drawn, drawn by a hash of doc_id.
 
-    At most `sample` labels, drawn by a hash, are used; without any, all texts score alike. The draw
-    is made on the labels alone, so only the texts drawn are moved, by a join that sends the drawn
-    labels (at most `sample` rows) to every task.
+    Of documents that repeat a doc_id the least text is taken; a doc_id with both labels gives a row
+    of each.
     """
     marks = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).select(
         "doc_id", F.col(label).cast("int").alias("y"), F.xxhash64("doc_id").alias("draw"))
-    marks = marks.where(drawn_below(F.col("draw"), sample, F.lit(float(max(marks.count(), 1)))))
+    n = marks.agg(F.approx_count_distinct("doc_id")).first()[0]
+    marks = marks.where(drawn_below(F.col("draw"), sample, F.lit(float(max(n, 1))))).distinct()
     marks = marks.orderBy("draw", "doc_id", "y").limit(sample)
     rows = docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text")).join(
         F.broadcast(marks), "doc_id")
-    drawn = rows.select("text", "y", "draw", F.lit(0).alias("all"))
+    return rows.groupBy("doc_id", "y", "draw").agg(F.min("text").alias("text")).select("text", "y", "draw")
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic",
+        sample: int = SAMPLE) -> tuple[np.ndarray, Machine]:
+    """Chosen columns and machine from `docs` (doc_id, text) and `labels` (doc_id and a 0/1 label).
+
+    At most `sample` texts, drawn by a hash, are used; without any, all texts score alike. The draw
+    is made on the labels alone, so only the texts drawn are moved, by a join that sends the drawn
+    labels (at most `sample` rows) to every task.
+    """
+    drawn = drawn_texts(docs, labels, label, sample).withColumn("all", F.lit(0))
     for r in drawn.groupBy("all").applyInArrow(
             _fitted, "columns binary, weights binary, factors binary, bias double").collect():
         return np.frombuffer(r["columns"], np.int32), Machine(

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from plimsoll.llm import language_id, mixing, ngram_join, rans, registry, textbytes
+from plimsoll.llm import language_id, mixing, ngram_join, rans, registry, textbytes, toxicity
 from plimsoll.sources.stage import staged
 
 MIDDLE = "/root/testdata/sf0.1"
@@ -85,6 +85,17 @@ def test_toxicity_of_held_out_documents(spark):
     assert pairs.mean() / len(clean) > 0.93
 
 
+def test_the_sample_of_labels_is_bounded_in_rows(spark):
+    docs = spark.createDataFrame([(1, f"Same {i:03d}") for i in range(300)] + [(i, f"t{i}") for i in range(2, 30)]
+                                 + [(None, "none")], "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1)] * 200 + [(1, 0), (None, 1), (2, None)] + [(i, i % 2) for i in range(3, 30)],
+                                   "doc_id long, toxic int").repartition(3)
+    drawn = toxicity.drawn_texts(docs, labels, "toxic", 600).collect()
+    assert sorted((r["text"], r["y"]) for r in drawn) == sorted(
+        [("same 000", 0), ("same 000", 1)] + [(f"t{i}", i % 2) for i in range(3, 30)])
+    assert toxicity.drawn_texts(docs, labels, "toxic", 5).count() == 5
+
+
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 1025, 70_000, 600_001])
 def test_rans_round_trip(n):
     ids = (np.random.default_rng(n).zipf(1.3, n) % 50_257).astype(np.int64)
