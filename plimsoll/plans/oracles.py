@@ -389,12 +389,15 @@ def _instability() -> str:
 
 
 def _prompt() -> str:
-    return f"""WITH {DIM}, p AS (
-      SELECT {lit(X.PROMPT_HEADER)} || chr(10) || chr(10)
-        || string_agg('- ' || category || ' [' || severity_tier || ']: ' || definition || ' Clause: ' || clause,
-                      chr(10) ORDER BY ord) || chr(10) || chr(10) || {lit(X.PROMPT_RULES)} AS prompt
-      FROM dim)
-      SELECT md5(prompt) AS prompt_id, prompt, (SELECT count(text) FROM documents) AS n_requests FROM p"""
+    head, tail = f"{lit(X.PROMPT_HEADER)} || chr(10) || chr(10)", f"chr(10) || chr(10) || {lit(X.PROMPT_RULES)}"
+    lines = """string_agg('- ' || category || ' [' || severity_tier || ']: ' || definition || ' Clause: ' || clause,
+                      chr(10) ORDER BY ord)"""
+    return f"""WITH {SCORED}, {DIM}, {_taxonomy_rows()}, p AS (
+      SELECT {head} || {lines} || {tail} AS prompt FROM dim), u AS (
+      SELECT {head} || coalesce({lines}, '') || {tail} AS used_prompt
+      FROM dim JOIN occ USING (category) WHERE occurrences > 0)
+      SELECT md5(prompt) AS prompt_id, prompt, (SELECT count(text) FROM documents) AS n_requests, used_prompt
+      FROM p, u"""
 
 
 _SAMPLE_DRAW = "md5(concat('42-', doc_id))"

@@ -298,9 +298,14 @@ def verdict_coalesced(spark, d):
 
 @query
 def prompt_text(spark, d):
-    """The prompt with every category of the taxonomy, and how many requests go out with it."""
+    """The prompt with every category of the taxonomy, how many requests go out with it, and the shorter prompt
+    for the categories in use - those with a labelled or flagged document."""
     prompt = V.system_prompt(X.taxonomy(spark), X.PROMPT_HEADER, X.PROMPT_RULES)
-    return prompt.withColumn("n_requests", verdict_requests(spark, d).agg(F.count("content")).scalar())
+    in_use = taxonomy(spark, d).where(F.col("occurrences") > 0).select("category")
+    used = V.system_prompt(X.taxonomy(spark).join(in_use, "category", "left_semi"), X.PROMPT_HEADER, X.PROMPT_RULES)
+    return prompt.withColumns({
+        "n_requests": verdict_requests(spark, d).agg(F.count("content")).scalar(),
+        "used_prompt": used.select("prompt").scalar()})
 
 
 @query
