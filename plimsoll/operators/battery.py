@@ -110,6 +110,25 @@ def battery_cases(suites: DataFrame, labels: Sequence[str], identities: Mapping[
     return number_cases(case_rows(suites, identities, extra), labels, prefix)
 
 
+def numbered_templates(suites: DataFrame, identities: Mapping[str, DataFrame] | None = None,
+                       extra: DataFrame | None = None, prefix: str = "RT") -> DataFrame:
+    """The filled templates with suite, block and position, and the running id they have among all cases.
+
+    All cases are numbered, those without a place last, but only filled templates carry a text. The number
+    goes with the row: nothing is joined, so cases that share a place stay as many as they are.
+    """
+    place, carried = ["suite_ord", "block", "pos"], ["suite", "text", "note"]
+    rest = [written_cases(suites)] + ([table_cases(extra)] if extra is not None else [])
+    bare = [x.select(*place, *[F.lit(None).cast("string").alias(c) for c in carried], F.lit(False).alias("__filled"))
+            for x in rest]
+    rows = reduce(DataFrame.unionByName, bare, expand_templates(suites, identities).select(
+        *place, *carried, F.lit(True).alias("__filled")))
+    rows = rows.withColumns({f"__no_{c}": F.col(c).isNull() for c in ["suite_ord", "pos"]})
+    found = numbered(rows, ["__no_suite_ord", "suite_ord", "block", "__no_pos"], "pos").where("__filled")
+    return found.select(F.format_string(f"{prefix}%03d", F.col("seq")).alias("case_id"), "suite", "block", "pos",
+                        "text", "note")
+
+
 def battery_census(cases: DataFrame) -> DataFrame:
     return cases.groupBy("suite").agg(
         F.count(F.lit(1)).alias("n_cases"), F.bool_and("should_flag").alias("should_flag")).orderBy("suite")

@@ -172,8 +172,9 @@ def battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expanded_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The template suites alone, filled with their own identities and every customer name; not numbered."""
-    return B.expand_templates(parse_suites(spark, builtin_battery_text()), _identities(spark, sf_dir))
+    """The template suites alone, filled with their own identities and every customer name, numbered among all cases."""
+    suites = parse_suites(spark, builtin_battery_text())
+    return B.numbered_templates(suites, _identities(spark, sf_dir), _document_cases(spark, sf_dir, {}))
 
 
 def control_flags(text: Column) -> dict[str, Column]:

@@ -201,8 +201,9 @@ cases AS (
 
 
 BATTERY = _battery_ctes()
-BATTERY_EXPANDED = f"""WITH {BATTERY} SELECT suite, block, c_custkey::BIGINT AS pos,
-  replace(template, '{{identity}}', c_name) AS text, 'identity=' || c_name AS note FROM templates, customer"""
+BATTERY_EXPANDED = f"""WITH {BATTERY}, placed AS (
+  SELECT *, printf('RT%03d', row_number() OVER (ORDER BY suite_ord, block, pos)) AS case_id FROM unnumbered)
+  SELECT case_id, suite, block, pos, text, note FROM placed WHERE suite_ord IN (SELECT suite_ord FROM templates)"""
 
 
 def _scored_battery(name: str, challenger: bool = False) -> str:

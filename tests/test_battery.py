@@ -46,6 +46,23 @@ def test_expansion_order_and_fields(cases):
     assert rows[7]["asserts_specific"] is False and rows[7]["note"] == ""
 
 
+def test_filled_templates_are_numbered_among_all_cases(spark):
+    first = {"suite": "first", "should_flag": True, "cases": [{"text": "w", "note": "identity=none"}]}
+    suites = parse_suites(spark, json.dumps({"suites": [first, *SPEC["suites"]]}))
+    more = spark.createDataFrame([(0, "Z"), (0, "Z"), (None, "N")], "pos long, identity string")
+    extra = spark.createDataFrame(
+        [(0, "kept", 3), (None, "unplaced", 4)], "suite_ord int, suite string, pos long").selectExpr(
+        "*", "'' AS failure_mode", "'' AS regulation_ref", "true AS should_flag", "'doc' AS text", "'doc=1' AS note",
+        "cast(map() AS map<string,int>) AS expected")
+    rows = B.numbered_templates(suites, {"benign_names": more}, extra).orderBy("case_id").collect()
+    assert [(r["case_id"], r["block"], r["text"]) for r in rows] == [
+        (f"RT{i:03d}", b, t) for i, (b, t) in enumerate(
+            [(0, "X a"), (0, "Y a"), (0, "Z a"), (0, "Z a"), (0, "N a"),
+             (1, "b X"), (1, "b Y"), (1, "b Z"), (1, "b Z"), (1, "b N")], 3)]
+    assert rows[0].asDict() == {"case_id": "RT003", "suite": "benign_names", "block": 0, "pos": 0, "text": "X a",
+                                "note": "identity=X"}
+
+
 def test_scoring_is_three_valued(spark, cases):
     scored = B.score_predictions(cases, predict(spark, [(0, 0)] * 5 + [(1, 0), (0, 1), (1, 0)]), LABELS)
     rows = scored.orderBy("case_id").collect()
