@@ -8,7 +8,9 @@ compared as text.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import NOT_WORD
+from .text import NOT_WORD, bare
 
 #: log2 of the bits of the map of known runs; 8 MB, whatever the number of runs.
 MAP_BITS = 26
@@ -76,10 +78,63 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin, end and text number of the words of joined texts."""
-    space, full = np.nonzero(data == 0x20)[0], np.diff(offsets) > 0
-    begin = np.sort(np.concatenate([offsets[:-1][full], space + 1]))
-    return begin, np.sort(np.concatenate([offsets[1:][full], space])), np.searchsorted(offsets, begin, "right") - 1
+    """Begin, end and text number of the words of texts that hold nothing but words and spaces."""
+    inside, fresh = data != 0x20, np.zeros(len(data) + 1, bool)
+    fresh[offsets] = True
+    before, after = fresh[:-1].copy(), fresh[1:].copy()
+    before[1:] |= ~inside[:-1]
+    after[:-1] |= ~inside[1:]
+    begin = np.nonzero(inside & before)[0]
+    return begin, np.nonzero(inside & after)[0] + 1, np.searchsorted(offsets, begin, "right") - 1
+
+
+_ASCII = np.array([c if chr(c).isalnum() or chr(c) == "_" else 0x20 for c in range(0x80)], np.uint8)
+
+
+@lru_cache(maxsize=1 << 16)
+def _spelled(code: int, fold: bool) -> str:
+    """What a character stands for, folded or not; a space for each that belongs to no word."""
+    meant = bare(chr(code)) if fold else chr(code)
+    return "".join(c if c == "_" or unicodedata.category(c)[0] in "LN" else " " for c in meant)
+
+
+def _slots(begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, ... of each range in turn."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begin - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def words_only(texts: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of lower-cased texts with spaces for all that belongs to no word, and where each text begins.
+
+    With ``fold``, accents go first, as :func:`plimsoll.functions.text.fold_accents` drops them. Each kind of
+    character is looked up once, however often it occurs.
+    """
+    data, offsets = text_bytes(texts)
+    if not len(data) or data.max() < 0x80:
+        return _ASCII[data], offsets
+    place = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+    codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+    at = np.nonzero(codes >= 0x80)[0]
+    kinds, kind = np.unique(codes[at], return_inverse=True)
+    spelled = [_spelled(int(c), fold) for c in kinds]
+    sizes = np.array([len(x) for x in spelled])
+    out = _ASCII[np.minimum(codes, 0x7F)].astype("<u4")
+    out[at] = np.array([ord(x[0]) if x else 0x20 for x in spelled], "<u4")[kind]
+    if (sizes != 1).any():
+        times = np.ones(len(codes), np.int64)
+        times[at] = sizes[kind]
+        ends = np.cumsum(times)
+        out, place = np.repeat(out, times), np.concatenate([[0], ends])[place]
+        many = np.nonzero(sizes[kind] > 1)[0]
+        size = sizes[kind[many]]
+        flat = np.array([ord(c) for x in spelled for c in x], "<u4")
+        out[_slots(ends[at[many]] - size, size)] = flat[_slots((np.cumsum(sizes) - sizes)[kind[many]], size)]
+    if out.max(initial=0) < 0x80:
+        return out.astype(np.uint8), place
+    wide = np.cumsum(1 + (out >= 0x80) + (out >= 0x800) + (out >= 0x10000))
+    written = np.frombuffer(out.tobytes().decode("utf-32-le").encode(), np.uint8)
+    return written, np.concatenate([[0], wide])[place]
 
 
 def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

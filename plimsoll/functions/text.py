@@ -11,6 +11,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterable, Sequence
 from functools import lru_cache, reduce
+from itertools import zip_longest
 
 import pandas as pd
 from pyspark.sql import Column
@@ -137,7 +138,7 @@ def grams(kept: Column, longest: int = 2) -> Column:
     return F.concat(*parts)
 
 
-def _bare(text: str) -> str:
+def bare(text: str) -> str:
     """Compatibility decomposition without combining marks."""
     return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
@@ -171,17 +172,17 @@ def _folding_table() -> tuple[str, str, str, str, str]:
         if 0xD800 <= code <= 0xDFFF or _HANGUL <= code <= 0xD7A3:
             continue
         ch = chr(code)
-        bare = _bare(ch)
-        if bare == ch:
+        plain = bare(ch)
+        if plain == ch:
             continue
-        if not bare:
+        if not plain:
             dropped.append(ch)
-        elif len(bare) == 1:
+        elif len(plain) == 1:
             source.append(ch)
-            target.append(bare)
+            target.append(plain)
         else:
             several.append(code)
-            spelled.append(f"\x02{ch}\x01{bare}")
+            spelled.append(f"\x02{ch}\x01{plain}")
     return "".join(source + dropped), "".join(target), _class_of(
         sorted([*several, *range(_HANGUL, 0xD7A4)]), lambda code: 3 if code < 0x250 else 0x800), _class_of(several), "".join(spelled) + "\x02"
 
@@ -223,11 +224,26 @@ def fold_accents(text: Column) -> Column:
     return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(rare.otherwise(text), source, target)).otherwise(text)
 
 
+@lru_cache(maxsize=1)
+def _unfolded() -> str:
+    """A class of the characters that folding leaves alone, or makes letters of a block as new as themselves."""
+    source, target, _, several, _ = _folding_table()
+    known = sorted(ord(c) for c, t in zip_longest(source, target, fillvalue="") if not "\U0001DF00" <= t <= "\U0001DFFF")
+    return "[^" + "".join(x[1:-1] for x in (_class_of(known), several, _HANGUL_CLASS)) + "]"
+
+
+def without_unassigned(text: Column, fold: bool = False) -> Column:
+    """Spaces for code points that the JVM's Unicode has not assigned, which belong to no word here and in the patterns
+    above; with ``fold``, those that folding knows stay."""
+    unknown = rf"[\p{{Cn}}&&{_unfolded()}]" if fold else r"\p{Cn}"
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.regexp_replace(text, unknown, " ")).otherwise(text)
+
+
 def fold_accents_full(text: Column) -> Column:
     """Compatibility decomposition without combining marks, for any script (Arrow batches)."""
 
     def fold(value):
-        return value if value is None or value.isascii() else _bare(value)
+        return value if value is None or value.isascii() else bare(value)
 
     @F.pandas_udf(StringType())
     def folded(values: pd.Series) -> pd.Series:

@@ -37,7 +37,7 @@ def certificate(model: Champion, train: DataFrame, key: str = "id", text: str =
     must be unique. ``n_features`` counts tokens that vocabulary and coefficients both hold.
     """
     labels, ys = model.labels, [f"y_{x}" for x in model.labels]
-    folded = {"text": features.normalised(F.col(text)), "stop_words": model.stop_words, "longest": model.longest}
+    folded = {**features.folded(F.col(text)), "stop_words": model.stop_words, "longest": model.longest}
     vocab = staged(features.vocabulary(terms.statistics(train, **folded), min_df, max_features))
     idf = features.with_idf(vocab, train.agg(F.count(F.lit(1)).alias("n")))
     long = staged(terms.weights(train, idf=idf, key=key, **folded))

@@ -15,6 +15,11 @@ def normalised(text: Column) -> Column:
     return T.fold_accents(F.lower(T.or_empty(text)))
 
 
+def folded(text: Column) -> dict:
+    """What :mod:`terms` is to be told for a text whose accents go."""
+    return {"text": F.lower(T.or_empty(text)), "fold": True}
+
+
 def with_grams(df: DataFrame, text: str = "text", stop_words: Sequence[str] = (), longest: int = 2,
                name: str = "terms") -> DataFrame:
     """Replaces the text by the array ``name``: stop words go first, so a gram may span them.

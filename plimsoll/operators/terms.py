@@ -1,9 +1,9 @@
 """Words and grams counted inside the scan: a text's terms become numbers, and rows only once they are counted.
 
-Texts come as words joined by single spaces (:func:`plimsoll.functions.runs.joined`), already folded.
-A few megabytes of them are taken together: words are numbered by a dictionary, stop words fall out
-by number, grams are numbered from the numbers of their words, and all counting is of integers. Only
-the distinct terms of such a piece are written out as text.
+Texts come lower-cased. A few megabytes of them are taken together: accents are folded a kind of
+character at a time (:func:`plimsoll.functions.runs.words_only`), words are numbered by a dictionary,
+stop words fall out by number, grams are numbered from the numbers of their words, and all counting is
+of integers. Only the distinct terms of such a piece are written out as text.
 """
 
 from __future__ import annotations
@@ -17,11 +17,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import runs as R
+from ..functions import text as T
 
 
-def _numbered(texts: pa.Array, stop_words: Sequence[str], longest: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+def _words(text: Column, fold: bool) -> Column:
+    return T.without_unassigned(text, fold).alias("words")
+
+
+def _numbered(texts: pa.Array, stop_words: Sequence[str], longest: int,
+              fold: bool) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Text number and term number of every term, and the distinct terms; a gram may span a stop word."""
-    data, offsets = R.text_bytes(pc.fill_null(texts, ""))
+    data, offsets = R.words_only(pc.fill_null(texts, ""), fold)
     begin, end, owner = R.word_spans(data, offsets)
     words = R.strings(data, begin, end).dictionary_encode()
     code, known = np.asarray(words.indices).astype(np.int64), words.dictionary
@@ -48,8 +54,9 @@ def _counted(owner: np.ndarray, number: np.ndarray, size: int) -> tuple[np.ndarr
     return pairs // max(size, 1), pairs % max(size, 1), counts
 
 
-def statistics(df: DataFrame, text: Column, stop_words: Sequence[str] = (), longest: int = 1) -> DataFrame:
-    """(token, n uses, df documents) of the words and grams of already folded texts.
+def statistics(df: DataFrame, text: Column, stop_words: Sequence[str] = (), longest: int = 1,
+               fold: bool = False) -> DataFrame:
+    """(token, n uses, df documents) of the words and grams of lower-cased texts, folded here if asked.
 
     Both numbers are added up in the scan, so one row a term and piece of text is shuffled; a token
     that occurs in every text is no hot key.
@@ -57,7 +64,7 @@ def statistics(df: DataFrame, text: Column, stop_words: Sequence[str] = (), long
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in R.pieces(batch):
-                owner, number, terms = _numbered(some.column("words"), stop_words, longest)
+                owner, number, terms = _numbered(some.column("words"), stop_words, longest, fold)
                 _, once, counts = _counted(owner, number, len(terms))
                 uses = np.bincount(once, counts, len(terms)).astype(np.int64)
                 documents = np.bincount(once, minlength=len(terms))
@@ -65,27 +72,28 @@ def statistics(df: DataFrame, text: Column, stop_words: Sequence[str] = (), long
                 yield pa.record_batch([terms.take(pa.array(seen)), pa.array(uses[seen]), pa.array(documents[seen])],
                                       names=["token", "n", "df"])
 
-    parts = df.select(R.joined(text).alias("words")).mapInArrow(work, "token string, n long, df long")
+    parts = df.select(_words(text, fold)).mapInArrow(work, "token string, n long, df long")
     return parts.groupBy("token").agg(F.sum("n").alias("n"), F.sum("df").alias("df"))
 
 
-def frequencies(df: DataFrame, text: Column, key: str = "id", stop_words: Sequence[str] = (), longest: int = 1) -> DataFrame:
+def frequencies(df: DataFrame, text: Column, key: str = "id", stop_words: Sequence[str] = (), longest: int = 1,
+                fold: bool = False) -> DataFrame:
     """(key, token, tf): each text's own counts, found where the text is read; no shuffle."""
     kind = dict(df.dtypes)[key]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in R.pieces(batch):
-                owner, number, terms = _numbered(some.column("words"), stop_words, longest)
+                owner, number, terms = _numbered(some.column("words"), stop_words, longest, fold)
                 owner, number, counts = _counted(owner, number, len(terms))
                 yield pa.record_batch([some.column(key).take(pa.array(owner)), terms.take(pa.array(number)),
                                        pa.array(counts)], names=[key, "token", "tf"])
 
-    return df.select(key, R.joined(text).alias("words")).mapInArrow(work, f"`{key}` {kind}, token string, tf long")
+    return df.select(key, _words(text, fold)).mapInArrow(work, f"`{key}` {kind}, token string, tf long")
 
 
 def weights(df: DataFrame, text: Column, idf: DataFrame, key: str = "id", stop_words: Sequence[str] = (),
-            longest: int = 1) -> DataFrame:
+            longest: int = 1, fold: bool = False) -> DataFrame:
     """(key, token, weight): (1 + ln tf) * idf of the vocabulary's tokens, at unit length per text.
 
     ``idf`` is a vocabulary with its idf; it has a declared largest size and is sent to the tasks, so
@@ -100,7 +108,7 @@ def weights(df: DataFrame, text: Column, idf: DataFrame, key: str = "id", stop_w
         tokens, factor = shared.value
         for batch in batches:
             for some in R.pieces(batch):
-                owner, number, terms = _numbered(some.column("words"), stop_words, longest)
+                owner, number, terms = _numbered(some.column("words"), stop_words, longest, fold)
                 place = pc.fill_null(pc.index_in(terms, value_set=tokens), -1).to_numpy(zero_copy_only=False)
                 listed = place[number] >= 0
                 owner, number, counts = _counted(owner[listed], number[listed], len(terms))
@@ -109,4 +117,4 @@ def weights(df: DataFrame, text: Column, idf: DataFrame, key: str = "id", stop_w
                 yield pa.record_batch([some.column(key).take(pa.array(owner)), terms.take(pa.array(number)),
                                        pa.array(raw / norm[owner])], names=[key, "token", "weight"])
 
-    return df.select(key, R.joined(text).alias("words")).mapInArrow(work, f"`{key}` {kind}, token string, weight double")
+    return df.select(key, _words(text, fold)).mapInArrow(work, f"`{key}` {kind}, token string, weight double")

@@ -563,7 +563,7 @@ def fold_accents(spark, d):
 
 
 def _folded() -> dict:
-    return {"text": features.normalised(F.col("text")), "stop_words": X.STOP_WORDS, "longest": 2}
+    return {**features.folded(F.col("text")), "stop_words": X.STOP_WORDS, "longest": 2}
 
 
 @query

@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from plimsoll.functions import runs as R
+from plimsoll.functions import text as T
 from plimsoll.operators import certificate as K
 from plimsoll.operators import champion as C
 from plimsoll.operators import features, sampling, terms
@@ -201,3 +202,16 @@ def test_short_stratum_is_filled(spark):
     df = spark.createDataFrame([(i, int(i < 2)) for i in range(50)], "id long, y_t int")
     got = sampling.balanced_sample(df, ["t"], 20).collect()
     assert len(got) == 20 and sum(r["flagged"] for r in got) == 2
+
+
+def test_folding_in_the_scan_agrees_with_the_jvm_on_every_character(spark):
+    codes = [c for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    texts = ["".join(f"x{chr(c)}y " for c in codes[i:i + 400]) for i in range(0, len(codes), 400)]
+    texts += [None, "", " ", "Ünïcode ﬃ½ 한글 E\u0301tude … ſtraße Σας", "plain words_9 only"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(4)
+    for normal, how in [(features.normalised(F.col("text")), features.folded(F.col("text"))),
+                        (F.lower(F.coalesce("text", F.lit(""))), {"text": F.lower("text")})]:
+        words = df.select("id", F.explode(T.tokens(normal)).alias("token"))
+        want = words.groupBy("token").agg(F.count("id").alias("n"), F.countDistinct("id").alias("df"))
+        got = terms.statistics(df, **how)
+        assert got.exceptAll(want).take(3) == want.exceptAll(got).take(3) == []
