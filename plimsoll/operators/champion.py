@@ -11,13 +11,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, Normalizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
@@ -27,27 +25,10 @@ from ..sources.reports import absent
 from ..sources.stage import staged
 from . import terms
 from .battery import require_pass
-from .features import normalised, vocabulary, with_grams
+from .features import folded, vocabulary
 from .sampling import with_split
 
 
-def _reweighting(idf: np.ndarray):
-    """Arrow-batched rewrite of sparse counts to (1 + ln tf) * idf; Spark's own IDF stage has
-    neither the sublinear count nor the +1."""
-
-    @F.pandas_udf(VectorUDT())
-    def reweight(counts: pd.DataFrame) -> pd.DataFrame:
-        counts = counts.copy()
-        sizes = counts["values"].map(len).to_numpy()
-        if sizes.sum():
-            index = np.concatenate(counts["indices"].to_numpy()).astype(np.int64)
-            weighed = (1.0 + np.log(np.concatenate(counts["values"].to_numpy()))) * idf[index]
-            counts["values"] = np.split(weighed, np.cumsum(sizes)[:-1])
-        return counts
-
-    return reweight
-
-
 @dataclass
 class Champion:
     labels: list[str]
@@ -63,10 +44,10 @@ class Champion:
 
     def features(self, df: DataFrame, text: str = "text") -> DataFrame:
         """Replaces the text by the unit-length ``features`` vector; a map-only step."""
-        rows = with_grams(df, text, self.stop_words, self.longest, "__grams")
-        rows = self.counter.transform(rows).drop("__grams")
-        rows = rows.withColumn("__raw", _reweighting(self.idf)("__counts")).drop("__counts")
-        return Normalizer(inputCol="__raw", outputCol="features", p=2.0).transform(rows).drop("__raw")
+        tokens = self.tokens
+        idf = df.sparkSession.createDataFrame(pa.table({"place": range(len(tokens)), "token": tokens, "idf": self.idf}))
+        found = terms.vectors(idf=idf, stop_words=self.stop_words, longest=self.longest, **folded(F.col(text)))
+        return df.withColumn("features", found).drop(text)
 
     def predict(self, df: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
         """Adds ``score_<label>`` and ``pred_<label>`` in place of the text."""
@@ -120,7 +101,7 @@ def fit_champion(train: DataFrame, labels: Sequence[str], stop_words: Sequence[s
     regParam = 1 / (c * total weight). The intercept is not penalised.
     """
     stop_words = list(stop_words)
-    stats = terms.statistics(train, normalised(F.col(text)), stop_words, longest)
+    stats = terms.statistics(train, stop_words=stop_words, longest=longest, **folded(F.col(text)))
     counts = train.agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"y_{x}").alias(x) for x in labels]).first()
     vocab = staged(vocabulary(stats, min_df, max_features))
     frequencies = {r["token"]: r["df"] for r in vocab.select("token", "df").toLocalIterator()}

@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,3 +119,35 @@ def weights(df: DataFrame, text: Column, idf: DataFrame, key: str = "id", stop_w
                                        pa.array(raw / norm[owner])], names=[key, "token", "weight"])
 
     return df.select(key, _words(text, fold)).mapInArrow(work, f"`{key}` {kind}, token string, weight double")
+
+
+def vectors(text: Column, idf: DataFrame, stop_words: Sequence[str] = (), longest: int = 1, fold: bool = False) -> Column:
+    """The weights of :func:`weights` as one sparse vector a text; ``idf`` has the columns place, token and idf.
+
+    Worked out in the same pieces, whatever the size of a batch, so a worker holds no more than one of them.
+    """
+    rows = idf.select("place", "token", "idf").toArrow().sort_by("place")
+    size = rows.num_rows
+    shared = idf.sparkSession.sparkContext.broadcast((rows.column("token").combine_chunks(), rows.column("idf").to_numpy()))
+
+    def of_piece(texts: pa.Array) -> pa.Array:
+        tokens, factor = shared.value
+        owner, number, terms = _numbered(texts, stop_words, longest, fold)
+        place = pc.fill_null(pc.index_in(terms, value_set=tokens), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        listed = place[number] >= 0
+        owner, place, counts = _counted(owner[listed], place[number[listed]], size)
+        raw = (1.0 + np.log(counts)) * factor[place]
+        values = raw / np.sqrt(np.bincount(owner, raw * raw, len(texts)))[owner]
+        ends = pa.array(np.searchsorted(owner, np.arange(len(texts) + 1)), pa.int32())
+        return pa.StructArray.from_arrays([
+            pa.array(np.zeros(len(texts)), pa.int8()), pa.array(np.full(len(texts), size), pa.int32()),
+            pa.ListArray.from_arrays(ends, pa.array(place, pa.int32())), pa.ListArray.from_arrays(ends, pa.array(values))],
+            names=["type", "size", "indices", "values"])
+
+    @F.arrow_udf(VectorUDT())
+    def work(texts: pa.Array) -> pa.Array:
+        batch = pa.record_batch([texts], names=["words"])
+        found = [of_piece(some.column("words")) for some in R.pieces(batch)]
+        return pa.concat_arrays(found) if found else of_piece(texts)
+
+    return work(_words(text, fold))

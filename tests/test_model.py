@@ -215,3 +215,14 @@ def test_folding_in_the_scan_agrees_with_the_jvm_on_every_character(spark):
         want = words.groupBy("token").agg(F.count("id").alias("n"), F.countDistinct("id").alias("df"))
         got = terms.statistics(df, **how)
         assert got.exceptAll(want).take(3) == want.exceptAll(got).take(3) == []
+
+
+def test_features_of_a_batch_hold_one_piece_at_a_time(spark):
+    docs = spark.createDataFrame([(i, "Çafé au lait " * 70_000 if i < 3 else None if i == 3 else "lait lait thé") for i in range(6)],
+                                 "id int, text string").coalesce(1)
+    counter = CountVectorizerModel.from_vocabulary(["lait", "cafe au", "the"], inputCol="__grams", outputCol="__counts")
+    rows = C.Champion([], counter, np.ones(3), {}, []).features(docs).orderBy("id").collect()
+    once, twice = 1 + np.log(70_000), 1 + np.log(2)
+    for row in rows:
+        want = [once, once, 0] if row["id"] < 3 else [0, 0, 0] if row["id"] == 3 else [twice, 0, 1]
+        assert np.allclose(row["features"].toArray(), np.array(want) / max(np.linalg.norm(want), 1))
