@@ -22,7 +22,7 @@ from .text import NOT_WORD, bare
 
 #: log2 of the bits of the map of known runs; 8 MB, whatever the number of runs.
 MAP_BITS = 26
-#: Bytes of text that are hashed together.
+#: Bytes of text that are counted together; a quarter of it is hashed together, as a byte takes some 80 bytes of hashes.
 TOGETHER = 1 << 22
 _BUCKET = 1 << 15
 _WRAP = 1 << 64
@@ -137,13 +137,13 @@ def words_only(texts: pa.Array, fold: bool = False) -> tuple[np.ndarray, np.ndar
     return written, np.concatenate([[0], wide])[place]
 
 
-def pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of about TOGETHER bytes."""
+def pieces(batch: pa.RecordBatch, parts: int = 1) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of about TOGETHER bytes, or that by ``parts``."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("words")), 0).to_numpy(zero_copy_only=False))
     row = 0
     while row < batch.num_rows:
         before = ends[row - 1] if row else 0
-        stop = max(row + 1, int(np.searchsorted(ends, before + TOGETHER, "right")))
+        stop = max(row + 1, int(np.searchsorted(ends, before + TOGETHER // parts, "right")))
         yield batch.slice(row, stop - row)
         row = stop
 
@@ -160,7 +160,7 @@ def runs(df: DataFrame, key: str, widths: Sequence[int], known: np.ndarray | Non
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = shared.value if shared is not None else None
         for batch in batches:
-            for some in pieces(batch):
+            for some in pieces(batch, 4):
                 hashed = _Hashed(pc.fill_null(some.column("words"), ""))
                 for width in widths:
                     text, begin, end, hashes = hashed.spans(width)
@@ -168,7 +168,7 @@ def runs(df: DataFrame, key: str, widths: Sequence[int], known: np.ndarray | Non
                         place = (hashes >> np.uint64(64 - MAP_BITS)).astype(np.int64)
                         kept = (seen[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
                         text, begin, end = text[kept], begin[kept], end[kept]
-                    stops = np.searchsorted(np.cumsum(end - begin), np.arange(TOGETHER, (end - begin).sum() + TOGETHER, TOGETHER))
+                    stops = np.searchsorted(np.cumsum(end - begin), np.arange(TOGETHER // 4, (end - begin).sum() + TOGETHER // 4, TOGETHER // 4))
                     for low, high in zip([0, *stops[:-1] + 1], stops + 1):
                         listed = strings(hashed.data, begin[low:high], end[low:high]).dictionary_encode()
                         pairs = np.unique(text[low:high] * (len(listed.dictionary) + 1) + np.asarray(listed.indices))
