@@ -1,4 +1,4 @@
-"""What bag-of-words features need around the counting in :mod:`terms`: folding, grams, vocabulary and weights."""
+"""What bag-of-words features need around the counting in :mod:`terms`: folding, vocabulary and weights."""
 
 from __future__ import annotations
 
@@ -20,16 +20,6 @@ def folded(text: Column) -> dict:
     return {"text": F.lower(T.or_empty(text)), "fold": True}
 
 
-def with_grams(df: DataFrame, text: str = "text", stop_words: Sequence[str] = (), longest: int = 2,
-               name: str = "terms") -> DataFrame:
-    """Replaces the text by the array ``name``: stop words go first, so a gram may span them.
-
-    The word array is a column of its own because the gram expressions read it several times.
-    """
-    words = df.withColumn("__words", T.without(T.tokens(normalised(F.col(text))), stop_words)).drop(text)
-    return words.withColumn(name, T.grams(F.col("__words"), longest)).drop("__words")
-
-
 def vocabulary(statistics: DataFrame, min_df: int = 3, max_features: int = 30_000) -> DataFrame:
     """Tokens in at least ``min_df`` texts, cut to the most used; ties go to the smaller token."""
     return statistics.where(F.col("df") >= min_df).orderBy(F.desc("n"), "token").limit(max_features)
