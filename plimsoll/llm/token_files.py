@@ -15,9 +15,11 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -29,31 +31,45 @@ from plimsoll.sources.stage import shared_folder, staged
 
 END = 0
 BLOCK_TOKENS = 1 << 19
-#: Pieces, and pre-tokens, whose ids a worker remembers: about 170 and 220 bytes of each. A worker keeps them
-#: for its next task, whatever that is, so callers with other work on the same executors may set fewer.
+#: Pieces, and pre-tokens of odd pieces, whose ids a worker remembers: about 170 and 220 bytes of each. A worker
+#: keeps them for its next task, whatever that is, so callers with other work on the same executors may set fewer.
 REMEMBERED = 1_400_000
 PARTS = 700_000
 #: Pieces that are tokenised in one call.
 TOGETHER = 2000
+#: Text whose pieces are looked up together; the more, the fewer look-ups of the same piece.
+GROUP_BYTES = 1 << 22
 BLOCK_SCHEMA = ("shard int, block int, doc_ids binary, nulls binary, lengths binary, states binary, reads binary, "
                 "words binary, crc long")
+#: Kinds of bytes; 0 is controls and parts of wider characters.
+LETTER, DIGIT, MARK, APOSTROPHE, SPACE, WHITE = range(1, 7)
+BYTES = np.arange(256)
+KINDS = np.zeros(256, np.uint8)
+KINDS[0x21:0x7F] = MARK
+for _kind, _chars in ((DIGIT, b"0123456789"), (APOSTROPHE, b"'"), (SPACE, b" "), (WHITE, b"\t\n\x0b\x0c\r"),
+                      (LETTER, b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")):
+    KINDS[list(_chars)] = _kind
+#: Kinds left and right of a cut, as 8 * left + right: no pre-token holds both, but "'s" and the like.
+MEET = np.zeros((8, 8), bool)
+MEET[LETTER:SPACE, LETTER:] = ~np.eye(8, dtype=bool)[LETTER:SPACE, LETTER:]
+MEET[MARK, APOSTROPHE] = MEET[APOSTROPHE, MARK] = MEET[APOSTROPHE, LETTER] = MEET[:, WHITE + 1] = False
+MEET = MEET.ravel()
+#: Bytes behind a space that surely begin no white space: the first bytes of wider white space are left out.
+BEHIND = (BYTES > 0x20) & ~np.isin(BYTES, [0xC2, 0xE1, 0xE2, 0xE3])
 _KEPT: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """A byte-level tokenizer that remembers the ids of pieces of text and of pre-tokens.
-
-    A text may be cut before a space with other characters on both sides: pre-tokens start there
-    anyway and do not depend on what is left of it. Cuts are found on the bytes of many texts at once,
-    the pieces between them are numbered by a dictionary, and only new distinct ones are looked at one
-    by one. The ids of all known pieces stand in one array, from which those of the texts are gathered.
-    A piece of Latin characters is in turn a row of pre-tokens; other pieces go to the tokenizer whole.
-    New pre-tokens are tokenised together and told apart by length.
+    """A byte-level tokenizer that remembers the ids of pieces of text.
+
+    A text may be cut wherever a pre-token begins that doesn't depend on what is left of it. Such places
+    are found on the bytes of many texts at once, so that nearly all pieces are single pre-tokens; they
+    are numbered by a dictionary, and only new distinct ones are looked at. Those of one kind of character
+    are tokenised together, told apart by length, and their ids are kept in one array, from which those
+    of the texts are gathered. Odd Latin pieces are in turn rows of pre-tokens; others go to the tokenizer
+    whole.
     """
 
-    #: Bytes that no space is cut next to: white space and controls, and the first bytes of wider white space.
-    BLANK = np.arange(256) <= 0x20
-    WIDE = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
     LATIN = re.compile(r"[\t\n\r -~\u00c0-\u024f]*")
     #: The pre-tokens of byte-level tokenizers; a fixed value.
     PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -68,11 +84,11 @@ class Encoder:
         self.length = np.zeros(size, np.int64)
         for token, number in self.tokenizer.get_vocab().items():
             self.length[number] = len(token)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts: dict[str, bytes] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.pieces: dict[str, bytes] = {}  # learnt since the last text
         self.number: dict[str, int] = {}
         self.store, self.used = np.empty(1 << 20, self.kind), 0
         self.ends = np.zeros(1 << 16, np.int64)  # of each known piece in the store, after the one before
@@ -80,71 +96,98 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def teach(self, parts: list[str], before: str = "") -> None:
-        """Learn pre-tokens that can stand after each other, with `before` (one byte and token) ahead of each."""
-        width = int(self.kind[-1])
+    def together(self, parts: list[str], lengths: np.ndarray, before: str = "") -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pre-tokens of so many bytes that can stand after each other, with `before` (one byte and
+        token, or nothing) ahead of each, and how many ids each has."""
+        found, sizes = [np.zeros(0, self.kind)], [np.zeros(0, np.int64)]
         for at in range(0, len(parts), TOGETHER):
-            some = parts[at:at + TOGETHER]
-            ids = self.ids("".join([before + p for p in some]))
-            ends = np.cumsum(self.length[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(p.encode()) + len(before) for p in some])) + 1
-            held, low = ids.tobytes(), 0
-            for part, cut in zip(some, cuts.tolist()):
-                self.parts[part] = held[(low + len(before)) * width:cut * width]
-                low = cut
-
-    def learn(self, pieces: list[str]) -> None:
-        joined, parts = [], self.parts
-        single, new = [], set()
-        for piece in pieces:
-            if not (piece.isascii() or self.LATIN.fullmatch(piece)) or "<|" in piece:
-                self.pieces[piece] = self.ids(piece).tobytes()
-            elif piece[1:].isalpha() and piece[0] == " ":
-                single.append(piece)
-            else:
-                # a word with one mark behind it is the common case
-                word = piece[:-1]
-                inner = ([word, piece[-1]] if piece[-1:] in (".", ",") and word[1:].isalpha() and word[0] == " "
-                         else self.PRE.findall(piece))
-                joined.append((piece, inner))
-                new.update(inner)
-        new.update(single)
-        new = [q for q in new if q not in parts]
+            ids = self.ids(before + before.join(parts[at:at + TOGETHER]))
+            upto = np.cumsum(lengths[at:at + TOGETHER] + len(before))
+            stops = np.searchsorted(np.cumsum(self.length[ids]), upto) + 1
+            starts = np.append(0, stops[:-1])
+            found.append(np.delete(ids, starts) if before else ids)
+            sizes.append(stops - starts - len(before))
+        return np.concatenate(found), np.concatenate(sizes)
+
+    def odd(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece that is not known to be one pre-token."""
+        parts = self.parts
+        rows = [None if not self.LATIN.fullmatch(p) or any(s in p for s in self.special) else self.PRE.findall(p)
+                for p in pieces]
+        new = [q for q in {q for row in rows if row for q in row} if q not in parts]
         for part in [q for q in new if not q.strip()]:
             parts[part] = self.ids(part).tobytes()
-        self.teach([q for q in new if q[0] == " " and q not in parts])
-        self.teach([q for q in new if q[0] != " " and q not in parts], "\n")
-        for piece in single:
-            self.pieces[piece] = parts[piece]
-        for piece, inner in joined:
-            self.pieces[piece] = b"".join([parts[q] for q in inner])
+        for some, before in (([q for q in new if q[0] == " " and q not in parts], ""),
+                             ([q for q in new if q[0] != " " and q not in parts], "\n")):
+            ids, sizes = self.together(some, np.array([len(q.encode()) for q in some], np.int64), before)
+            parts.update(zip(some, [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])]))
+        return [self.ids(p).tobytes() if row is None else b"".join([parts[q] for q in row])
+                for p, row in zip(pieces, rows)]
+
+    def kinds(self, data: np.ndarray) -> np.ndarray:
+        """The kind of each byte; both bytes of a letter from U+00C0 to U+023F are one."""
+        out = KINDS[data]
+        at = np.nonzero((data >= 0xC3) & (data <= 0xC8))[0]
+        at = at[(data[at] != 0xC3) | ((data[at + 1] & 0xDF) != 0x97)]  # times and division signs
+        out[at] = out[at + 1] = LETTER
+        return out
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Where pieces begin: at each text and at single spaces between characters that are no white space."""
-        at = np.nonzero(data[1:-1] == 0x20)[0] + 1
-        before, behind = data[at - 1], data[at + 1]
-        wide = (before >= 0x80) & (self.WIDE[data[at - 2]] | (self.WIDE[data[at - 3]] & (at > 2)))
-        at = at[~(self.BLANK[before] | self.BLANK[behind] | self.WIDE[behind] | wide)]
-        edge = np.zeros(len(data) + 2, bool)
+        """Where pieces begin: at each text, ahead of white space, behind a line feed alone, and where letters, digits
+        and marks meet."""
+        kinds, edge, cut = self.kinds(data), np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
         edge[offsets] = True
-        at = at[~(edge[at] | edge[at + 1])]
-        return np.sort(np.concatenate([offsets[:-1][np.diff(offsets) > 0], at]), kind="stable")
-
-    def remember(self, new: list[str]) -> None:
-        """Number the pieces and put their ids behind those of the known ones."""
-        self.learn(new)
-        ids = np.frombuffer(b"".join([self.pieces[p] for p in new]), self.kind)
+        cut[1:-1] = MEET[kinds[:-1] * 8 + kinds[1:]]
+        # the last space before a character that is none goes with it, whatever is left of it
+        at = np.nonzero((kinds[:-1] == SPACE) & ~cut[:-2])[0]
+        cut[at[BEHIND[data[at + 1]] & ~edge[at + 1]]] = True
+        # white space alone is a pre-token, a longer run depends on what is behind it
+        at = np.nonzero(kinds[1:-1] == WHITE)[0] + 1
+        cut[at[MEET[kinds[at - 1] * 8 + WHITE] & MEET[kinds[at + 1] * 8 + WHITE]] + 1] = True
+        held = data.tobytes()
+        for special in map(str.encode, self.special):
+            at = held.find(special)
+            while at >= 0:  # a run of white space ends here as it does at the end of a text
+                cut[max(at - 1, 0):at] = cut[at + 1:at + len(special)] = False
+                at = held.find(special, at + 1)
+        cut |= edge
+        return np.nonzero(cut[:-1])[0]
+
+    def plain(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pieces are characters of one kind behind a space, and which without one."""
+        kinds, starts = self.kinds(data), offsets[:-1]
+        kinds[kinds == APOSTROPHE] = MARK
+        spaced = kinds[starts] == SPACE
+        first = starts + spaced
+        breaks = np.append(False, kinds[1:] != kinds[:-1])
+        breaks[starts] = breaks[first[first < len(data)]] = False
+        breaks |= (kinds == 0) | (kinds > MARK)
+        breaks[starts[spaced]] = False
+        sums = np.append(0, np.cumsum(breaks))
+        one = (sums[offsets[1:]] == sums[starts]) & (offsets[1:] > first)
+        return one & spaced, one & ~spaced
+
+    def remember(self, pieces: pa.Array, names: list[str], new: np.ndarray) -> np.ndarray:
+        """Put the ids of the new ones of the pieces behind those of the known ones; the new ones as they are numbered."""
+        spaced, bare = [chosen[new] for chosen in self.plain(*text_bytes(pieces))]
+        order = np.concatenate([new[spaced], new[bare], new[~(spaced | bare)]])
+        parts, lengths = [names[i] for i in order.tolist()], pc.binary_length(pieces).to_numpy()[order]
+        a = int(spaced.sum())
+        b = a + int(bare.sum())
+        odd = self.odd(parts[b:])
+        found = [self.together(parts[:a], lengths[:a]), self.together(parts[a:b], lengths[a:b], "\n"),
+                 (np.frombuffer(b"".join(odd), self.kind), np.array([len(o) for o in odd], np.int64) // int(self.kind[-1]))]
+        ids, sizes = [np.concatenate(x) for x in zip(*found)]
         known, total = len(self.number), len(self.number) + len(new)
         if self.used + len(ids) > len(self.store):
             self.store = np.concatenate([self.store, np.empty(self.used + len(ids), self.kind)])
         if total >= len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros(total, np.int64)])
         self.store[self.used:self.used + len(ids)] = ids
-        sizes = np.fromiter((len(self.pieces[p]) for p in new), np.int64, len(new)) // int(self.kind[-1])
         self.ends[known + 1:total + 1] = self.used + np.cumsum(sizes)
         self.used += len(ids)
-        self.number.update(zip(new, range(known, total)))
-        self.pieces.clear()
+        self.number.update(zip(parts, range(known, total)))
+        return order
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids end."""
@@ -159,10 +202,12 @@ class Encoder:
         places = np.append(begins, len(data)).astype(np.int32)
         pieces = pa.StringArray.from_buffers(len(begins), pa.py_buffer(places), pa.py_buffer(data)).dictionary_encode()
         names = pieces.dictionary.to_pylist()
-        new = [p for p in names if p not in self.number]
-        if new:
-            self.remember(new)
-        number = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))[np.asarray(pieces.indices)]
+        number = np.fromiter(map(self.number.get, names, repeat(-1)), np.int64, len(names))
+        new = np.nonzero(number < 0)[0]
+        if len(new):
+            known = len(self.number)
+            number[self.remember(pieces.dictionary, names, new)] = np.arange(known, known + len(new))
+        number = number[np.asarray(pieces.indices)]
         first = self.ends[number]
         sizes = self.ends[number + 1] - first
         ends = np.cumsum(sizes)
@@ -186,7 +231,7 @@ def tokenised(docs: DataFrame, path: str, remembered: int | None = None) -> Data
         encoder = _encoder(path, remembered)
         width = int(encoder.kind[-1])
         for batch in batches:
-            for group in groups(batch):
+            for group in groups(batch, most=GROUP_BYTES):
                 ids, ends = encoder.encoded(group.column("text"))
                 ends = ends + np.arange(1, len(ends) + 1)
                 held = np.empty(len(ids) + len(ends), encoder.kind)

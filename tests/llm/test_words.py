@@ -247,3 +247,21 @@ def test_token_files_equal_the_tokenizer(spark, docs, empty, tokenizer, monkeypa
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
         want.append((doc_id, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
     assert sorted(((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_token_files_learn_each_word_once(tokenizer):
+    """Marks and line feeds beside a word make no new pieces to tokenise; white space and special strings stay whole."""
+    words = ["cat", "Mat", "über", "ſo", "x1", "don't", "×y", "Œuvre", "нет"]
+    texts = [a + w + b + v for w in words for v in words for a in ("", " ", "\n") for b in (". ", ",\n", "$$$ ", "!", "/", " '")]
+    encoder = token_files.Encoder(registry.tokenizer_path())
+
+    def same(rows):
+        ids, ends = encoder.encoded(pa.array(rows, pa.string()))
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in rows]
+
+    same([t for t in texts if t.isascii()])
+    assert len(encoder.number) < 60  # 184 when they were cut at spaces alone
+    same(texts)
+    end = "<|endoftext|>"
+    same([f"{a}{gap}{b}" for gap in (" ", "  ", "\n", "\n ", " \n", "\t", "\n\n", "\r\n", "　 ", "\xa0 ", "\x1c", "\x85", "")
+          for a in ("", "a", "é", "1", "'", ".", end, "ª", "\x00") for b in ("", "b", "é", "2", "'s", ".", end, "́", "|>")])
