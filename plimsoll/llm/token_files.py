@@ -15,16 +15,16 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from plimsoll.llm.prefix_tokens import _byte_alphabet
 from plimsoll.llm.rans import LANES, Table, decode, encode, scaled
 from plimsoll.llm.textbytes import groups, text_bytes
 from plimsoll.sources.stage import shared_folder, staged
@@ -35,8 +35,6 @@ BLOCK_TOKENS = 1 << 19
 #: keeps them for its next task, whatever that is, so callers with other work on the same executors may set fewer.
 REMEMBERED = 1_400_000
 PARTS = 700_000
-#: Pieces that are tokenised in one call.
-TOGETHER = 2000
 #: Text whose pieces are looked up together; the more, the fewer look-ups of the same piece.
 GROUP_BYTES = 1 << 22
 BLOCK_SCHEMA = ("shard int, block int, doc_ids binary, nulls binary, lengths binary, states binary, reads binary, "
@@ -56,18 +54,24 @@ MEET[MARK, APOSTROPHE] = MEET[APOSTROPHE, MARK] = MEET[APOSTROPHE, LETTER] = MEE
 MEET = MEET.ravel()
 #: Bytes behind a space that surely begin no white space: the first bytes of wider white space are left out.
 BEHIND = (BYTES > 0x20) & ~np.isin(BYTES, [0xC2, 0xE1, 0xE2, 0xE3])
+#: The character that stands for each byte in the vocabulary of a byte-level tokenizer.
+SPELT = np.array([ord(c) for c, _ in sorted(_byte_alphabet().items(), key=lambda x: x[1])], "<u2")
 _KEPT: dict[str, Encoder] = {}
 
 
+def spelt(data: np.ndarray) -> str:
+    return SPELT[data].tobytes().decode("utf-16-le")
+
+
 class Encoder:
     """A byte-level tokenizer that remembers the ids of pieces of text.
 
     A text may be cut wherever a pre-token begins that doesn't depend on what is left of it. Such places
     are found on the bytes of many texts at once, so that nearly all pieces are single pre-tokens; they
     are numbered by a dictionary, and only new distinct ones are looked at. Those of one kind of character
-    are tokenised together, told apart by length, and their ids are kept in one array, from which those
-    of the texts are gathered. Odd Latin pieces are in turn rows of pre-tokens; others go to the tokenizer
-    whole.
+    go to the tokenizer's model as they are, odd Latin pieces as rows of pre-tokens; others go to the
+    tokenizer whole. The ids of all known pieces stand in one array, from which those of the texts are
+    gathered.
     """
 
     LATIN = re.compile(r"[\t\n\r -~\u00c0-\u024f]*")
@@ -79,11 +83,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        size = self.tokenizer.get_vocab_size()
-        self.kind = "<u2" if size <= 1 << 16 else "<u4"
-        self.length = np.zeros(size, np.int64)
-        for token, number in self.tokenizer.get_vocab().items():
-            self.length[number] = len(token)
+        self.size = self.tokenizer.get_vocab_size()
+        self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.parts: dict[str, bytes] = {}
         self._forget()
@@ -96,18 +97,12 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def together(self, parts: list[str], lengths: np.ndarray, before: str = "") -> tuple[np.ndarray, np.ndarray]:
-        """The ids of pre-tokens of so many bytes that can stand after each other, with `before` (one byte and
-        token, or nothing) ahead of each, and how many ids each has."""
-        found, sizes = [np.zeros(0, self.kind)], [np.zeros(0, np.int64)]
-        for at in range(0, len(parts), TOGETHER):
-            ids = self.ids(before + before.join(parts[at:at + TOGETHER]))
-            upto = np.cumsum(lengths[at:at + TOGETHER] + len(before))
-            stops = np.searchsorted(np.cumsum(self.length[ids]), upto) + 1
-            starts = np.append(0, stops[:-1])
-            found.append(np.delete(ids, starts) if before else ids)
-            sizes.append(stops - starts - len(before))
-        return np.concatenate(found), np.concatenate(sizes)
+    def words(self, forms: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pre-tokens, spelt in the byte alphabet, and how many each has."""
+        model = self.tokenizer.model
+        rows = [[token.id for token in model.tokenize(form)] for form in forms]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        return np.fromiter(chain.from_iterable(rows), self.kind, int(sizes.sum())), sizes
 
     def odd(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece that is not known to be one pre-token."""
@@ -115,12 +110,8 @@ class Encoder:
         rows = [None if not self.LATIN.fullmatch(p) or any(s in p for s in self.special) else self.PRE.findall(p)
                 for p in pieces]
         new = [q for q in {q for row in rows if row for q in row} if q not in parts]
-        for part in [q for q in new if not q.strip()]:
-            parts[part] = self.ids(part).tobytes()
-        for some, before in (([q for q in new if q[0] == " " and q not in parts], ""),
-                             ([q for q in new if q[0] != " " and q not in parts], "\n")):
-            ids, sizes = self.together(some, np.array([len(q.encode()) for q in some], np.int64), before)
-            parts.update(zip(some, [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])]))
+        ids, sizes = self.words([spelt(np.frombuffer(q.encode(), np.uint8)) for q in new])
+        parts.update(zip(new, [x.tobytes() for x in np.split(ids, np.cumsum(sizes)[:-1])]))
         return [self.ids(p).tobytes() if row is None else b"".join([parts[q] for q in row])
                 for p, row in zip(pieces, rows)]
 
@@ -153,8 +144,8 @@ class Encoder:
         cut |= edge
         return np.nonzero(cut[:-1])[0]
 
-    def plain(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which pieces are characters of one kind behind a space, and which without one."""
+    def plain(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which pieces are characters of one kind, with or without a space ahead: these are pre-tokens."""
         kinds, starts = self.kinds(data), offsets[:-1]
         kinds[kinds == APOSTROPHE] = MARK
         spaced = kinds[starts] == SPACE
@@ -164,20 +155,19 @@ class Encoder:
         breaks |= (kinds == 0) | (kinds > MARK)
         breaks[starts[spaced]] = False
         sums = np.append(0, np.cumsum(breaks))
-        one = (sums[offsets[1:]] == sums[starts]) & (offsets[1:] > first)
-        return one & spaced, one & ~spaced
+        return (sums[offsets[1:]] == sums[starts]) & (offsets[1:] > first)
 
-    def remember(self, pieces: pa.Array, names: list[str], new: np.ndarray) -> np.ndarray:
+    def remember(self, pieces: pa.Array, names: np.ndarray, new: np.ndarray) -> np.ndarray:
         """Put the ids of the new ones of the pieces behind those of the known ones; the new ones as they are numbered."""
-        spaced, bare = [chosen[new] for chosen in self.plain(*text_bytes(pieces))]
-        order = np.concatenate([new[spaced], new[bare], new[~(spaced | bare)]])
-        parts, lengths = [names[i] for i in order.tolist()], pc.binary_length(pieces).to_numpy()[order]
-        a = int(spaced.sum())
-        b = a + int(bare.sum())
-        odd = self.odd(parts[b:])
-        found = [self.together(parts[:a], lengths[:a]), self.together(parts[a:b], lengths[a:b], "\n"),
-                 (np.frombuffer(b"".join(odd), self.kind), np.array([len(o) for o in odd], np.int64) // int(self.kind[-1]))]
+        data, offsets = text_bytes(pieces)
+        plain = self.plain(data, offsets)[new]
+        easy, odd = new[plain], new[~plain]
+        form = spelt(data)
+        held = self.odd(names[odd].tolist())
+        found = [self.words([form[a:b] for a, b in zip(offsets[easy].tolist(), offsets[easy + 1].tolist())]),
+                 (np.frombuffer(b"".join(held), self.kind), np.array([len(h) for h in held], np.int64) // int(self.kind[-1]))]
         ids, sizes = [np.concatenate(x) for x in zip(*found)]
+        order = np.concatenate([easy, odd])
         known, total = len(self.number), len(self.number) + len(new)
         if self.used + len(ids) > len(self.store):
             self.store = np.concatenate([self.store, np.empty(self.used + len(ids), self.kind)])
@@ -186,7 +176,7 @@ class Encoder:
         self.store[self.used:self.used + len(ids)] = ids
         self.ends[known + 1:total + 1] = self.used + np.cumsum(sizes)
         self.used += len(ids)
-        self.number.update(zip(parts, range(known, total)))
+        self.number.update(zip(names[order].tolist(), range(known, total)))
         return order
 
     def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -201,7 +191,7 @@ class Encoder:
         begins = self.cuts(data, offsets)
         places = np.append(begins, len(data)).astype(np.int32)
         pieces = pa.StringArray.from_buffers(len(begins), pa.py_buffer(places), pa.py_buffer(data)).dictionary_encode()
-        names = pieces.dictionary.to_pylist()
+        names = pieces.dictionary.to_numpy(zero_copy_only=False)
         number = np.fromiter(map(self.number.get, names, repeat(-1)), np.int64, len(names))
         new = np.nonzero(number < 0)[0]
         if len(new):
@@ -276,7 +266,7 @@ def write_tokens(docs: DataFrame, path: str, target: str, remembered: int | None
     """
     spark = docs.sparkSession
     encoder = _encoder(path, remembered)
-    kind, size = encoder.kind, len(encoder.length)
+    kind, size = encoder.kind, encoder.size
     tokens = staged(tokenised(docs, path, remembered))
     frequency = scaled(token_counts(tokens, size))
     spark.createDataFrame([(i, int(n)) for i, n in enumerate(frequency)], "token int, frequency long").coalesce(
