@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from plimsoll.llm.columns import drawn_below
-from plimsoll.llm.textbytes import groups, text_bytes
+from plimsoll.llm.textbytes import groups, text_bytes, tidied
 from plimsoll.sources.stage import staged
 
 SIZES = (2, 3)
@@ -188,4 +188,4 @@ def language_id(docs: DataFrame, train: DataFrame, per_language: int = PER_LANGU
     wide = docs.select(*[F.col(f"`{c}`") for c in fields.columns], letters(F.col("text")).alias(LOWERED),
                        F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(LETTERED))
     schema = StructType(fields.schema.fields).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return wide.mapInArrow(score, schema)
+    return wide.mapInArrow(tidied(score), schema)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from plimsoll.llm.prefix_tokens import _byte_alphabet
 from plimsoll.llm.rans import LANES, Table, decode, encode, scaled
-from plimsoll.llm.textbytes import groups, text_bytes
+from plimsoll.llm.textbytes import groups, text_bytes, tidied
 from plimsoll.sources.stage import shared_folder, staged
 
 END = 0
@@ -35,8 +35,10 @@ BLOCK_TOKENS = 1 << 19
 #: keeps them for its next task, whatever that is, so callers with other work on the same executors may set fewer.
 REMEMBERED = 1_400_000
 PARTS = 700_000
-#: Text whose pieces are looked up together; the more, the fewer look-ups of the same piece.
+#: Text whose token counts are stored as one.
 GROUP_BYTES = 1 << 22
+#: Text whose pieces are looked up together, which takes many times its size of a worker's memory.
+LOOKUP_BYTES = 1 << 20
 BLOCK_SCHEMA = ("shard int, block int, doc_ids binary, nulls binary, lengths binary, states binary, reads binary, "
                 "words binary, crc long")
 #: Kinds of bytes; 0 is controls and parts of wider characters.
@@ -222,8 +224,9 @@ def tokenised(docs: DataFrame, path: str, remembered: int | None = None) -> Data
         width = int(encoder.kind[-1])
         for batch in batches:
             for group in groups(batch, most=GROUP_BYTES):
-                ids, ends = encoder.encoded(group.column("text"))
-                ends = ends + np.arange(1, len(ends) + 1)
+                found = [encoder.encoded(part.column("text")) for part in groups(group, most=LOOKUP_BYTES)]
+                ids = np.concatenate([part for part, _ in found])
+                ends = np.cumsum(np.concatenate([np.diff(stops, prepend=0) for _, stops in found]) + 1)
                 held = np.empty(len(ids) + len(ends), encoder.kind)
                 last = np.zeros(len(held), bool)
                 last[ends - 1] = True
@@ -237,7 +240,7 @@ def tokenised(docs: DataFrame, path: str, remembered: int | None = None) -> Data
                                        pa.array(counts, pa.binary())], names=["doc_id", "n_tokens", "ids", "counts"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        work, "doc_id long, n_tokens long, ids binary, counts binary")
+        tidied(work), "doc_id long, n_tokens long, ids binary, counts binary")
 
 
 def token_counts(tokens: DataFrame, size: int) -> np.ndarray:
@@ -305,7 +308,7 @@ def write_tokens(docs: DataFrame, path: str, target: str, remembered: int | None
             yield flush()
 
     ranged = tokens.select("doc_id", "ids").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
-    ranged.mapInArrow(blocks, BLOCK_SCHEMA).write.parquet(f"{target}/blocks")
+    ranged.mapInArrow(tidied(blocks), BLOCK_SCHEMA).write.parquet(f"{target}/blocks")
 
 
 def read_tokens(spark: SparkSession, source: str, with_ids: bool = True) -> DataFrame:
@@ -321,7 +324,7 @@ def read_tokens(spark: SparkSession, source: str, with_ids: bool = True) -> Data
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(frequency)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in chain.from_iterable(batch.slice(at, 1).to_pylist() for at in range(batch.num_rows)):
                 lengths = np.frombuffer(row["lengths"], "<u4").astype(np.int64)
                 states = np.frombuffer(row["states"], np.uint64).reshape(-1, LANES)
                 ids = decode(np.frombuffer(row["words"], np.uint32), states, np.frombuffer(row["reads"], np.int64),
@@ -340,7 +343,7 @@ def read_tokens(spark: SparkSession, source: str, with_ids: bool = True) -> Data
                     names=["shard", "block", "inside", "doc_id", "n_tokens", "ids_crc32", "ids"])
 
     stored = spark.read.parquet(f"{source}/blocks")
-    decoded = stored.mapInArrow(documents, "shard int, block int, inside long, doc_id long, n_tokens long, "
+    decoded = stored.mapInArrow(tidied(documents), "shard int, block int, inside long, doc_id long, n_tokens long, "
                                            "ids_crc32 long, ids binary")
 
     def length_sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -265,3 +266,34 @@ def test_token_files_learn_each_word_once(tokenizer):
     end = "<|endoftext|>"
     same([f"{a}{gap}{b}" for gap in (" ", "  ", "\n", "\n ", " \n", "\t", "\n\n", "\r\n", "　 ", "\xa0 ", "\x1c", "\x85", "")
           for a in ("", "a", "é", "1", "'", ".", end, "ª", "\x00") for b in ("", "b", "é", "2", "'s", ".", end, "́", "|>")])
+
+
+def test_token_files_hold_little(spark):
+    """A worker takes little more for a batch of new words than for its texts, and keeps nothing that Arrow doesn't use."""
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, work, schema):
+            return work
+
+    def resident():
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"\nPss_Anon:\s+(\d+)", f.read())[1]) >> 10
+
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choices("abcdefghij", k=4)) for _ in range(500)) for _ in range(6000)]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    work = token_files.tokenised(Docs(), registry.tokenizer_path(), 300_000)
+    for _ in work(iter([batch.slice(0, 1)])):  # the tokenizer
+        pass
+    pa.default_memory_pool().release_unused()
+    tracemalloc.start()
+    rows = sum(len(out) for out in work(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1] >> 20
+    tracemalloc.stop()
+    held = resident()
+    pa.default_memory_pool().release_unused()
+    assert rows == len(texts)
+    assert peak < 60  # 81 MB when 4 MB of text were looked up together
+    assert held - resident() < 8
