@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plimsoll.llm.prefix_tokens import _byte_alphabet
+from plimsoll.llm.pretokens import cuts, plain
 from plimsoll.llm.rans import LANES, Table, decode, encode, scaled
 from plimsoll.llm.textbytes import groups, text_bytes, tidied
 from plimsoll.sources.stage import shared_folder, staged
@@ -41,21 +42,6 @@ GROUP_BYTES = 1 << 22
 LOOKUP_BYTES = 1 << 20
 BLOCK_SCHEMA = ("shard int, block int, doc_ids binary, nulls binary, lengths binary, states binary, reads binary, "
                 "words binary, crc long")
-#: Kinds of bytes; 0 is controls and parts of wider characters.
-LETTER, DIGIT, MARK, APOSTROPHE, SPACE, WHITE = range(1, 7)
-BYTES = np.arange(256)
-KINDS = np.zeros(256, np.uint8)
-KINDS[0x21:0x7F] = MARK
-for _kind, _chars in ((DIGIT, b"0123456789"), (APOSTROPHE, b"'"), (SPACE, b" "), (WHITE, b"\t\n\x0b\x0c\r"),
-                      (LETTER, b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")):
-    KINDS[list(_chars)] = _kind
-#: Kinds left and right of a cut, as 8 * left + right: no pre-token holds both, but "'s" and the like.
-MEET = np.zeros((8, 8), bool)
-MEET[LETTER:SPACE, LETTER:] = ~np.eye(8, dtype=bool)[LETTER:SPACE, LETTER:]
-MEET[MARK, APOSTROPHE] = MEET[APOSTROPHE, MARK] = MEET[APOSTROPHE, LETTER] = MEET[:, WHITE + 1] = False
-MEET = MEET.ravel()
-#: Bytes behind a space that surely begin no white space: the first bytes of wider white space are left out.
-BEHIND = (BYTES > 0x20) & ~np.isin(BYTES, [0xC2, 0xE1, 0xE2, 0xE3])
 #: The character that stands for each byte in the vocabulary of a byte-level tokenizer.
 SPELT = np.array([ord(c) for c, _ in sorted(_byte_alphabet().items(), key=lambda x: x[1])], "<u2")
 _KEPT: dict[str, Encoder] = {}
@@ -117,53 +103,11 @@ class Encoder:
         return [self.ids(p).tobytes() if row is None else b"".join([parts[q] for q in row])
                 for p, row in zip(pieces, rows)]
 
-    def kinds(self, data: np.ndarray) -> np.ndarray:
-        """The kind of each byte; both bytes of a letter from U+00C0 to U+023F are one."""
-        out = KINDS[data]
-        at = np.nonzero((data >= 0xC3) & (data <= 0xC8))[0]
-        at = at[(data[at] != 0xC3) | ((data[at + 1] & 0xDF) != 0x97)]  # times and division signs
-        out[at] = out[at + 1] = LETTER
-        return out
-
-    def cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Where pieces begin: at each text, ahead of white space, behind a line feed alone, and where letters, digits
-        and marks meet."""
-        kinds, edge, cut = self.kinds(data), np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
-        edge[offsets] = True
-        cut[1:-1] = MEET[kinds[:-1] * 8 + kinds[1:]]
-        # the last space before a character that is none goes with it, whatever is left of it
-        at = np.nonzero((kinds[:-1] == SPACE) & ~cut[:-2])[0]
-        cut[at[BEHIND[data[at + 1]] & ~edge[at + 1]]] = True
-        # white space alone is a pre-token, a longer run depends on what is behind it
-        at = np.nonzero(kinds[1:-1] == WHITE)[0] + 1
-        cut[at[MEET[kinds[at - 1] * 8 + WHITE] & MEET[kinds[at + 1] * 8 + WHITE]] + 1] = True
-        held = data.tobytes()
-        for special in map(str.encode, self.special):
-            at = held.find(special)
-            while at >= 0:  # a run of white space ends here as it does at the end of a text
-                cut[max(at - 1, 0):at] = cut[at + 1:at + len(special)] = False
-                at = held.find(special, at + 1)
-        cut |= edge
-        return np.nonzero(cut[:-1])[0]
-
-    def plain(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Which pieces are characters of one kind, with or without a space ahead: these are pre-tokens."""
-        kinds, starts = self.kinds(data), offsets[:-1]
-        kinds[kinds == APOSTROPHE] = MARK
-        spaced = kinds[starts] == SPACE
-        first = starts + spaced
-        breaks = np.append(False, kinds[1:] != kinds[:-1])
-        breaks[starts] = breaks[first[first < len(data)]] = False
-        breaks |= (kinds == 0) | (kinds > MARK)
-        breaks[starts[spaced]] = False
-        sums = np.append(0, np.cumsum(breaks))
-        return (sums[offsets[1:]] == sums[starts]) & (offsets[1:] > first)
-
     def remember(self, pieces: pa.Array, names: np.ndarray, new: np.ndarray) -> np.ndarray:
         """Put the ids of the new ones of the pieces behind those of the known ones; the new ones as they are numbered."""
         data, offsets = text_bytes(pieces)
-        plain = self.plain(data, offsets)[new]
-        easy, odd = new[plain], new[~plain]
+        whole = plain(data, offsets)[new]
+        easy, odd = new[whole], new[~whole]
         form = spelt(data)
         held = self.odd(names[odd].tolist())
         found = [self.words([form[a:b] for a, b in zip(offsets[easy].tolist(), offsets[easy + 1].tolist())]),
@@ -190,7 +134,7 @@ class Encoder:
         data, offsets = text_bytes(texts)
         if not len(data):
             return np.zeros(0, self.kind), np.zeros(len(texts), np.int64)
-        begins = self.cuts(data, offsets)
+        begins = cuts(data, offsets, self.special)
         places = np.append(begins, len(data)).astype(np.int32)
         pieces = pa.StringArray.from_buffers(len(begins), pa.py_buffer(places), pa.py_buffer(data)).dictionary_encode()
         names = pieces.dictionary.to_numpy(zero_copy_only=False)

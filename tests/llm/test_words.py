@@ -166,6 +166,78 @@ def test_op12_counts_whole_texts(spark, sf_dir, tokenizer):
         assert token_total(tokenizer, text[:r["chars_within"]]) <= 512
 
 
+def test_prefix_counts_learn_words_together(tokenizer, monkeypatch):
+    """Words beside marks and line feeds are known as single pre-tokens, and only odd pieces are worked off one by one."""
+    counter = prefix_tokens.PrefixCounter(registry.tokenizer_path())
+    one_by_one = []
+    alone = counter.of_text
+    monkeypatch.setattr(counter, "of_text", lambda text: one_by_one.append(text) or alone(text))
+    draw = random.Random(5)
+    words = ["".join(draw.choices("abeinrstü", k=draw.randint(1, 20))) for _ in range(200)] + ["123", "==", "Œuvre", "x" * 24, "y" * 25]
+    texts = [a + w + b + v for w in words for v in words[:3] for a in ("", " ", "\n") for b in (". ", ",\n", "$$$ ", "/")]
+
+    def same(texts):
+        counts, ends = counter.of_texts(texts)
+        begin = 0
+        for text, end in zip(texts, ends):
+            assert counts[begin:end].tolist() == [token_total(tokenizer, text[:i + 1]) for i in range(len(text))], text
+            begin = end
+
+    counts, ends = counter.of_texts(texts)
+    assert len(one_by_one) < 10  # 4,731 when texts were cut at spaces alone
+    same(texts[::19])
+    end = "<|endoftext|>"
+    odd = [f"{a}{gap}{b}" for gap in (" ", "  ", "\n", "\n ", " \n", "\t", "\r\n", "\u3000 ", "\xa0 ", "\u2009 ", "\x1c ", "\x85 ", "")
+           for a in ("", "a", "é", "1", "'", "漢", "\u0444", end, "ª", "\x00") for b in ("", "b", "'re", "'rex", ".", end, "\u0301", "|>")]
+    same(odd)
+    counter = prefix_tokens.PrefixCounter(registry.tokenizer_path())
+    counter.automaton.sound = False  # as for a tokenizer whose merges don't number its tokens: all pieces one by one
+    same(texts[:60] + odd[::9])
+
+
+def test_valid_neighbours():
+    """Undoing merges tells the same neighbours as encoding their bytes."""
+    counter = prefix_tokens.PrefixCounter(registry.tokenizer_path())
+    random.seed(8)
+    tokens = [bytes((b,)) for b in range(256)] + [a + b for a, b in (
+        (counter.bytes_of[k // counter.size], counter.bytes_of[k % counter.size]) for k in counter.merges)]
+    common = [i for i in range(256, 3000)]
+    pairs = [(random.choice(common), random.choice(common)) for _ in range(4000)] + [
+        (random.randrange(len(tokens)), random.randrange(len(tokens))) for _ in range(1000)]
+    left, right = (np.array(side) for side in zip(*pairs))
+    want = [counter._valid(counter.vocabulary[tokens[a]], counter.vocabulary[tokens[b]]) for a, b in pairs]
+    assert counter.automaton.valid(left, right).tolist() == want
+    assert 0 < sum(want) < len(want)
+
+
+def test_prefix_counts_hold_little(monkeypatch):
+    """A worker takes little more for many new words than for its texts, and keeps little of them."""
+    class Docs:
+        def selectExpr(self, *columns):
+            return self
+
+        def mapInArrow(self, work, schema):
+            return work
+
+    draw = random.Random(3)
+    texts = [" ".join("".join(draw.choices("abcdefghij", k=5)) for _ in range(400)) for _ in range(2500)]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    work = prefix_tokens.prefix_table(Docs(), registry.tokenizer_path())
+    for _ in work(iter([batch.slice(0, 1)])):  # the tokenizer
+        pass
+    tracemalloc.start()
+    rows = sum(len(out) for out in work(iter([batch])))
+    kept, peak = (x >> 20 for x in tracemalloc.get_traced_memory())
+    tracemalloc.stop()
+    assert rows == len(texts)
+    assert kept < 20 and peak < 60  # 33 and 161 MB when each new piece had counts and lists of its own
+    counter = prefix_tokens.PrefixCounter(registry.tokenizer_path())
+    monkeypatch.setattr(prefix_tokens, "REMEMBERED", 1000)
+    for i in range(20):  # long odd pieces are forgotten by their size
+        counter.of_texts([chr(0x4E00 + i) * 5000])
+    assert counter.used <= 40_000 and not counter.parts
+
+
 def every_variant(rows, shortest, least, times):
     n = Counter()
     for doc_id, text, *_ in rows:
