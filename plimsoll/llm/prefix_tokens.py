@@ -22,7 +22,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +36,11 @@ from plimsoll.llm.textbytes import groups, text_bytes, tidied
 #: Pieces whose steps a worker remembers, some 170 bytes of each, and their characters for each of that number.
 REMEMBERED = 300_000
 MEAN = 32
-#: Pre-tokens of odd pieces, with a list of counts each, that a worker remembers, and the longest such; also
-#: ends of prefixes.
-PARTS = 50_000
-LONGEST = 100
+#: Pre-tokens of odd pieces whose counts a worker remembers, some 220 bytes of each, and the bytes of the longest such.
+PARTS = 250_000
+LONGEST = 128
+#: Ends of prefixes whose tokens a worker remembers.
+ENDS = 100_000
 #: Neighbouring tokens whose validity a worker remembers.
 PAIRS = 500_000
 #: Text whose pieces are looked up together, which takes many times its size of a worker's memory.
@@ -227,7 +228,7 @@ class PrefixCounter:
         self.recent: tuple[bytes, list[int], list[int]] = (b"", [0], [0])
         self.special = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True))))
         self.pairs: dict[int, bool] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         self.automaton = Automaton(pairs)
         self._forget()
 
@@ -256,7 +257,7 @@ class PrefixCounter:
 
     def _ends_with(self, tail: bytes) -> tuple[list[int], list[tuple[int, int]]]:
         """Lengths of the longer tokens that can end so, and (length, token) of those inside the tail, longest first."""
-        if len(self.ends) > PARTS:
+        if len(self.ends) > ENDS:
             self.ends.clear()
         inside = [(len(tail) - i, token) for i in range(len(tail)) if (token := self.vocabulary.get(tail[i:])) is not None]
         found = self.ends[tail] = (self.long.get(tail, []), inside)
@@ -290,7 +291,7 @@ class PrefixCounter:
         self.recent = part, last, count
         return count
 
-    def of_part(self, part: str) -> list[int]:
+    def of_part(self, part: str) -> list[int] | bytes:
         """Token counts of the first 1, 2, ... characters of a pre-token."""
         counts = self.parts.get(part)
         if counts is None:
@@ -302,8 +303,8 @@ class PrefixCounter:
                 counts = [counts[e] for e in np.cumsum([len(c.encode()) for c in part]).tolist()]
             if part in CONTRACTIONS:
                 counts[1] = 2  # "'r" alone is a mark and a letter
-            if len(part) <= LONGEST:
-                self.parts[part] = counts
+            if len(data) <= LONGEST:
+                self.parts[part] = bytes(counts)
         return counts
 
     def _ordinary(self, text: str) -> list[int]:
@@ -360,27 +361,28 @@ class PrefixCounter:
         data, offsets = text_bytes(pieces.take(pa.array(easy)))
         begins = (data & 0xC0) != 0x80
         counts = self.automaton.counts(data, offsets)[np.append(begins[1:], True)[:len(data)]]
-        ends = np.append(0, np.cumsum(begins))[offsets]
-        steps = [np.diff(counts, prepend=0)]
-        steps[0][ends[:-1]] = counts[ends[:-1]]
-        sizes = [np.diff(ends)]
         odd = odd[np.argsort(names[odd])]  # neighbours share prefixes
-        for at, piece in enumerate(names[odd].tolist()):
+        found = []
+        for piece in names[odd].tolist():
             if len(self.parts) > PARTS:
                 self.parts.clear()
-            step = np.diff(np.array(self.of_text(piece), np.int64), prepend=0)
-            if (step != step.astype(np.int8)).any():
-                self.wide[len(self.number) + len(easy) + at] = step
-            steps.append(step.astype(np.int8))
-        sizes.append(np.array([len(step) for step in steps[1:]], np.int64))
-        steps, sizes, order = np.concatenate(steps).astype(np.int8), np.concatenate(sizes), np.concatenate([easy, odd])
-        known, total = len(self.number), len(self.number) + len(new)
+            found.append(self.of_text(piece))
+        sizes = np.append(np.diff(np.append(0, np.cumsum(begins))[offsets]), np.fromiter(map(len, found), np.int64, len(found)))
+        ends = np.cumsum(sizes)
+        counts = np.append(counts, np.fromiter(chain.from_iterable(found), np.int64))
+        steps = np.diff(counts, prepend=0)
+        steps[ends - sizes] = counts[ends - sizes]
+        order, known, total = np.append(easy, odd), len(self.number), len(self.number) + len(new)
+        narrow = steps.astype(np.int8)
+        for i in np.unique(np.searchsorted(ends, np.nonzero(narrow != steps)[0], "right")).tolist():
+            self.wide[known + i] = steps[ends[i] - sizes[i]:ends[i]].copy()
+        steps = narrow
         if self.used + len(steps) > len(self.store):
             self.store = np.concatenate([self.store, np.empty(self.used + len(steps), np.int8)])
         if total >= len(self.ends_of):
             self.ends_of = np.concatenate([self.ends_of, np.zeros(total, np.int64)])
         self.store[self.used:self.used + len(steps)] = steps
-        self.ends_of[known + 1:total + 1] = self.used + np.cumsum(sizes)
+        self.ends_of[known + 1:total + 1] = self.used + ends
         self.used += len(steps)
         self.number.update(zip(names[order].tolist(), range(known, total)))
         return order

@@ -46,7 +46,8 @@ def cuts(data: np.ndarray, offsets: np.ndarray, specials: list[str], prefixes: b
     # the last space before a character that is none goes with it, whatever is left of it
     at = np.nonzero((kind[:-1] == SPACE) & ~cut[:-2])[0]
     if prefixes:
-        at = at[AHEAD[data[at - 1]]]
+        first = np.where(data[at - 2] >= 0xC0, data[at - 2], data[at - 3])  # of a wider character of 2 or 3 bytes
+        at = at[AHEAD[data[at - 1]] | (data[at - 1] >= 0x80) & BEHIND[first]]
     cut[at[BEHIND[data[at + 1]] & ~edge[at + 1]]] = True
     # white space alone is a pre-token, a longer run depends on what is behind it
     at = np.nonzero(kind[1:-1] == WHITE)[0] + 1
